@@ -338,10 +338,10 @@ def q_receipt_extract() -> str:
            CASE WHEN regexp_full_match(id_solicitud, '[0-9]+') THEN 'procesado' ELSE 'ignorado' END AS estado,
            CASE WHEN regexp_full_match(id_solicitud, '[0-9]+') THEN COALESCE(NULLIF(monto, 0), 0.0) END AS amt_income_total,
            CASE WHEN regexp_full_match(id_solicitud, '[0-9]+') THEN
-                CASE WHEN monto IS NOT NULL AND monto <> 0 THEN {CONFIDENCE_AMOUNT_FOUND} ELSE {CONFIDENCE_AMOUNT_MISSING} END END
+                CAST(CASE WHEN monto IS NOT NULL AND monto <> 0 THEN {CONFIDENCE_AMOUNT_FOUND} ELSE {CONFIDENCE_AMOUNT_MISSING} END AS DOUBLE) END
                 AS confidence_score,
            CASE WHEN regexp_full_match(id_solicitud, '[0-9]+') THEN '{RECEIPT_DOCUMENT_TYPE}' END AS document_type,
-           CASE WHEN regexp_full_match(id_solicitud, '[0-9]+') THEN {c['AMT_CREDIT']} END AS amt_credit
+           CASE WHEN regexp_full_match(id_solicitud, '[0-9]+') THEN CAST({c['AMT_CREDIT']} AS DOUBLE) END AS amt_credit
     FROM p"""
 
 
@@ -397,6 +397,7 @@ ORACLES = {
     "receipt_extract": q_receipt_extract,
     "ingest_once": q_ingest_once,
     "stream_bronze": q_stream_bronze,
+    "load_run": q_vw_riesgo,
 }
 
 

@@ -18,7 +18,17 @@ from .plans import gold
 from .plans.silver import build_silver, latest_base, latest_documents, type_base, type_documents
 from .plans.view import risk_view
 from .sources import fixtures as fx
+from .sources.files import read_application_csv
+from .sources.store import TableStore
+from .operators.audit import audit_entries
+from .operators.ledger import not_yet_ingested
+from .operators.quality import silver_gate, star_integrity
+from .operators.receipts import extract_receipts
 from .operators.upsert import upsert
+from .plans.bronze import csv_to_bronze
+from .plans.run import current_view, run_load
+from .session import scratch_dir
+from .streaming.file_ingest import start_bronze_stream
 
 GOLD_RUN = "run_gold"
 
@@ -123,7 +133,8 @@ def _star_two_loads(spark, sf_dir):
     p1 = gold.build_dim_producto(cur, p0, "run_cur")
     f0 = gold.build_fact(prev, d0, p0, dt, gold.empty(spark, S.FACT), fx.AS_OF_PREVIOUS, "run_prev")
     f1 = gold.build_fact(cur, d1, p1, dt, f0, fx.AS_OF_CURRENT, "run_cur")
-    return cur, d1, p1, dt, f1
+    dx = gold.build_dim_proxy(spark, gold.empty(spark, S.DIM_PROXY), "run_cur")
+    return cur, d1, p1, dx, dt, f1
 
 
 def q_fact_partial_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +146,90 @@ def q_vw_riesgo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk_view(f, dc, dp, dx, dt)
 
 
+def q_bronze_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-01..P-04: rows packed into JSON records, read back field by field."""
+    b = fx.bronze_base(spark, sf_dir)
+    p = F.col("datos_origen_raw")
+    keys = F.json_object_keys(p)
+    return b.select(
+        "bk_id_solicitud", "id_secuencial", "via_airflow_run_id", "nombre_archivo_fuente",
+        F.size(keys).cast("int").alias("n_claves"),
+        (F.array_contains(keys, "NAME_CONTRACT_TYPE") & F.get_json_object(p, "$.NAME_CONTRACT_TYPE").isNull())
+        .alias("producto_es_null"),
+        F.get_json_object(p, "$.AMT_CREDIT").cast("decimal(12,2)").alias("amt_credit"),
+        F.get_json_object(p, "$.DAYS_BIRTH").cast("int").alias("days_birth"),
+        F.get_json_object(p, "$.DAYS_REGISTRATION").cast("double").alias("days_registration"))
+
+
+def q_bronze_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-01 + P-02 + K-01: application rows written as a header CSV, read back
+    as text columns (FAILFAST) and packed into bronze."""
+    path = scratch_dir(spark, "application-csv")
+    rows = fx.application_rows(spark, sf_dir)
+    rows.select(*[c for c in rows.columns if not c.startswith("_")]).write.option("header", True).csv(path)
+    b = csv_to_bronze(read_application_csv(spark, path), "run_csv")
+    p = F.col("datos_origen_raw")
+    return b.select(
+        "bk_id_solicitud",
+        F.get_json_object(p, "$.NAME_CONTRACT_TYPE").alias("name_contract_type"),
+        F.get_json_object(p, "$.AMT_CREDIT").cast("decimal(12,2)").alias("amt_credit"),
+        F.get_json_object(p, "$.AMT_ANNUITY").cast("decimal(12,2)").alias("amt_annuity"),
+        F.get_json_object(p, "$.DAYS_EMPLOYED").cast("int").alias("days_employed"),
+        "via_airflow_run_id", "nombre_archivo_fuente")
+
+
+def q_dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_gate(_silver(spark, sf_dir))
+
+
+def q_dq_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cur, d1, p1, dx, dt, f1 = _star_two_loads(spark, sf_dir)
+    return star_integrity(cur, d1, p1, dx, dt, f1)
+
+
+def q_audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_entries(_silver(spark, sf_dir), ["run_0", "run_1", "run_2", "run_idp"])
+
+
+def q_receipt_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = extract_receipts(fx.receipt_rows(spark, sf_dir))
+    return r.drop("payload")
+
+
+def q_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cand, pending, archived = fx.manifest(spark, sf_dir)
+    return not_yet_ingested(cand, pending, archived)
+
+
+def q_stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-02 + K-01 + Q-09 as a stream: document payloads dropped as JSON-lines
+    files, ingested by an AvailableNow file stream into an append-only bronze."""
+    root = scratch_dir(spark, "stream")
+    drop = f"{root}/raw"
+    docs = fx.document_rows(spark, sf_dir)
+    payload = F.to_json(F.struct(*[c for c in docs.columns if not c.startswith("_")]))
+    docs.select(payload.alias("value")).write.text(drop)
+    store = TableStore(spark, root=f"{root}/warehouse")
+    q = start_bronze_stream(spark, store, drop, f"{root}/_checkpoint", f"{root}/quarantine", "run_stream",
+                            pattern="*.txt", whole_file=False)
+    q.awaitTermination()
+    b = store.read("bronze.raw_application")
+    p = F.from_json("datos_origen_raw", S.DOC_PAYLOAD)
+    return b.select(
+        "bk_id_solicitud",
+        p["AMT_INCOME_TOTAL"].cast("decimal(12,2)").alias("amt_income_total"),
+        p[S.DOC_METADATA_KEY]["document_type"].alias("document_type"),
+        p[S.DOC_METADATA_KEY]["confidence_score"].cast("decimal(5,2)").alias("confidence_score"),
+        "via_airflow_run_id", "es_documento")
+
+
+def q_load_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G-10: one whole load into a fresh warehouse, read back through the view."""
+    store = TableStore(spark, root=scratch_dir(spark, "warehouse"))
+    run_load(spark, store, GOLD_RUN, bronze_rows=fx.bronze_all(spark, sf_dir), as_of=fx.AS_OF_CURRENT)
+    return current_view(store)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_base": q_latest_base,
     "latest_document": q_latest_document,
@@ -149,6 +244,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_creditos": q_fact_creditos,
     "fact_partial_upsert": q_fact_partial_upsert,
     "vw_riesgo": q_vw_riesgo,
+    "bronze_pack": q_bronze_pack,
+    "bronze_csv": q_bronze_csv,
+    "dq_gate": q_dq_gate,
+    "dq_integrity": q_dq_integrity,
+    "audit_counts": q_audit_counts,
+    "receipt_extract": q_receipt_extract,
+    "ingest_once": q_ingest_once,
+    "stream_bronze": q_stream_bronze,
+    "load_run": q_load_run,
 }
 
 
