@@ -49,7 +49,7 @@ BASE_TYPED = f"""
     CASE WHEN seq % 11 <> 0 THEN o_orderpriority END AS name_contract_type,
     o_orderstatus AS code_gender,
     CAST(o_totalprice AS DECIMAL(12,2)) AS amt_credit,
-    CAST(c_acctbal AS DECIMAL(12,2)) AS amt_income_total,
+    CAST(c_acctbal * 100 AS DECIMAL(12,2)) AS amt_income_total,
     CASE WHEN seq % 13 <> 0 THEN CAST(c_nationkey * 100 + 850 AS DECIMAL(12,2)) END AS amt_annuity,
     CASE WHEN seq % 7 = 0 THEN NULL ELSE CAST(-(seq % 15000) AS INTEGER) END AS days_employed,
     c_mktsegment AS name_education_type,
@@ -65,7 +65,7 @@ BASE_TYPED = f"""
 
 DOC_TYPED = """
     CAST(cust AS INTEGER) AS id_solicitud,
-    CAST(CASE WHEN event_type = 'error' THEN 0.0 ELSE value END AS DECIMAL(12,2)) AS amt_income_total_idp,
+    CAST(CASE WHEN event_type = 'error' THEN 0.0 ELSE value * 100 END AS DECIMAL(12,2)) AS amt_income_total_idp,
     event_type AS tipo_documento,
     CAST(CAST(json_extract_string(props, '$.k') AS DOUBLE) AS DECIMAL(5,2)) AS confianza_ocr,
     'run_idp' AS via_airflow_run_id"""
@@ -353,7 +353,7 @@ def q_ingest_once() -> str:
 def q_stream_bronze() -> str:
     return f"""
     SELECT CAST(user_id * 20 AS VARCHAR) AS bk_id_solicitud,
-           CAST(CASE WHEN event_type = 'error' THEN 0.0 ELSE value END AS DECIMAL(12,2)) AS amt_income_total,
+           CAST(CASE WHEN event_type = 'error' THEN 0.0 ELSE value * 100 END AS DECIMAL(12,2)) AS amt_income_total,
            event_type AS document_type,
            CAST(CAST(json_extract_string(props, '$.k') AS DOUBLE) AS DECIMAL(5,2)) AS confidence_score,
            'run_stream' AS via_airflow_run_id, true AS es_documento

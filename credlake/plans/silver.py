@@ -153,12 +153,16 @@ def _silver_fused(bronze: DataFrame, keep_document_columns: bool, strict: bool)
                .when(clash, F.raise_error(F.concat(F.lit("silver: application id loaded twice under two "
                                                          "spellings: "), key.cast("string"))))
                .otherwise(key))
-    pb = parse_base(F.col("_b.datos_origen_raw"))
-    pd_ = parse_document(F.col("_d.datos_origen_raw"))
-    typed = per_id.select(
-        F.struct(*_typed_base_columns(pb, key, F.col("_b.via_airflow_run_id"))).alias("b"),
-        F.when(F.col("_d").isNotNull(),
-               F.struct(*_typed_document_columns(pd_, key, F.col("_d.via_airflow_run_id")))).alias("d"))
+    # parse each winning payload once, in its own projection
+    parsed = per_id.select(key.alias("_key"), F.col("_b.via_airflow_run_id").alias("_b_run"),
+                           F.col("_d.via_airflow_run_id").alias("_d_run"), F.col("_d").isNotNull().alias("_has_d"),
+                           parse_base(F.col("_b.datos_origen_raw")).alias("_pb"),
+                           parse_document(F.col("_d.datos_origen_raw")).alias("_pd"))
+    key = F.col("_key")
+    pb, pd_ = F.col("_pb"), F.col("_pd")
+    typed = parsed.select(
+        F.struct(*_typed_base_columns(pb, key, F.col("_b_run"))).alias("b"),
+        F.when(F.col("_has_d"), F.struct(*_typed_document_columns(pd_, key, F.col("_d_run")))).alias("d"))
     out = typed.select(*_merge_columns(lambda c: F.col(f"b.{c}"), lambda c: F.col(f"d.{c}")))
     return out if keep_document_columns else out.drop(*DOC_EXTRA_COLUMNS)
 

@@ -22,6 +22,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # min/max/count of a parquet column from footers (bronze sequence base)
     "spark.sql.parquet.aggregatePushdown": "true",
+    # keep one from_json per payload: the default rewrite turns each field
+    # access into its own parse of the whole JSON text
+    "spark.sql.optimizer.enableJsonExpressionOptimization": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -49,7 +49,9 @@ def application_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 11 != 0, F.col("o_orderpriority")).alias("NAME_CONTRACT_TYPE"),
         F.col("o_orderstatus").alias("CODE_GENDER"),
         F.col("o_totalprice").alias("AMT_CREDIT"),
-        F.col("c_acctbal").alias("AMT_INCOME_TOTAL"),
+        # x100 keeps every credit/income ratio inside NUMERIC(10,4), like
+        # real incomes; raw balances of a few cents would overflow it
+        (F.col("c_acctbal") * 100).alias("AMT_INCOME_TOTAL"),
         F.when(k % 13 != 0, (F.col("c_nationkey") * 100 + 850).cast("double")).alias("AMT_ANNUITY"),
         F.when(k % 7 == 0, F.lit(365243)).otherwise(-(k % 15000)).cast("long").alias("DAYS_EMPLOYED"),
         F.col("c_mktsegment").alias("NAME_EDUCATION_TYPE"),
@@ -74,7 +76,7 @@ def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type").isin(*DOC_EVENT_TYPES))
     return e.select(
         (F.col("user_id") * 20).cast("string").alias("SK_ID_CURR"),
-        F.when(F.col("event_type") == "error", F.lit(0.0)).otherwise(F.col("value")).alias("AMT_INCOME_TOTAL"),
+        F.when(F.col("event_type") == "error", F.lit(0.0)).otherwise(F.col("value") * 100).alias("AMT_INCOME_TOTAL"),
         F.struct(
             F.col("event_type").alias("document_type"),
             F.get_json_object("props", "$.k").cast("double").alias("confidence_score"),
