@@ -56,7 +56,8 @@ def read_documents(spark: SparkSession, directory: str, pattern: str = DOC_FILE_
     """S-02: whole-file JSON documents with lineage columns."""
     if not path_exists(spark, directory):
         return spark.createDataFrame([], DOC_TEXT)
-    df = (spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(directory))
+    # text()'s own wholetext argument overrides a reader option, so pass it here
+    df = spark.read.option("pathGlobFilter", pattern).text(directory, wholetext=True)
     return df.select("value", F.col("_metadata.file_name").alias("nombre_archivo"),
                      F.col("_metadata.file_modification_time").alias("fecha_archivo"))
 
