@@ -27,7 +27,7 @@ from .operators.receipts import extract_receipts
 from .operators.upsert import upsert
 from .plans.bronze import csv_to_bronze
 from .plans.run import current_view, run_load
-from .session import scratch_dir
+from .session import materialize, scratch_dir
 from .streaming.file_ingest import start_bronze_stream
 
 GOLD_RUN = "run_gold"
@@ -65,12 +65,18 @@ def q_silver_features_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir, "window")
 
 
-def _silver_two_loads(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """(silver after the previous load, silver after the current load)."""
+def _silver_two_loads(spark, sf_dir, store: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(silver after the previous load, silver after the current load).
+
+    ``store=True`` materializes each silver version, as the pipeline stores
+    the table between loads, so the gold steps read it instead of
+    recomputing it.
+    """
+    keep = materialize if store else (lambda d: d)
     prev_bronze, cur_bronze = fx.bronze_split(spark, sf_dir)
-    prev = build_silver(prev_bronze).withColumn("fecha_ingestion", F.lit(None).cast("timestamp_ntz"))
+    prev = keep(build_silver(prev_bronze).withColumn("fecha_ingestion", F.lit(None).cast("timestamp_ntz")))
     cur_src = build_silver(cur_bronze)
-    cur = upsert(prev, cur_src, ["bk_id_solicitud"], touch_cols=["fecha_ingestion"])
+    cur = keep(upsert(prev, cur_src, ["bk_id_solicitud"], touch_cols=["fecha_ingestion"]))
     return prev, cur
 
 
@@ -86,8 +92,8 @@ def q_dim_producto(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dim_cliente_two_loads(spark, sf_dir):
-    prev, cur = _silver_two_loads(spark, sf_dir)
-    d0 = gold.build_dim_cliente(prev, gold.empty(spark, S.DIM_CLIENTE), "run_prev")
+    prev, cur = _silver_two_loads(spark, sf_dir, store=True)
+    d0 = materialize(gold.build_dim_cliente(prev, gold.empty(spark, S.DIM_CLIENTE), "run_prev"))
     d1 = gold.build_dim_cliente(cur, d0, "run_cur")
     return prev, cur, d0, d1
 
@@ -112,11 +118,11 @@ def q_dim_tiempo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _star_one_load(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
-    dc = gold.build_dim_cliente(silver, gold.empty(spark, S.DIM_CLIENTE), GOLD_RUN)
-    dp = gold.build_dim_producto(silver, gold.empty(spark, S.DIM_PRODUCTO), GOLD_RUN)
+    silver = materialize(_silver(spark, sf_dir))
+    dc = materialize(gold.build_dim_cliente(silver, gold.empty(spark, S.DIM_CLIENTE), GOLD_RUN))
+    dp = materialize(gold.build_dim_producto(silver, gold.empty(spark, S.DIM_PRODUCTO), GOLD_RUN))
     dx = gold.build_dim_proxy(spark, gold.empty(spark, S.DIM_PROXY), GOLD_RUN)
-    dt = _dim_tiempo(spark, sf_dir)
+    dt = materialize(_dim_tiempo(spark, sf_dir))
     f = gold.build_fact(silver, dc, dp, dt, gold.empty(spark, S.FACT), fx.AS_OF_CURRENT, GOLD_RUN)
     return silver, dc, dp, dx, dt, f
 
@@ -128,11 +134,12 @@ def q_fact_creditos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _star_two_loads(spark, sf_dir):
     prev, cur, d0, d1 = _dim_cliente_two_loads(spark, sf_dir)
-    dt = _dim_tiempo(spark, sf_dir)
-    p0 = gold.build_dim_producto(prev, gold.empty(spark, S.DIM_PRODUCTO), "run_prev")
-    p1 = gold.build_dim_producto(cur, p0, "run_cur")
-    f0 = gold.build_fact(prev, d0, p0, dt, gold.empty(spark, S.FACT), fx.AS_OF_PREVIOUS, "run_prev")
-    f1 = gold.build_fact(cur, d1, p1, dt, f0, fx.AS_OF_CURRENT, "run_cur")
+    d1 = materialize(d1)
+    dt = materialize(_dim_tiempo(spark, sf_dir))
+    p0 = materialize(gold.build_dim_producto(prev, gold.empty(spark, S.DIM_PRODUCTO), "run_prev"))
+    p1 = materialize(gold.build_dim_producto(cur, p0, "run_cur"))
+    f0 = materialize(gold.build_fact(prev, d0, p0, dt, gold.empty(spark, S.FACT), fx.AS_OF_PREVIOUS, "run_prev"))
+    f1 = materialize(gold.build_fact(cur, d1, p1, dt, f0, fx.AS_OF_CURRENT, "run_cur"))
     dx = gold.build_dim_proxy(spark, gold.empty(spark, S.DIM_PROXY), "run_cur")
     return cur, d1, p1, dx, dt, f1
 

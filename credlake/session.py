@@ -111,3 +111,14 @@ def to_local_path(path: str) -> str | None:
     if "://" in path:
         return None
     return path if os.path.isabs(path) else None
+
+
+def materialize(df):
+    """Store an intermediate layer and cut its lineage (reliable checkpoint).
+
+    Used where the original keeps a table between statements: later jobs read
+    the stored rows instead of recomputing the layer, and a lost executor
+    recomputes nothing upstream of it.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

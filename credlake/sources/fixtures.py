@@ -36,35 +36,34 @@ def application_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Payload columns carry the source CSV's header names; ``_seq``, ``_ts``
     and ``_run`` carry lineage.  ``customer`` is a dimension keyed by
-    ``c_custkey``; the join is planned by size (AQE).
+    ``c_custkey``; the join is planned by size (AQE).  Incomes are scaled by
+    100 so every credit/income ratio fits NUMERIC(10,4), as real incomes
+    would; raw balances of a few cents would overflow it.
     """
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
-    k = F.col("o_orderkey")
-    return j.select(
-        F.col("o_custkey").cast("string").alias("SK_ID_CURR"),
-        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("TARGET"),
-        F.when(k % 11 != 0, F.col("o_orderpriority")).alias("NAME_CONTRACT_TYPE"),
-        F.col("o_orderstatus").alias("CODE_GENDER"),
-        F.col("o_totalprice").alias("AMT_CREDIT"),
-        # x100 keeps every credit/income ratio inside NUMERIC(10,4), like
-        # real incomes; raw balances of a few cents would overflow it
-        (F.col("c_acctbal") * 100).alias("AMT_INCOME_TOTAL"),
-        F.when(k % 13 != 0, (F.col("c_nationkey") * 100 + 850).cast("double")).alias("AMT_ANNUITY"),
-        F.when(k % 7 == 0, F.lit(365243)).otherwise(-(k % 15000)).cast("long").alias("DAYS_EMPLOYED"),
-        F.col("c_mktsegment").alias("NAME_EDUCATION_TYPE"),
-        F.col("o_orderpriority").alias("NAME_FAMILY_STATUS"),
-        (k % 4).alias("CNT_CHILDREN"),
-        (-(F.lit(7000) + k % 18000)).alias("DAYS_BIRTH"),
-        F.repeat(F.col("c_name"), 4).alias("ORGANIZATION_TYPE"),
-        (F.col("c_nationkey") % 3 + 1).alias("REGION_RATING_CLIENT_W_CITY"),
-        (k % 2).alias("REG_CITY_NOT_WORK_CITY"),
-        (-(k % 9000)).cast("double").alias("DAYS_REGISTRATION"),
-        k.alias("_seq"),
-        F.col("o_orderdate").alias("_ts"),
-        F.concat(F.lit("run_"), (k % 3).cast("string")).alias("_run"),
+    return j.selectExpr(
+        "CAST(o_custkey AS STRING) AS SK_ID_CURR",
+        "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS TARGET",
+        "CASE WHEN o_orderkey % 11 != 0 THEN o_orderpriority END AS NAME_CONTRACT_TYPE",
+        "o_orderstatus AS CODE_GENDER",
+        "o_totalprice AS AMT_CREDIT",
+        "c_acctbal * 100 AS AMT_INCOME_TOTAL",
+        "CASE WHEN o_orderkey % 13 != 0 THEN CAST(c_nationkey * 100 + 850 AS DOUBLE) END AS AMT_ANNUITY",
+        "CAST(CASE WHEN o_orderkey % 7 = 0 THEN 365243 ELSE -(o_orderkey % 15000) END AS BIGINT) AS DAYS_EMPLOYED",
+        "c_mktsegment AS NAME_EDUCATION_TYPE",
+        "o_orderpriority AS NAME_FAMILY_STATUS",
+        "o_orderkey % 4 AS CNT_CHILDREN",
+        "-(7000 + o_orderkey % 18000) AS DAYS_BIRTH",
+        "repeat(c_name, 4) AS ORGANIZATION_TYPE",
+        "c_nationkey % 3 + 1 AS REGION_RATING_CLIENT_W_CITY",
+        "o_orderkey % 2 AS REG_CITY_NOT_WORK_CITY",
+        "CAST(-(o_orderkey % 9000) AS DOUBLE) AS DAYS_REGISTRATION",
+        "o_orderkey AS _seq",
+        "o_orderdate AS _ts",
+        "concat('run_', CAST(o_orderkey % 3 AS STRING)) AS _run",
     )
 
 
@@ -74,17 +73,15 @@ def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     An ``error`` event stands for a failed extraction: income 0.0.
     """
     e = table(spark, sf_dir, "events").filter(F.col("event_type").isin(*DOC_EVENT_TYPES))
-    return e.select(
-        (F.col("user_id") * 20).cast("string").alias("SK_ID_CURR"),
-        F.when(F.col("event_type") == "error", F.lit(0.0)).otherwise(F.col("value") * 100).alias("AMT_INCOME_TOTAL"),
-        F.struct(
-            F.col("event_type").alias("document_type"),
-            F.get_json_object("props", "$.k").cast("double").alias("confidence_score"),
-        ).alias(DOC_METADATA_KEY),
-        (F.lit(DOC_SEQ_BASE) + F.col("event_id")).alias("_seq"),
-        F.col("ts").alias("_ts"),
-        F.lit("run_idp").alias("_run"),
-        F.concat(F.lit("idp_boleta_"), F.col("event_id").cast("string"), F.lit(".json")).alias("_file"),
+    return e.selectExpr(
+        "CAST(user_id * 20 AS STRING) AS SK_ID_CURR",
+        "CASE WHEN event_type = 'error' THEN 0.0D ELSE value * 100 END AS AMT_INCOME_TOTAL",
+        f"named_struct('document_type', event_type, 'confidence_score', "
+        f"CAST(get_json_object(props, '$.k') AS DOUBLE)) AS {DOC_METADATA_KEY}",
+        f"{DOC_SEQ_BASE} + event_id AS _seq",
+        "ts AS _ts",
+        "'run_idp' AS _run",
+        "concat('idp_boleta_', CAST(event_id AS STRING), '.json') AS _file",
     )
 
 
