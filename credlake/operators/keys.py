@@ -2,25 +2,33 @@
 
 Keys are dense and deterministic: ``start + position`` in business-key order.
 A global ``row_number()`` over an unpartitioned window would pull every row
-into one task, so instead:
-
-1. range-partition the rows by the ordering columns and sort each partition;
-2. record each row's partition id and position inside its partition;
-3. freeze that layout with a reliable ``checkpoint()`` so every later job
-   (and any task re-run after an executor loss) sees the same partitions;
-4. count rows per partition (one small row per partition) and turn the
-   counts into running offsets;
-5. key = start + offset(partition) + position + 1, via a broadcast join of
-   the offsets table, whose size is bounded by the partition count.
+into one task, so two distributed plans are used instead.
+
+Integer and date keys (``bk_id_solicitud``, ``dd_id_solicitud``, ``fecha``):
+fixed-width range buckets.  ``bucket = floor(key / WIDTH)`` is monotone in the
+key, so ordering by (bucket, key) *is* key order.  Keys are unique, so a
+bucket holds at most WIDTH rows (a bounded task, whatever the skew of the
+data elsewhere), and the per-bucket counts table has at most
+``key range / WIDTH`` rows (65,536 for 32-bit keys), a proven bound for its
+broadcast.  Key = start + rows in earlier buckets + ``row_number()`` inside
+the bucket.  Everything stays lazy and deterministic: no sampling, no
+checkpoint, recomputation after an executor loss yields the same keys.
+
+Other key types (product names): range-partition by the key, freeze the
+layout with a reliable ``checkpoint()``, count rows per partition (one row
+per partition), broadcast the running offsets, and add each row's position
+inside its sorted partition.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
+BUCKET_WIDTH = 1 << 16
 _PID_SHIFT = 1 << 33  # monotonically_increasing_id = partition id << 33 | row index
 
 
@@ -30,9 +38,37 @@ def _num_partitions(df: DataFrame, requested: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def assign_keys(df: DataFrame, sk_col: str, order_cols: list[str], start: int = 0,
-                num_partitions: int | None = None, key_type: str = "int") -> DataFrame:
-    """Add ``sk_col`` = start + 1 .. start + n in ``order_cols`` order."""
+def _bucketable(df: DataFrame, order_cols: list[str]) -> bool:
+    if len(order_cols) != 1:
+        return False
+    t = df.schema[order_cols[0]].dataType
+    return isinstance(t, (T.IntegerType, T.ShortType, T.ByteType, T.DateType))
+
+
+def _as_long(df: DataFrame, col: str):
+    c = F.col(col)
+    if isinstance(df.schema[col].dataType, T.DateType):
+        return F.unix_date(c).cast("long")
+    return c.cast("long")
+
+
+def assign_keys_by_bucket(df: DataFrame, sk_col: str, key: str, start: int = 0, key_type: str = "int",
+                          width: int = BUCKET_WIDTH) -> DataFrame:
+    b = F.floor(_as_long(df, key) / F.lit(width)).alias("_bkt")
+    with_b = df.withColumn("_bkt", b)
+    offsets = (with_b.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_bkt", F.coalesce(F.sum("_n").over(
+                   Window.orderBy(F.col("_bkt").asc_nulls_first())
+                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off")))
+    ranked = with_b.withColumn(
+        "_pos", F.row_number().over(Window.partitionBy("_bkt").orderBy(F.col(key).asc_nulls_first())))
+    keyed = ranked.join(F.broadcast(offsets), ranked["_bkt"].eqNullSafe(offsets["_bkt"]), "inner")
+    sk = (F.lit(int(start)) + F.col("_off") + F.col("_pos")).cast(key_type)
+    return keyed.select(*[ranked[c] for c in df.columns], sk.alias(sk_col))
+
+
+def assign_keys_by_range(df: DataFrame, sk_col: str, order_cols: list[str], start: int = 0,
+                         num_partitions: int | None = None, key_type: str = "int") -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = _num_partitions(df, num_partitions)
@@ -52,6 +88,14 @@ def assign_keys(df: DataFrame, sk_col: str, order_cols: list[str], start: int =
     return keyed.withColumn(sk_col, sk).drop("_pid", "_pos", "_off")
 
 
+def assign_keys(df: DataFrame, sk_col: str, order_cols: list[str], start: int = 0,
+                num_partitions: int | None = None, key_type: str = "int") -> DataFrame:
+    """Add ``sk_col`` = start + 1 .. start + n in ``order_cols`` order (unique keys)."""
+    if _bucketable(df, order_cols):
+        return assign_keys_by_bucket(df, sk_col, order_cols[0], start, key_type)
+    return assign_keys_by_range(df, sk_col, order_cols, start, num_partitions, key_type)
+
+
 def max_key(df: DataFrame, sk_col: str) -> int:
     """Current maximum surrogate key (0 for an empty table).
 

@@ -17,10 +17,11 @@ one-column (K-07)      one column                                  proxy
 Rows only in the target are kept (upserts never delete).  New rows get
 surrogate keys continuing after the target's maximum (G-09).
 
-Plan: ``target LEFT JOIN source`` rewrites existing rows and
-``source LEFT ANTI JOIN target`` yields inserts.  Both joins hash-partition
-both sides on the key, and Spark reuses the identical shuffles, so each side
-is exchanged once; AQE splits skewed partitions.
+Plan: one ``target FULL OUTER JOIN source`` on the key, so each side is
+hash-partitioned once (AQE splits skewed partitions).  Matched and
+target-only rows become the updated/kept rows; source-only rows are the
+inserts and get their keys from ``assign_keys``, whose plan reuses the same
+join exchanges.
 """
 
 from __future__ import annotations
@@ -53,34 +54,41 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
     upd = set(update_cols)
     tschema = {f.name: f.dataType for f in target.schema.fields}
 
-    # existing rows: replace the updated columns where the source matched
-    s_keyed = source.select(*[F.col(c) for c in keys], *[F.col(c).alias(f"_s_{c}") for c in update_cols],
-                            F.lit(True).alias("_s_hit"))
-    existing = target.join(s_keyed, keys, "left")
-    hit = F.coalesce(F.col("_s_hit"), F.lit(False))
+    scols = source.columns
+    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in tcols], F.lit(True).alias("_t_hit"))
+    s_ = source.select(*[F.col(c).alias(f"_s_{c}") for c in scols], F.lit(True).alias("_s_hit"))
+    cond = None
+    for k in keys:
+        e = F.col(f"_t_{k}") == F.col(f"_s_{k}")
+        cond = e if cond is None else cond & e
+    j = t.join(s_, cond, "full_outer")
+    t_hit = F.coalesce(F.col("_t_hit"), F.lit(False))
+    s_hit = F.coalesce(F.col("_s_hit"), F.lit(False))
+
+    # existing rows (target side present): updated where the source matched
     ex_cols = []
     for c in tcols:
+        tc = F.col(f"_t_{c}")
         if c in upd:
-            ex_cols.append(F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).cast(tschema[c]).alias(c))
+            ex_cols.append(F.when(s_hit, F.col(f"_s_{c}")).otherwise(tc).cast(tschema[c]).alias(c))
         elif c in touch and upd:
-            ex_cols.append(F.when(hit, now).otherwise(F.col(c)).cast(tschema[c]).alias(c))
+            ex_cols.append(F.when(s_hit, now).otherwise(tc).cast(tschema[c]).alias(c))
         else:
-            ex_cols.append(F.col(c))
-    existing = existing.select(*ex_cols)
+            ex_cols.append(tc.alias(c))
+    existing = j.filter(t_hit).select(*ex_cols)
 
-    # inserts: source keys absent from the target
-    inserts = source.join(target.select(*keys), keys, "left_anti")
+    # inserts (source only)
     ins_cols = []
     for c in tcols:
-        if c == sk_col:
+        if c == sk_col and sk_col not in source.columns:
             continue
         if c in touch:
             ins_cols.append(now.cast(tschema[c]).alias(c))
         elif c in source.columns:
-            ins_cols.append(F.col(c).cast(tschema[c]).alias(c))
+            ins_cols.append(F.col(f"_s_{c}").cast(tschema[c]).alias(c))
         else:
             ins_cols.append(F.lit(None).cast(tschema[c]).alias(c))
-    inserts = inserts.select(*ins_cols)
+    inserts = j.filter(~t_hit).select(*ins_cols)
     if sk_col is not None and sk_col not in source.columns:
         inserts = assign_keys(inserts, sk_col, keys, start=max_key(target, sk_col), num_partitions=num_partitions,
                               key_type=tschema[sk_col].simpleString())

@@ -77,19 +77,21 @@ def fact_source(silver: DataFrame, dim_cliente: DataFrame, dim_producto: DataFra
     * product: inner join on the name; rows without a product are dropped;
       the dimension is tiny in practice and AQE broadcasts it by its
       measured size;
-    * time: the evaluation date's row.  ``fecha`` is unique, so the filtered
-      side has at most one row: broadcasting it is bounded, and a missing
-      date yields zero fact rows, as in the original.
+    * time: the evaluation date's row.  ``fecha`` is unique, so it is one
+      key value, read as a scalar (a join on a constant would plan as a
+      nested loop); a missing date yields zero fact rows, as in the original.
     """
     d = as_date(as_of)
-    t = dim_tiempo.filter(F.col("fecha") == d).select(F.col("fecha").alias("_fecha"), "sk_tiempo")
+    # the evaluation date's key: one value (fecha is unique), or none
+    row = dim_tiempo.filter(F.col("fecha") == d).select("sk_tiempo").limit(1).first()
     c = dim_cliente.select("bk_id_solicitud", "sk_cliente")
     p = dim_producto.select(F.col("nombre_producto").alias("name_contract_type"), "sk_producto")
     s = silver.select("bk_id_solicitud", "name_contract_type", *FACT_MEASURES)
+    if row is None:
+        s = s.filter(F.lit(False))   # date row missing: zero fact rows
     j = (s.join(c, "bk_id_solicitud", "inner")
          .join(p, "name_contract_type", "inner")
-         .withColumn("_eval", d)
-         .join(F.broadcast(t), F.col("_eval") == F.col("_fecha"), "inner"))
+         .withColumn("sk_tiempo", F.lit(row["sk_tiempo"] if row is not None else None).cast("int")))
     return j.select(
         F.col("bk_id_solicitud").alias("dd_id_solicitud"), "sk_cliente", "sk_producto", "sk_tiempo",
         F.lit(PROXY_DEFAULT_SK).alias("sk_proxy_documental"), *FACT_MEASURES,

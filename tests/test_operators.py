@@ -151,3 +151,17 @@ def test_ledger_skips_pending_and_archived(spark):
     pending = spark.createDataFrame([("a.json",)], "nombre_archivo string")
     archived = spark.createDataFrame([("c.json",)], "nombre_archivo string")
     assert [r[0] for r in not_yet_ingested(cand, pending, archived).collect()] == ["b.json"]
+
+
+def test_assign_keys_bucket_path_int_and_date(spark):
+    from credlake.operators.keys import assign_keys_by_bucket
+    df = spark.range(0, 3000).select(((F.col("id") * 7919 % 6007) * 1000 - 3_000_000).cast("int").alias("k"))
+    out = assign_keys(df, "sk", ["k"], start=5).collect()          # int key -> bucket plan
+    got = [r["sk"] for r in sorted(out, key=lambda r: r["k"])]
+    assert got == list(range(6, 3006))
+    small = assign_keys_by_bucket(df, "sk", "k", width=16).collect()  # many tiny buckets
+    assert [r["sk"] for r in sorted(small, key=lambda r: r["k"])] == list(range(1, 3001))
+    dates = spark.range(0, 400).select(F.date_add(F.lit("1990-01-01").cast("date"), (F.col("id") * 37).cast("int"))
+                                       .alias("fecha"))
+    dk = assign_keys(dates, "sk", ["fecha"]).collect()
+    assert [r["sk"] for r in sorted(dk, key=lambda r: r["fecha"])] == list(range(1, 401))
