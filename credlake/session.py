@@ -122,3 +122,17 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Give per-row work enough tasks when the input is a few unsplittable
+    files (one parquet row group is one scan task).
+
+    Round-robins the rows only when the scan has fewer partitions than the
+    cluster's default parallelism, so large inputs (thousands of splits) are
+    left untouched.  Only the partition count is planned; nothing runs.
+    """
+    target = int(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators.bronze import pack_bronze
 from ..schemas import CSV_FILE_NAME, DOC_METADATA_KEY
+from ..session import spread
 
 # Split point between the "previous" and the "current" load in upsert tests.
 UPSERT_SPLIT = "1997-01-01"
@@ -28,7 +29,9 @@ DOC_EVENT_TYPES = ("purchase", "signup", "error")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; a single-row-group file is spread over the cores so
+    the per-row JSON work that follows runs in parallel."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def application_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
