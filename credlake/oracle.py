@@ -12,7 +12,7 @@ from __future__ import annotations
 from .schemas import (CONFIDENCE_AMOUNT_FOUND, CONFIDENCE_AMOUNT_MISSING, LEGACY_CONFIDENCE,
                       LEGACY_DOC_TYPE, RECEIPT_DOCUMENT_TYPE, SILVER_COLUMNS, SILVER_MESSAGE,
                       SILVER_TARGET, SILVER_TASK, STATUS_OK, VIEW_COLUMNS, AMOUNT_PATTERN,
-                      RECEIPT_PAYLOAD_CONSTANTS, PROXY_DEFAULT_MANUAL_FLAG)
+                      RECEIPT_PAYLOAD_CONSTANTS, PROXY_DEFAULT_MANUAL_FLAG, VARCHAR_LIMITS)
 from .sources.fixtures import AS_OF_CURRENT, AS_OF_PREVIOUS, DOC_SEQ_BASE, UPSERT_SPLIT
 
 LEGACY_DOC_TYPE_SQL = LEGACY_DOC_TYPE.replace("'", "''")
@@ -345,6 +345,22 @@ def q_receipt_extract() -> str:
     FROM p"""
 
 
+def q_receipt_bronze() -> str:
+    return f"""
+    WITH x AS ({q_receipt_extract()})
+    SELECT id_solicitud AS bk_id_solicitud, nombre_archivo AS nombre_archivo_fuente, true AS es_documento,
+           'run_ocr' AS via_airflow_run_id, CAST(amt_income_total AS DECIMAL(12,2)) AS amt_income_total,
+           document_type, CAST(confidence_score AS DECIMAL(5,2)) AS confidence_score
+    FROM x WHERE estado = 'procesado'"""
+
+
+def q_dq_domain() -> str:
+    limits = VARCHAR_LIMITS["silver.cleaned_application"]
+    cols = ", ".join(f"CAST(count(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS largo_excedido_{c}"
+                     for c, n in limits.items())
+    return f"WITH {silver_ctes('s')} SELECT {cols} FROM s_silver"
+
+
 def q_ingest_once() -> str:
     name = "source || '/doc_' || CAST(doc_id AS VARCHAR) || '.json'"
     return f"SELECT {name} AS nombre_archivo, source FROM documents WHERE lang NOT IN ('en', 'fr') OR lang IS NULL"
@@ -395,6 +411,8 @@ ORACLES = {
     "dq_integrity": q_dq_integrity,
     "audit_counts": q_audit_counts,
     "receipt_extract": q_receipt_extract,
+    "receipt_bronze": q_receipt_bronze,
+    "dq_domain": q_dq_domain,
     "ingest_once": q_ingest_once,
     "stream_bronze": q_stream_bronze,
     "load_run": q_vw_riesgo,

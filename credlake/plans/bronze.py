@@ -50,3 +50,32 @@ def documents_to_bronze(docs: DataFrame, run_id: str, seq_base: int = 0,
         .otherwise(F.lit("sin_clave_negocio")).alias("motivo"),
         F.current_timestamp().cast("timestamp_ntz").alias("fecha_rechazo"))
     return good, bad
+
+
+def receipts_to_bronze(extracted: DataFrame, run_id: str, seq_base: int = 0,
+                       loaded_at: Column | None = None) -> DataFrame:
+    """K-02 re-aimed: processed receipts go straight to bronze as document
+    records (their payload JSON), skipping the one-file-per-document hop.
+
+    Ignored and failed receipts produce no record, as before.
+    """
+    # the payload is built by the extractor: valid JSON with the key and the
+    # metadata by construction, so no re-parse is needed to route it
+    return extracted.filter(F.col("estado") == "procesado").select(
+        _sequence(seq_base).alias("id_secuencial"),
+        F.col("id_solicitud").alias("bk_id_solicitud"),
+        F.col("payload").alias("datos_origen_raw"),
+        F.lit(run_id).alias("via_airflow_run_id"),
+        F.col("nombre_archivo").alias("nombre_archivo_fuente"),
+        (loaded_at if loaded_at is not None else F.current_timestamp()).cast("timestamp_ntz").alias("fecha_ingestion"),
+        F.lit(True).alias("es_documento"),
+    )
+
+
+def write_payloads(extracted: DataFrame, directory: str) -> None:
+    """K-02 as files: processed payloads appended as JSON lines (one document
+    per line; many per file), readable by the file stream with
+    ``whole_file=False``.  One file per document, as the original wrote, does
+    not scale to millions of receipts."""
+    (extracted.filter(F.col("payload").isNotNull()).select(F.col("payload").alias("value"))
+     .write.mode("append").text(directory))

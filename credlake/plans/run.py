@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.audit import audit_entry, with_log_ids
@@ -34,7 +34,7 @@ SILVER = "silver.cleaned_application"
 class RunReport:
     run_id: str
     gate: dict = field(default_factory=dict)
-    quarantined: int = 0
+    counters: dict = field(default_factory=dict)
     versions: dict = field(default_factory=dict)
 
 
@@ -44,26 +44,37 @@ def init_warehouse(store: TableStore) -> None:
 
 
 def ingest_batch(spark: SparkSession, store: TableStore, run_id: str, csv_path: str | None = None,
-                 docs_dir: str | None = None, quarantine_dir: str | None = None) -> int:
+                 docs_dir: str | None = None, quarantine_dir: str | None = None,
+                 docs_pattern: str | None = None, docs_whole_file: bool = True) -> dict:
     """Stage 2 as a batch: CSV (optional) then documents (optional).
 
-    Returns the number of quarantined documents.
+    Returns the load counters (A-06), gathered with ``observe`` while the
+    rows are written, so counting costs no extra pass.
     """
+    counters = {}
     base = max_key(store.read(BRONZE_TABLE), "id_secuencial") + 1
     if csv_path:
         csv = read_application_csv(spark, csv_path)
         if csv is not None:
-            store.append_bronze(csv_to_bronze(csv, run_id, seq_base=base))
-            base = max_key(store.read(BRONZE_TABLE), "id_secuencial") + 1
-    bad_n = 0
+            obs = Observation("csv")
+            rows = csv_to_bronze(csv, run_id, seq_base=base).observe(
+                obs, F.count(F.lit(1)).alias("filas"), F.max("id_secuencial").alias("max_seq"))
+            store.append_bronze(rows)
+            m = obs.get
+            counters["csv_filas"] = m.get("filas", 0)
+            base = max(base, (m.get("max_seq") or 0) + 1)
     if docs_dir:
-        docs = read_documents(spark, docs_dir)
+        docs = (read_documents(spark, docs_dir, docs_pattern, docs_whole_file) if docs_pattern
+                else read_documents(spark, docs_dir, whole_file=docs_whole_file))
         good, bad = documents_to_bronze(docs, run_id, seq_base=base)
-        store.append_bronze(good)
+        obs = Observation("documentos")
+        store.append_bronze(good.observe(obs, F.count(F.lit(1)).alias("filas")))
+        counters["documentos_filas"] = obs.get.get("filas", 0)
         if quarantine_dir:
-            bad.write.mode("append").parquet(quarantine_dir)
-            bad_n = spark.read.parquet(quarantine_dir).filter(F.col("via_airflow_run_id") == run_id).count()
-    return bad_n
+            qobs = Observation("cuarentena")
+            bad.observe(qobs, F.count(F.lit(1)).alias("filas")).write.mode("append").parquet(quarantine_dir)
+            counters["documentos_cuarentena"] = qobs.get.get("filas", 0)
+    return counters
 
 
 def load_silver(store: TableStore, method: str = "fused") -> str:
@@ -113,7 +124,7 @@ def run_load(spark: SparkSession, store: TableStore, run_id: str, *, bronze_rows
     if bronze_rows is not None:
         store.append_bronze(bronze_rows)
     else:
-        rep.quarantined = ingest_batch(spark, store, run_id, csv_path, docs_dir, quarantine_dir)
+        rep.counters = ingest_batch(spark, store, run_id, csv_path, docs_dir, quarantine_dir)
     rep.versions[SILVER] = load_silver(store, silver_method)
     silver = store.read(SILVER)
     log(store, silver, run_id)

@@ -22,10 +22,10 @@ from .sources.files import read_application_csv
 from .sources.store import TableStore
 from .operators.audit import audit_entries
 from .operators.ledger import not_yet_ingested
-from .operators.quality import silver_gate, star_integrity
+from .operators.quality import silver_gate, star_integrity, varchar_violations
 from .operators.receipts import extract_receipts
 from .operators.upsert import upsert
-from .plans.bronze import csv_to_bronze
+from .plans.bronze import csv_to_bronze, receipts_to_bronze
 from .plans.run import current_view, run_load
 from .session import materialize, scratch_dir
 from .streaming.file_ingest import start_bronze_stream
@@ -203,6 +203,23 @@ def q_receipt_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.drop("payload")
 
 
+def q_receipt_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-02 + K-01: processed receipts appended to bronze as document records,
+    read back through the silver document parser."""
+    b = receipts_to_bronze(extract_receipts(fx.receipt_rows(spark, sf_dir)), "run_ocr")
+    p = F.from_json("datos_origen_raw", S.DOC_PAYLOAD)
+    return b.select(
+        "bk_id_solicitud", "nombre_archivo_fuente", "es_documento", "via_airflow_run_id",
+        p["AMT_INCOME_TOTAL"].cast("decimal(12,2)").alias("amt_income_total"),
+        p[S.DOC_METADATA_KEY]["document_type"].alias("document_type"),
+        p[S.DOC_METADATA_KEY]["confidence_score"].cast("decimal(5,2)").alias("confidence_score"))
+
+
+def q_dq_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-08: values longer than the declared VARCHAR(n) widths of silver."""
+    return varchar_violations(_silver(spark, sf_dir), S.VARCHAR_LIMITS["silver.cleaned_application"])
+
+
 def q_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     cand, pending, archived = fx.manifest(spark, sf_dir)
     return not_yet_ingested(cand, pending, archived)
@@ -257,6 +274,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_integrity": q_dq_integrity,
     "audit_counts": q_audit_counts,
     "receipt_extract": q_receipt_extract,
+    "receipt_bronze": q_receipt_bronze,
+    "dq_domain": q_dq_domain,
     "ingest_once": q_ingest_once,
     "stream_bronze": q_stream_bronze,
     "load_run": q_load_run,

@@ -52,12 +52,14 @@ def read_application_csv(spark: SparkSession, path: str, na_tokens: bool = True)
     return na_to_null(df) if na_tokens else df
 
 
-def read_documents(spark: SparkSession, directory: str, pattern: str = DOC_FILE_GLOB) -> DataFrame:
-    """S-02: whole-file JSON documents with lineage columns."""
+def read_documents(spark: SparkSession, directory: str, pattern: str = DOC_FILE_GLOB,
+                   whole_file: bool = True) -> DataFrame:
+    """S-02: JSON documents with lineage columns: one per file (the original
+    layout) or, with ``whole_file=False``, one per line (JSON-lines drops)."""
     if not path_exists(spark, directory):
         return spark.createDataFrame([], DOC_TEXT)
     # text()'s own wholetext argument overrides a reader option, so pass it here
-    df = spark.read.option("pathGlobFilter", pattern).text(directory, wholetext=True)
+    df = spark.read.option("pathGlobFilter", pattern).text(directory, wholetext=whole_file)
     return df.select("value", F.col("_metadata.file_name").alias("nombre_archivo"),
                      F.col("_metadata.file_modification_time").alias("fecha_archivo"))
 

@@ -45,13 +45,18 @@ def start_bronze_stream(spark: SparkSession, store: TableStore, source_dir: str,
                         archive_dir: str | None = None, whole_file: bool = True,
                         available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     stream = document_stream(spark, source_dir, pattern, archive_dir, max_files_per_trigger, whole_file)
+    # sequence base: bronze's maximum once at start (parquet footers), then
+    # carried from batch to batch, so a micro-batch never rescans bronze
+    seq = {"next": max_key(store.read("bronze.raw_application"), "id_secuencial") + 1}
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read twice: loadable rows and quarantine
         try:
-            base = max_key(store.read("bronze.raw_application"), "id_secuencial") + 1
-            good, bad = documents_to_bronze(batch, run_id, seq_base=base)
+            good, bad = documents_to_bronze(batch, run_id, seq_base=seq["next"])
+            good = good.persist()
             store.append_bronze(good)
+            seq["next"] = max(seq["next"], max_key(good, "id_secuencial") + 1)
+            good.unpersist()
             bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine_dir)
         finally:
             batch.unpersist()

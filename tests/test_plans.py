@@ -164,3 +164,24 @@ def test_gate_stops_gold(spark, tmp_root):
     with pytest.raises(QualityGateError):
         run_load(spark, store, "r", bronze_rows=rows, as_of=dt.date(2024, 1, 7))
     assert store.read("gold.fact_creditos").count() == 0
+
+
+def test_batch_ingest_counters_and_payload_sink(spark, tmp_root):
+    from credlake.operators.receipts import extract_receipts
+    from credlake.plans.bronze import write_payloads
+    from credlake.plans.run import ingest_batch
+    csv = f"{tmp_root}/application_train.csv"
+    with open(csv, "w") as f:
+        f.write("SK_ID_CURR,TARGET,AMT_CREDIT\n1,0,10.0\n2,1,NA\n")
+    rec = spark.createDataFrame([("1_a.jpg", "NETO A PAGAR S/ 1,000.00"), ("x_b.jpg", "NETO A PAGAR S/ 5.00")],
+                                "nombre_archivo string, texto string")
+    write_payloads(extract_receipts(rec), f"{tmp_root}/drop")
+    store = TableStore(spark, root=f"{tmp_root}/wh")
+    c = ingest_batch(spark, store, "r", csv_path=csv, docs_dir=f"{tmp_root}/drop",
+                     quarantine_dir=f"{tmp_root}/q", docs_pattern="*.txt", docs_whole_file=False)
+    assert c == {"csv_filas": 2, "documentos_filas": 1, "documentos_cuarentena": 0}
+    b = store.read("bronze.raw_application").orderBy("id_secuencial").collect()
+    assert [(r["bk_id_solicitud"], r["es_documento"]) for r in b] == [("1", False), ("2", False), ("1", True)]
+    assert len({r["id_secuencial"] for r in b}) == 3
+    silver = build_silver(store.read("bronze.raw_application").filter("bk_id_solicitud = '1'")).first()
+    assert silver["amt_income_total"] == 1000 and silver["amt_credit"] == 10
