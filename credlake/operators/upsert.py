@@ -17,11 +17,16 @@ one-column (K-07)      one column                                  proxy
 Rows only in the target are kept (upserts never delete).  New rows get
 surrogate keys continuing after the target's maximum (G-09).
 
-Plan: one ``target FULL OUTER JOIN source`` on the key, so each side is
-hash-partitioned once (AQE splits skewed partitions).  Matched and
-target-only rows become the updated/kept rows; source-only rows are the
-inserts and get their keys from ``assign_keys``, whose plan reuses the same
-join exchanges.
+Plan.  The source is staged once (a reliable checkpoint in
+``spark.checkpoint.dir``): it is usually expensive (the silver build
+aggregates all of bronze; the fact source joins silver to its dimensions)
+and is read by both halves of the upsert, which Catalyst prunes differently,
+so without staging it would be recomputed per half.  Then
+
+* updated/kept rows: ``target LEFT JOIN source`` on the key (each side
+  hash-partitioned once; AQE splits skewed partitions);
+* inserts: ``source LEFT ANTI JOIN target-keys``, staged too (new keys are
+  usually few) so surrogate-key assignment reads them instead of re-joining.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .keys import assign_keys, max_key
 
 
@@ -38,13 +44,14 @@ def _now() -> Column:
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols: list[str] | None = None,
            touch_cols: list[str] | None = None, sk_col: str | None = None, now: Column | None = None,
-           num_partitions: int | None = None) -> DataFrame:
+           num_partitions: int | None = None, stage_source: bool = True) -> DataFrame:
     """``INSERT source ON CONFLICT (keys) DO UPDATE SET update_cols, touch_cols = now``.
 
     ``update_cols=None`` means every non-key, non-surrogate source column;
     ``[]`` means ``DO NOTHING``.  ``touch_cols`` are set to ``now`` on
     insert and on update (load-time columns).  Target columns missing from
-    the source are NULL on insert.
+    the source are NULL on insert.  ``stage_source=False`` skips staging
+    for a source that is a cheap, deterministic scan.
     """
     now = now if now is not None else _now()
     touch = list(touch_cols or [])
@@ -54,30 +61,23 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
     upd = set(update_cols)
     tschema = {f.name: f.dataType for f in target.schema.fields}
 
-    scols = source.columns
-    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in tcols], F.lit(True).alias("_t_hit"))
-    s_ = source.select(*[F.col(c).alias(f"_s_{c}") for c in scols], F.lit(True).alias("_s_hit"))
-    cond = None
-    for k in keys:
-        e = F.col(f"_t_{k}") == F.col(f"_s_{k}")
-        cond = e if cond is None else cond & e
-    j = t.join(s_, cond, "full_outer")
-    t_hit = F.coalesce(F.col("_t_hit"), F.lit(False))
-    s_hit = F.coalesce(F.col("_s_hit"), F.lit(False))
-
-    # existing rows (target side present): updated where the source matched
+    if stage_source:
+        source = materialize(source)
+    s_keyed = source.select(*[F.col(c) for c in keys], *[F.col(c).alias(f"_s_{c}") for c in update_cols],
+                            F.lit(True).alias("_s_hit"))
+    existing = target.join(s_keyed, keys, "left")
+    hit = F.coalesce(F.col("_s_hit"), F.lit(False))
     ex_cols = []
     for c in tcols:
-        tc = F.col(f"_t_{c}")
         if c in upd:
-            ex_cols.append(F.when(s_hit, F.col(f"_s_{c}")).otherwise(tc).cast(tschema[c]).alias(c))
+            ex_cols.append(F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).cast(tschema[c]).alias(c))
         elif c in touch and upd:
-            ex_cols.append(F.when(s_hit, now).otherwise(tc).cast(tschema[c]).alias(c))
+            ex_cols.append(F.when(hit, now).otherwise(F.col(c)).cast(tschema[c]).alias(c))
         else:
-            ex_cols.append(tc.alias(c))
-    existing = j.filter(t_hit).select(*ex_cols)
+            ex_cols.append(F.col(c))
+    existing = existing.select(*ex_cols)
 
-    # inserts (source only)
+    inserts = source.join(target.select(*keys), keys, "left_anti")
     ins_cols = []
     for c in tcols:
         if c == sk_col and sk_col not in source.columns:
@@ -85,11 +85,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
         if c in touch:
             ins_cols.append(now.cast(tschema[c]).alias(c))
         elif c in source.columns:
-            ins_cols.append(F.col(f"_s_{c}").cast(tschema[c]).alias(c))
+            ins_cols.append(F.col(c).cast(tschema[c]).alias(c))
         else:
             ins_cols.append(F.lit(None).cast(tschema[c]).alias(c))
-    inserts = j.filter(~t_hit).select(*ins_cols)
+    inserts = inserts.select(*ins_cols)
     if sk_col is not None and sk_col not in source.columns:
+        if stage_source:
+            inserts = materialize(inserts)
         inserts = assign_keys(inserts, sk_col, keys, start=max_key(target, sk_col), num_partitions=num_partitions,
                               key_type=tschema[sk_col].simpleString())
     return existing.unionByName(inserts.select(*tcols))
