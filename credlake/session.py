@@ -30,6 +30,23 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (not applied by get_spark, which is local).
+# Scans: 256 MB splits.  Shuffles: start with many partitions and let AQE
+# coalesce them to ~256 MB each, so the same job fits 1 GB and 100 TB; skewed
+# join partitions above 5x the median and 512 MB are split.  Broadcasts stay
+# behind Spark's measured-size threshold (AQE re-checks it at runtime).
+CLUSTER_CONF = {
+    **BASE_CONF,
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+}
+
+
 def get_spark(app: str = "credlake", cpus: str | int = "*", shuffle_partitions: int = 8,
               driver_memory: str = "16g", extra: dict | None = None) -> SparkSession:
     """Local session for tests and benchmarks (clusters bring their own)."""

@@ -31,7 +31,9 @@ class TableStore:
         schema, name = table.split(".", 1)
         return f"{self.root}/{schema}/{name}"
 
-    def _versions(self, table: str) -> list[int]:
+    def _versions(self, table: str, committed: bool = True) -> list[int]:
+        """Version numbers present; ``committed`` keeps only those whose job
+        commit finished (``_SUCCESS`` written)."""
         p, fs = _hadoop_path(self.spark, self.table_dir(table))
         if not fs.exists(p):
             return []
@@ -40,7 +42,7 @@ class TableStore:
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("v="):
                 ok, _ = _hadoop_path(self.spark, f"{st.getPath().toString()}/_SUCCESS")
-                if fs.exists(ok):
+                if not committed or fs.exists(ok):
                     out.append(int(name[2:]))
         return sorted(out)
 
@@ -65,7 +67,9 @@ class TableStore:
     def overwrite(self, table: str, df: DataFrame, sort_within: list[str] | None = None) -> str:
         """Commit ``df`` as the table's next version and return its path."""
         schema = TABLES[table]
-        v = self._versions(table)
+        # past every folder, committed or not: a failed load leaves a partial
+        # version that readers ignore and writers never reuse
+        v = self._versions(table, committed=False)
         path = f"{self.table_dir(table)}/v={(v[-1] + 1) if v else 1}"
         out = df.select(*[df[f.name].cast(f.dataType) for f in schema.fields])
         if sort_within:

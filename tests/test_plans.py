@@ -185,3 +185,15 @@ def test_batch_ingest_counters_and_payload_sink(spark, tmp_root):
     assert len({r["id_secuencial"] for r in b}) == 3
     silver = build_silver(store.read("bronze.raw_application").filter("bk_id_solicitud = '1'")).first()
     assert silver["amt_income_total"] == 1000 and silver["amt_credit"] == 10
+
+
+def test_store_ignores_and_skips_partial_versions(spark, tmp_root):
+    store = TableStore(spark, root=f"{tmp_root}/wh")
+    t = "gold.dim_producto"
+    store.overwrite(t, spark.createDataFrame([(1, "a", "r", None)], S.DIM_PRODUCTO))
+    os.makedirs(f"{store.table_dir(t)}/v=2")          # a load that died before its commit
+    with open(f"{store.table_dir(t)}/v=2/part-0.parquet", "w") as f:
+        f.write("garbage")
+    assert [r["nombre_producto"] for r in store.read(t).collect()] == ["a"]
+    p = store.overwrite(t, spark.createDataFrame([(2, "b", "r", None)], S.DIM_PRODUCTO))
+    assert p.endswith("v=3") and [r["nombre_producto"] for r in store.read(t).collect()] == ["b"]
