@@ -43,3 +43,22 @@ def with_log_ids(log: DataFrame, entries: DataFrame, start: int) -> DataFrame:
         (F.lit(int(start)) + F.row_number().over(w)).cast("int").alias("log_id"), "*",
         F.current_timestamp().cast("timestamp_ntz").alias("fecha_ejecucion"))
     return out.select(*[F.col(f.name).cast(f.dataType) for f in AUDIT.fields])
+
+
+AUDIT_SQL = """
+SELECT :run_id AS via_airflow_run_id,
+       :task AS nombre_tarea,
+       :target AS capa_destino,
+       CAST((SELECT count(*) FROM IDENTIFIER(:layer) WHERE via_airflow_run_id = :run_id) AS INT) AS filas_procesadas,
+       :status AS estado_ejecucion,
+       :message AS mensaje_detalle
+"""
+
+
+def audit_entry_sql(spark, layer_view: str, run_id: str, task: str = SILVER_TASK, target: str = SILVER_TARGET,
+                    status: str = STATUS_OK, message: str = SILVER_MESSAGE) -> DataFrame:
+    """P-05 + A-05 in SQL: the run id is a bound parameter (never spliced
+    into the text, so it cannot inject SQL) and the count is a scalar
+    subquery over a registered view."""
+    return spark.sql(AUDIT_SQL, args={"run_id": run_id, "task": task, "target": target, "status": status,
+                                      "message": message, "layer": layer_view})

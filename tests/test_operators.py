@@ -165,3 +165,11 @@ def test_assign_keys_bucket_path_int_and_date(spark):
                                        .alias("fecha"))
     dk = assign_keys(dates, "sk", ["fecha"]).collect()
     assert [r["sk"] for r in sorted(dk, key=lambda r: r["fecha"])] == list(range(1, 401))
+
+
+def test_audit_sql_binds_run_id(spark):
+    from credlake.operators.audit import audit_entry_sql
+    spark.createDataFrame([("r1",), ("r1",), ("x' OR '1'='1",)], "via_airflow_run_id string") \
+        .createOrReplaceTempView("silver_audit_test")
+    assert audit_entry_sql(spark, "silver_audit_test", "r1").first()["filas_procesadas"] == 2
+    assert audit_entry_sql(spark, "silver_audit_test", "x' OR '1'='1").first()["filas_procesadas"] == 1
