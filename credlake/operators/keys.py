@@ -14,10 +14,11 @@ broadcast.  Key = start + rows in earlier buckets + ``row_number()`` inside
 the bucket.  Everything stays lazy and deterministic: no sampling, no
 checkpoint, recomputation after an executor loss yields the same keys.
 
-Other key types (product names): range-partition by the key, freeze the
-layout with a reliable ``checkpoint()``, count rows per partition (one row
-per partition), broadcast the running offsets, and add each row's position
-inside its sorted partition.
+Other key types (product names): range-partition by the key, record each
+row's partition id and position inside its sorted partition as columns, and
+store that (``materialize``, a written table in the shared folder) so the
+counts and the keys see the same layout; count rows per partition (one row
+per partition), broadcast the running offsets, key = offset + position.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 BUCKET_WIDTH = 1 << 16
 _PID_SHIFT = 1 << 33  # monotonically_increasing_id = partition id << 33 | row index
@@ -77,7 +78,7 @@ def assign_keys_by_range(df: DataFrame, sk_col: str, order_cols: list[str], star
               .withColumn("_pid", F.spark_partition_id())
               # position inside this (sorted) partition
               .withColumn("_pos", F.monotonically_increasing_id() - F.col("_pid").cast("long") * F.lit(_PID_SHIFT)))
-    frozen = ranged.checkpoint(eager=True)
+    frozen = materialize(ranged, "keys")
     counts = frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",

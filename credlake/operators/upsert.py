@@ -17,8 +17,8 @@ one-column (K-07)      one column                                  proxy
 Rows only in the target are kept (upserts never delete).  New rows get
 surrogate keys continuing after the target's maximum (G-09).
 
-Plan.  The source is staged once (a reliable checkpoint in
-``spark.checkpoint.dir``): it is usually expensive (the silver build
+Plan.  The source is staged once (``materialize``: a Parquet table in the
+shared folder): it is usually expensive (the silver build
 aggregates all of bronze; the fact source joins silver to its dimensions)
 and is read by both halves of the upsert, which Catalyst prunes differently,
 so without staging it would be recomputed per half.  Then

@@ -130,15 +130,19 @@ def to_local_path(path: str) -> str | None:
     return path if os.path.isabs(path) else None
 
 
-def materialize(df):
-    """Store an intermediate layer and cut its lineage (reliable checkpoint).
-
-    Used where the original keeps a table between statements: later jobs read
-    the stored rows instead of recomputing the layer, and a lost executor
-    recomputes nothing upstream of it.
+def materialize(df, name: str = "stage"):
+    """Store an intermediate layer and cut its lineage.
+
+    Writes a Parquet table in a fresh folder under the shared root and reads
+    it back: the layer is computed once (an eager ``checkpoint()`` computes
+    it twice unless cached), later jobs read compact columnar files with
+    real size statistics (so the planner can decide broadcasts statically),
+    and a lost executor recomputes nothing upstream of it.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def spread(df, min_partitions: int | None = None):

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import base_name
 from ..operators.bronze import na_to_null
 from ..schemas import DOC_FILE_GLOB, IMAGE_GLOB
 
@@ -69,5 +70,5 @@ def read_images(spark: SparkSession, directory: str, pattern: str = IMAGE_GLOB)
     if not path_exists(spark, directory):
         return spark.createDataFrame([], IMAGES)
     df = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
-    return df.select(F.col("path").alias("ruta"), F.regexp_extract("path", r"([^/]+)$", 1).alias("nombre_archivo"),
+    return df.select(F.col("path").alias("ruta"), base_name(F.col("path")).alias("nombre_archivo"),
                      F.col("length").alias("tamano"), F.col("modificationTime").alias("fecha_archivo"))

@@ -28,10 +28,22 @@ DOC_SEQ_BASE = 1_000_000_000
 DOC_EVENT_TYPES = ("purchase", "signup", "error")
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; a single-row-group file is spread over the cores so
-    the per-row JSON work that follows runs in parallel."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    the per-row JSON work that follows runs in parallel.
+
+    The frame is kept per session and path (the tables are read-only), so
+    listing and schema inference happen once, not in every query.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spread(spark.read.parquet(path))
+    return df
 
 
 def application_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,3 +197,37 @@ def test_store_ignores_and_skips_partial_versions(spark, tmp_root):
     assert [r["nombre_producto"] for r in store.read(t).collect()] == ["a"]
     p = store.overwrite(t, spark.createDataFrame([(2, "b", "r", None)], S.DIM_PRODUCTO))
     assert p.endswith("v=3") and [r["nombre_producto"] for r in store.read(t).collect()] == ["b"]
+
+
+def test_image_manifest_to_receipt_ids(spark, tmp_root):
+    from credlake.functions.text import id_prefix, is_numeric_id, upload_name
+    land = f"{tmp_root}/landing"
+    os.makedirs(land)
+    for name in ["100002_boleta.jpg", "x_boleta.jpg", "notes.txt"]:
+        with open(f"{land}/{name}", "wb") as f:
+            f.write(b"\xff\xd8\xff")
+    m = read_images(spark, land)
+    rows = sorted((r["nombre_archivo"], r["tamano"]) for r in m.collect())
+    assert rows == [("100002_boleta.jpg", 3), ("x_boleta.jpg", 3)]          # *.jpg only, bytes not loaded
+    ids = {r["n"]: r["ok"] for r in m.select(F.col("nombre_archivo").alias("n"),
+                                               is_numeric_id(id_prefix(F.col("nombre_archivo"))).alias("ok")).collect()}
+    assert ids == {"100002_boleta.jpg": True, "x_boleta.jpg": False}
+    up = spark.createDataFrame([("100002", "boleta.jpg")], "i string, n string")
+    assert up.select(upload_name(F.col("i"), F.col("n")).alias("u")).first()["u"] == "100002_boleta.jpg"
+
+
+def test_stream_archives_consumed_files(spark, tmp_root):
+    raw, arch = f"{tmp_root}/raw", f"{tmp_root}/archive"
+    _write_docs(raw)
+    store = TableStore(spark, root=f"{tmp_root}/wh")
+    args = dict(spark=spark, store=store, source_dir=raw, checkpoint_dir=f"{tmp_root}/ck",
+                quarantine_dir=f"{tmp_root}/q", run_id="r", archive_dir=arch)
+    start_bronze_stream(**args).awaitTermination()
+    with open(f"{raw}/idp_boleta_20260615_020458.json", "w") as f:       # a later drop
+        f.write(SAMPLE_DOCUMENT.replace("999999", "777"))
+    start_bronze_stream(**args).awaitTermination()
+    keys = sorted(r["bk_id_solicitud"] for r in store.read("bronze.raw_application").collect())
+    assert keys == ["777", "999999"]
+    archived = [f for _, _, fs in os.walk(arch) for f in fs]
+    assert "idp_boleta_20260615_020456.json" in archived                # moved a batch later
+    assert not os.path.exists(f"{raw}/idp_boleta_20260615_020456.json")
