@@ -77,7 +77,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
             ex_cols.append(F.col(c))
     existing = existing.select(*ex_cols)
 
-    inserts = source.join(target.select(*keys), keys, "left_anti")
+    start = max_key(target, sk_col) if sk_col is not None and sk_col not in source.columns else None
+    # first load into an empty table: every source row is an insert (and the
+    # source is already staged), so neither the anti join nor a second
+    # staging is needed
+    first_load = start == 0 and target.isEmpty()
+    inserts = source if first_load else source.join(target.select(*keys), keys, "left_anti")
     ins_cols = []
     for c in tcols:
         if c == sk_col and sk_col not in source.columns:
@@ -89,10 +94,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
         else:
             ins_cols.append(F.lit(None).cast(tschema[c]).alias(c))
     inserts = inserts.select(*ins_cols)
-    if sk_col is not None and sk_col not in source.columns:
-        if stage_source:
+    if start is not None:
+        if stage_source and not first_load:
             inserts = materialize(inserts)
-        inserts = assign_keys(inserts, sk_col, keys, start=max_key(target, sk_col), num_partitions=num_partitions,
+        inserts = assign_keys(inserts, sk_col, keys, start=start, num_partitions=num_partitions,
                               key_type=tschema[sk_col].simpleString())
     return existing.unionByName(inserts.select(*tcols))
 

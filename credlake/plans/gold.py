@@ -29,15 +29,18 @@ def build_dim_producto(silver: DataFrame, dim: DataFrame, run_id: str, now: Colu
     return insert_ignore(dim, src, ["nombre_producto"], sk_col="sk_producto", touch_cols=["fecha_carga"], now=now)
 
 
-def build_dim_cliente(silver: DataFrame, dim: DataFrame, run_id: str, now: Column | None = None) -> DataFrame:
+def build_dim_cliente(silver: DataFrame, dim: DataFrame, run_id: str, now: Column | None = None,
+                      silver_stored: bool = True) -> DataFrame:
     """G-02: SCD-1 on the application id; the surrogate key never changes.
 
     The original selects DISTINCT over these columns; silver's key is
     unique, so the rows are already distinct and no aggregation is planned.
+    The source is a projection of the stored silver table, a cheap
+    deterministic scan, so it is not staged again (``silver_stored``).
     """
     src = silver.select("bk_id_solicitud", *CLIENT_ATTRS).withColumn("via_airflow_run_id", F.lit(run_id))
     return upsert(dim, src, ["bk_id_solicitud"], update_cols=[*CLIENT_ATTRS, "via_airflow_run_id"],
-                  touch_cols=["fecha_carga"], sk_col="sk_cliente", now=now)
+                  touch_cols=["fecha_carga"], sk_col="sk_cliente", now=now, stage_source=not silver_stored)
 
 
 def build_dim_proxy(spark: SparkSession, dim: DataFrame, run_id: str, now: Column | None = None) -> DataFrame:

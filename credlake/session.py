@@ -142,7 +142,7 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known schema: no inference job
 
 
 def spread(df, min_partitions: int | None = None):
