@@ -416,6 +416,7 @@ ORACLES = {
     "ingest_once": q_ingest_once,
     "stream_bronze": q_stream_bronze,
     "load_run": q_vw_riesgo,
+    "silver_incremental": q_silver_upsert,
 }
 
 

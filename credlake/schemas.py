@@ -208,6 +208,13 @@ DOC_PAYLOAD = T.StructType([
     ])),
 ])
 
+# Bronze files already folded into silver (incremental silver loads).
+SILVER_LEDGER = _s(
+    ("ruta", T.StringType(), False),
+    ("via_airflow_run_id", T.StringType(), True),
+    ("fecha_carga", TS, True),
+)
+
 TABLES = {
     "bronze.raw_application": BRONZE,
     "silver.cleaned_application": SILVER,
@@ -217,6 +224,7 @@ TABLES = {
     "gold.dim_cliente": DIM_CLIENTE,
     "gold.fact_creditos": FACT,
     "audit.etl_log": AUDIT,
+    "audit.silver_ledger": SILVER_LEDGER,
 }
 # Layers rebuilt from bronze on re-initialisation; bronze is the only state kept.
 REBUILDABLE = [t for t in TABLES if not t.startswith("bronze.")]
