@@ -52,6 +52,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
     insert and on update (load-time columns).  Target columns missing from
     the source are NULL on insert.  ``stage_source=False`` skips staging
     for a source that is a cheap, deterministic scan.
+
+    Source keys must be unique, as ``ON CONFLICT DO UPDATE`` requires; every
+    caller here guarantees it (silver raises on key clashes, dimensions come
+    from ``distinct`` or silver's unique key) and ``quality.duplicate_keys``
+    checks it on any other source.
     """
     now = now if now is not None else _now()
     touch = list(touch_cols or [])

@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from ..schemas import VIEW_COLUMNS
 
 VIEW_NAME = "vw_analisis_riesgo_crediticio"
+# which table each published column comes from (the rest: the client dimension)
+_VIEW_SOURCE = {
+    "dd_id_solicitud": "f", "amt_credit": "f", "amt_income_total": "f", "amt_annuity": "f",
+    "credit_to_income_ratio": "f", "annuity_income_ratio": "f", "target": "f",
+    "nombre_producto": "p", "tipo_documento_origen": "pd", "nivel_confianza_extraccion": "pd", "fecha": "t",
+}
+GOLD_VIEWS = {"f": "gold_fact_creditos", "c": "gold_dim_cliente", "p": "gold_dim_producto",
+              "pd": "gold_dim_proxy_documental", "t": "gold_dim_tiempo"}
 
 
 def risk_view(fact: DataFrame, dim_cliente: DataFrame, dim_producto: DataFrame, dim_proxy: DataFrame,
@@ -28,15 +36,30 @@ def risk_view(fact: DataFrame, dim_cliente: DataFrame, dim_producto: DataFrame,
          .join(p, F.col("f.sk_producto") == F.col("p.sk_producto"), "inner")
          .join(pd_, F.col("f.sk_proxy_documental") == F.col("pd.sk_proxy_documental"), "inner")
          .join(t, F.col("f.sk_tiempo") == F.col("t.sk_tiempo"), "inner"))
-    owner = {
-        "dd_id_solicitud": "f", "amt_credit": "f", "amt_income_total": "f", "amt_annuity": "f",
-        "credit_to_income_ratio": "f", "annuity_income_ratio": "f", "target": "f",
-        "nombre_producto": "p", "tipo_documento_origen": "pd", "nivel_confianza_extraccion": "pd",
-        "fecha": "t",
-    }
-    return j.select(*[F.col(f"{owner.get(src, 'c')}.{src}").alias(name) for src, name in VIEW_COLUMNS])
+    return j.select(*[F.col(f"{_VIEW_SOURCE.get(src, 'c')}.{src}").alias(name) for src, name in VIEW_COLUMNS])
 
 
 def publish_view(spark: SparkSession, df: DataFrame, name: str = VIEW_NAME) -> None:
     """K-13: CREATE OR REPLACE (temporary) VIEW."""
     df.createOrReplaceTempView(name)
+
+
+def view_sql(name: str = VIEW_NAME) -> str:
+    """K-13 as a statement: the same star join over registered gold views."""
+    cols = ",\n    ".join(f"{_VIEW_SOURCE.get(src, 'c')}.{src} AS {pub}" for src, pub in VIEW_COLUMNS)
+    v = GOLD_VIEWS
+    return (f"CREATE OR REPLACE TEMP VIEW {name} AS\nSELECT\n    {cols}\n"
+            f"FROM {v['f']} f\n"
+            f"JOIN {v['c']} c ON f.sk_cliente = c.sk_cliente\n"
+            f"JOIN {v['p']} p ON f.sk_producto = p.sk_producto\n"
+            f"JOIN {v['pd']} pd ON f.sk_proxy_documental = pd.sk_proxy_documental\n"
+            f"JOIN {v['t']} t ON f.sk_tiempo = t.sk_tiempo")
+
+
+def publish_view_sql(spark: SparkSession, fact: DataFrame, dim_cliente: DataFrame, dim_producto: DataFrame,
+                     dim_proxy: DataFrame, dim_tiempo: DataFrame, name: str = VIEW_NAME) -> DataFrame:
+    """Register the gold tables and publish the view with SQL."""
+    for alias, df in zip(["f", "c", "p", "pd", "t"], [fact, dim_cliente, dim_producto, dim_proxy, dim_tiempo]):
+        df.createOrReplaceTempView(GOLD_VIEWS[alias])
+    spark.sql(view_sql(name))
+    return spark.table(name)

@@ -249,3 +249,15 @@ def test_incremental_silver_equals_full_rebuild(spark, tmp_root, limit):
     # nothing new: an incremental load rebuilds no key and changes nothing
     load_silver(inc, incremental=True, run_id="r2", max_changed_keys=limit)
     assert _rows(inc.read("silver.cleaned_application"), cols) == a
+
+
+def test_view_sql_equals_dataframe_view(spark, tmp_root):
+    from credlake.plans.view import publish_view_sql, risk_view
+    store = TableStore(spark, root=f"{tmp_root}/wh")
+    run_load(spark, store, "r", bronze_rows=fx.bronze_all(spark, SF_SMALL), as_of=dt.date(2024, 1, 7))
+    tables = [store.read(t) for t in ("gold.fact_creditos", "gold.dim_cliente", "gold.dim_producto",
+                                      "gold.dim_proxy_documental", "gold.dim_tiempo")]
+    cols = [n for _, n in S.VIEW_COLUMNS]
+    via_sql = publish_view_sql(spark, *tables)
+    assert via_sql.columns == cols
+    assert _rows(via_sql, cols) == _rows(risk_view(*tables), cols)
