@@ -153,6 +153,11 @@ def test_whole_load_twice_is_idempotent(spark, tmp_root):
     assert store.read("gold.fact_creditos").count() == silver.filter(F.col("name_contract_type").isNotNull()).count()
     log = store.read("audit.etl_log").collect()
     assert sorted(r["log_id"] for r in log) == [1, 2, 3, 4]
+    from credlake.operators.quality import star_integrity
+    report = star_integrity(silver, *[store.read(t) for t in ("gold.dim_cliente", "gold.dim_producto",
+                                                              "gold.dim_proxy_documental", "gold.dim_tiempo",
+                                                              "gold.fact_creditos")]).first().asDict()
+    assert set(report.values()) == {0}                            # no orphans, duplicates or NULL keys
     assert store.read("bronze.raw_application").count() == 2 * bronze.count()
 
 
