@@ -22,7 +22,8 @@ from ..operators.upsert import upsert
 from ..schemas import REBUILDABLE
 from ..session import materialize
 from ..sources.files import read_application_csv, read_documents
-from ..sources.store import BRONZE_TABLE, TableStore
+from ..operators.ledger import not_yet_ingested
+from ..sources.store import BRONZE_TABLE, INGEST_LEDGER, TableStore
 from . import gold
 from .bronze import csv_to_bronze, documents_to_bronze
 from .silver import build_silver
@@ -50,13 +51,19 @@ def ingest_batch(spark: SparkSession, store: TableStore, run_id: str, csv_path:
     """Stage 2 as a batch: CSV (optional) then documents (optional).
 
     Returns the load counters (A-06), gathered with ``observe`` while the
-    rows are written, so counting costs no extra pass.
+    rows are written, so counting costs no extra pass.  Source files are
+    loaded once: their names go to the ``bronze.ingested_files`` ledger after
+    the append, and later runs skip them (the original moved them to an
+    archive folder instead).  Files of one run share their run's load time.
     """
     counters = {}
     base = max_key(store.read(BRONZE_TABLE), "id_secuencial") + 1
+    seen = store.read(INGEST_LEDGER).select("nombre_archivo")
+    now = F.current_timestamp().cast("timestamp_ntz")
     if csv_path:
+        csv_name = csv_path.rstrip("/").rsplit("/", 1)[-1]
         csv = read_application_csv(spark, csv_path)
-        if csv is not None:
+        if csv is not None and seen.filter(F.col("nombre_archivo") == csv_name).isEmpty():
             obs = Observation("csv")
             rows = csv_to_bronze(csv, run_id, seq_base=base).observe(
                 obs, F.count(F.lit(1)).alias("filas"), F.max("id_secuencial").alias("max_seq"))
@@ -64,9 +71,16 @@ def ingest_batch(spark: SparkSession, store: TableStore, run_id: str, csv_path:
             m = obs.get
             counters["csv_filas"] = m.get("filas", 0)
             base = max(base, (m.get("max_seq") or 0) + 1)
+            store.append(INGEST_LEDGER, spark.range(1).select(
+                F.lit(csv_name).alias("nombre_archivo"), F.lit(run_id).alias("via_airflow_run_id"),
+                now.alias("fecha_carga")))
+        elif csv is not None:
+            counters["csv_omitido"] = csv_name           # loaded by an earlier run
     if docs_dir:
         docs = (read_documents(spark, docs_dir, docs_pattern, docs_whole_file) if docs_pattern
                 else read_documents(spark, docs_dir, whole_file=docs_whole_file))
+        # K-10: files already loaded (or quarantined) by an earlier run are skipped
+        docs = materialize(not_yet_ingested(docs, seen), "docs")
         good, bad = documents_to_bronze(docs, run_id, seq_base=base)
         obs = Observation("documentos")
         store.append_bronze(good.observe(obs, F.count(F.lit(1)).alias("filas")))
@@ -75,6 +89,8 @@ def ingest_batch(spark: SparkSession, store: TableStore, run_id: str, csv_path:
             qobs = Observation("cuarentena")
             bad.observe(qobs, F.count(F.lit(1)).alias("filas")).write.mode("append").parquet(quarantine_dir)
             counters["documentos_cuarentena"] = qobs.get.get("filas", 0)
+        store.append(INGEST_LEDGER, docs.select("nombre_archivo").distinct().select(
+            "nombre_archivo", F.lit(run_id).alias("via_airflow_run_id"), now.alias("fecha_carga")))
     return counters
 
 

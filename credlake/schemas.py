@@ -215,6 +215,13 @@ SILVER_LEDGER = _s(
     ("fecha_carga", TS, True),
 )
 
+# Source files already appended to bronze by batch ingestion (ingest-once).
+INGEST_LEDGER = _s(
+    ("nombre_archivo", T.StringType(), False),
+    ("via_airflow_run_id", T.StringType(), True),
+    ("fecha_carga", TS, True),
+)
+
 TABLES = {
     "bronze.raw_application": BRONZE,
     "silver.cleaned_application": SILVER,
@@ -225,6 +232,7 @@ TABLES = {
     "gold.fact_creditos": FACT,
     "audit.etl_log": AUDIT,
     "audit.silver_ledger": SILVER_LEDGER,
+    "bronze.ingested_files": INGEST_LEDGER,
 }
 # Layers rebuilt from bronze on re-initialisation; bronze is the only state kept.
 REBUILDABLE = [t for t in TABLES if not t.startswith("bronze.")]

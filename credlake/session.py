@@ -154,6 +154,8 @@ def spread(df, min_partitions: int | None = None):
     left untouched.  Only the partition count is planned; nothing runs.
     """
     target = int(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave as is
+        return df
+    return df.repartition(target) if parts < target else df

@@ -18,6 +18,8 @@ from ..session import shared_root
 from .files import _hadoop_path
 
 BRONZE_TABLE = "bronze.raw_application"
+INGEST_LEDGER = "bronze.ingested_files"
+APPEND_ONLY = (BRONZE_TABLE, INGEST_LEDGER)
 
 
 class TableStore:
@@ -47,7 +49,7 @@ class TableStore:
         return sorted(out)
 
     def current_path(self, table: str) -> str | None:
-        if table == BRONZE_TABLE:
+        if table in APPEND_ONLY:
             p = self.table_dir(table)
             path, fs = _hadoop_path(self.spark, p)
             return p if fs.exists(path) else None
@@ -83,6 +85,12 @@ class TableStore:
         out = df.select(*[df[f.name].cast(f.dataType) for f in BRONZE.fields])
         out.write.mode("append").partitionBy("es_documento").parquet(self.table_dir(BRONZE_TABLE))
 
+    def append(self, table: str, df: DataFrame) -> None:
+        """Append rows to an append-only table (kept across re-initialisation)."""
+        schema = TABLES[table]
+        df.select(*[df[f.name].cast(f.dataType) for f in schema.fields]).write.mode("append").parquet(
+            self.table_dir(table))
+
     def _prune(self, table: str) -> None:
         v = self._versions(table)
         for old in v[:-self.keep] if self.keep > 0 else []:

@@ -190,6 +190,11 @@ def test_batch_ingest_counters_and_payload_sink(spark, tmp_root):
     assert len({r["id_secuencial"] for r in b}) == 3
     silver = build_silver(store.read("bronze.raw_application").filter("bk_id_solicitud = '1'")).first()
     assert silver["amt_income_total"] == 1000 and silver["amt_credit"] == 10
+    # the same landing files again: nothing is loaded twice
+    again = ingest_batch(spark, store, "r2", csv_path=csv, docs_dir=f"{tmp_root}/drop",
+                         quarantine_dir=f"{tmp_root}/q", docs_pattern="*.txt", docs_whole_file=False)
+    assert again == {"csv_omitido": "application_train.csv", "documentos_filas": 0, "documentos_cuarentena": 0}
+    assert store.read("bronze.raw_application").count() == 3
 
 
 def test_store_ignores_and_skips_partial_versions(spark, tmp_root):
