@@ -271,3 +271,29 @@ def test_view_sql_equals_dataframe_view(spark, tmp_root):
     via_sql = publish_view_sql(spark, *tables)
     assert via_sql.columns == cols
     assert _rows(via_sql, cols) == _rows(risk_view(*tables), cols)
+
+
+def test_run_load_from_landing_files_twice(spark, tmp_root):
+    land = f"{tmp_root}/landing"
+    rows = fx.application_rows(spark, SF_SMALL)
+    rows.select(*[c for c in rows.columns if not c.startswith("_")]).coalesce(1) \
+        .write.option("header", True).csv(f"{land}/csv")
+    csv_file = [f for f in os.listdir(f"{land}/csv") if f.endswith(".csv")][0]
+    _write_docs(f"{land}/raw")
+    store = TableStore(spark, root=f"{tmp_root}/wh")
+    init_warehouse(store)
+    as_of = dt.date(2024, 1, 7)
+    rep = run_load(spark, store, "r1", csv_path=f"{land}/csv/{csv_file}", docs_dir=f"{land}/raw",
+                   quarantine_dir=f"{tmp_root}/q", as_of=as_of)
+    assert rep.counters["csv_filas"] == rows.count() and rep.counters["documentos_filas"] == 1
+    assert rep.counters["documentos_cuarentena"] == 1
+    assert all(v for k, v in rep.gate.items() if k.startswith("check_"))
+    n_customers = fx.table(spark, SF_SMALL, "customer").count()
+    assert store.read("silver.cleaned_application").count() == n_customers
+    view = current_view(store)
+    assert view.count() == store.read("gold.fact_creditos").count() > 0
+    rep2 = run_load(spark, store, "r2", csv_path=f"{land}/csv/{csv_file}", docs_dir=f"{land}/raw",
+                    quarantine_dir=f"{tmp_root}/q", as_of=as_of)
+    assert rep2.counters == {"csv_omitido": csv_file, "documentos_filas": 0, "documentos_cuarentena": 0}
+    assert store.read("bronze.raw_application").count() == rows.count() + 1
+    assert [r["filas_procesadas"] for r in store.read("audit.etl_log").orderBy("log_id").collect()][2:] == [0, 0]
