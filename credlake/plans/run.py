@@ -23,7 +23,7 @@ from ..schemas import REBUILDABLE
 from ..session import materialize
 from ..sources.files import read_application_csv, read_documents
 from ..operators.ledger import not_yet_ingested
-from ..sources.store import BRONZE_TABLE, INGEST_LEDGER, TableStore
+from ..sources.store import BRONZE_TABLE, INGEST_LEDGER, TableStore, key_range
 from . import gold
 from .bronze import csv_to_bronze, documents_to_bronze
 from .silver import build_silver
@@ -122,14 +122,21 @@ def load_silver(store: TableStore, method: str = "fused", incremental: bool = Fa
         return store.overwrite(SILVER, merged)
     files = bronze.select(F.col("_metadata.file_path").alias("ruta"), "bk_id_solicitud")
     fresh = materialize(files.join(store.read(LEDGER).select("ruta"), "ruta", "left_anti"), "fresh")
-    changed = fresh.select(F.col("bk_id_solicitud").cast("int").alias("_id")).distinct()
+    changed = fresh.select(F.col("bk_id_solicitud").cast("int").alias("_id"),
+                           key_range(F.col("bk_id_solicitud")).alias("_rango")).distinct()
     n = changed.count()
     if n > max_changed_keys:
         affected = bronze
     else:
         changed = materialize(changed, "changed")
-        affected = bronze.join(F.broadcast(changed),
-                               F.col("bk_id_solicitud").cast("int").eqNullSafe(changed["_id"]), "left_semi")
+        # bronze is laid out by key range: read only the ranges that changed
+        # (at most 65,536 values for 32-bit ids, a proven bound for the list)
+        ranges = [r["_rango"] for r in changed.select("_rango").distinct().collect()]
+        in_range = F.col("rango_clave").isin([r for r in ranges if r is not None])
+        if None in ranges:
+            in_range = in_range | F.col("rango_clave").isNull()
+        affected = bronze.filter(in_range).join(
+            F.broadcast(changed), F.col("bk_id_solicitud").cast("int").eqNullSafe(changed["_id"]), "left_semi")
     new = build_silver(affected, method=method)
     merged = upsert(store.read(SILVER), new, ["bk_id_solicitud"], touch_cols=["fecha_ingestion"])
     path = store.overwrite(SILVER, merged)

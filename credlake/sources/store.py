@@ -11,7 +11,9 @@ folder partitioned by branch, so each silver branch prunes to its own files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import BRONZE, TABLES
 from ..session import shared_root
@@ -20,6 +22,13 @@ from .files import _hadoop_path
 BRONZE_TABLE = "bronze.raw_application"
 INGEST_LEDGER = "bronze.ingested_files"
 APPEND_ONLY = (BRONZE_TABLE, INGEST_LEDGER)
+KEY_RANGE_WIDTH = 1 << 16
+BRONZE_STORED = T.StructType(BRONZE.fields + [T.StructField("rango_clave", T.LongType(), True)])
+
+
+def key_range(bk_text: Column) -> Column:
+    """Bronze layout bucket of a text application id."""
+    return F.floor(bk_text.try_cast("long") / F.lit(KEY_RANGE_WIDTH)).cast("long")
 
 
 class TableStore:
@@ -58,8 +67,11 @@ class TableStore:
 
     # -- read ------------------------------------------------------------
     def read(self, table: str) -> DataFrame:
-        """Current content, or an empty frame with the table's schema."""
-        schema = TABLES[table]
+        """Current content, or an empty frame with the table's schema.
+
+        Bronze also carries its layout column ``rango_clave``.
+        """
+        schema = BRONZE_STORED if table == BRONZE_TABLE else TABLES[table]
         path = self.current_path(table)
         if path is None:
             return self.spark.createDataFrame([], schema)
@@ -81,9 +93,18 @@ class TableStore:
         return path
 
     def append_bronze(self, df: DataFrame) -> None:
-        """K-01: append-only bronze, partitioned by branch."""
-        out = df.select(*[df[f.name].cast(f.dataType) for f in BRONZE.fields])
-        out.write.mode("append").partitionBy("es_documento").parquet(self.table_dir(BRONZE_TABLE))
+        """K-01: append-only bronze, partitioned by branch and key range.
+
+        ``rango_clave`` = floor(id / 65536) of the numeric application id
+        (NULL when the text is not a number; silver rejects it later, as the
+        original's cast would): records of one application always share a
+        folder, so an incremental silver load prunes bronze to the ranges of
+        the applications that changed.
+        """
+        out = df.select(*[df[f.name].cast(f.dataType) for f in BRONZE.fields],
+                        key_range(F.col("bk_id_solicitud")).alias("rango_clave"))
+        (out.write.mode("append").partitionBy("es_documento", "rango_clave")
+         .parquet(self.table_dir(BRONZE_TABLE)))
 
     def append(self, table: str, df: DataFrame) -> None:
         """Append rows to an append-only table (kept across re-initialisation)."""
