@@ -12,7 +12,7 @@ from __future__ import annotations
 from .schemas import (CONFIDENCE_AMOUNT_FOUND, CONFIDENCE_AMOUNT_MISSING, LEGACY_CONFIDENCE,
                       LEGACY_DOC_TYPE, RECEIPT_DOCUMENT_TYPE, SILVER_COLUMNS, SILVER_MESSAGE,
                       SILVER_TARGET, SILVER_TASK, STATUS_OK, VIEW_COLUMNS, AMOUNT_PATTERN,
-                      RECEIPT_PAYLOAD_CONSTANTS, PROXY_DEFAULT_MANUAL_FLAG, VARCHAR_LIMITS)
+                      RECEIPT_PAYLOAD_CONSTANTS, VARCHAR_LIMITS)
 from .sources.fixtures import AS_OF_CURRENT, AS_OF_PREVIOUS, DOC_SEQ_BASE, UPSERT_SPLIT
 
 LEGACY_DOC_TYPE_SQL = LEGACY_DOC_TYPE.replace("'", "''")

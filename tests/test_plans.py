@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from credlake import schemas as S
-from credlake.operators.bronze import pack_bronze
 from credlake.operators.quality import QualityGateError
 from credlake.plans import gold
 from credlake.plans.bronze import documents_to_bronze
