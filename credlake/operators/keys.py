@@ -100,8 +100,9 @@ def assign_keys(df: DataFrame, sk_col: str, order_cols: list[str], start: int =
 def max_key(df: DataFrame, sk_col: str) -> int:
     """Current maximum surrogate key (0 for an empty table).
 
-    One scalar to the driver; on parquet with aggregate pushdown it is read
-    from file footers.
+    One scalar to the driver.  Column pruning makes it a one-column scan;
+    with the DSv2 Parquet reader and aggregate pushdown it comes from file
+    footers alone.
     """
     row = df.agg(F.max(sk_col).alias("m")).first()
     return int(row["m"]) if row is not None and row["m"] is not None else 0

@@ -20,7 +20,7 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # min/max/count of a parquet column from footers (bronze sequence base)
+    # min/max/count from Parquet footers where the DSv2 reader is used
     "spark.sql.parquet.aggregatePushdown": "true",
     # keep one from_json per payload: the default rewrite turns each field
     # access into its own parse of the whole JSON text

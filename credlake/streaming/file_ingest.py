@@ -45,7 +45,7 @@ def start_bronze_stream(spark: SparkSession, store: TableStore, source_dir: str,
                         archive_dir: str | None = None, whole_file: bool = True,
                         available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     stream = document_stream(spark, source_dir, pattern, archive_dir, max_files_per_trigger, whole_file)
-    # sequence base: bronze's maximum once at start (parquet footers), then
+    # sequence base: bronze's maximum once at start (a one-column scan), then
     # carried from batch to batch, so a micro-batch never rescans bronze
     seq = {"next": max_key(store.read("bronze.raw_application"), "id_secuencial") + 1}
 
