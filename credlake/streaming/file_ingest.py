@@ -9,8 +9,10 @@ the archive folder) and ``Trigger.AvailableNow`` gives the on-demand "process
 what is there and stop" behaviour.  Malformed documents go to a quarantine
 table with their raw text instead of being retried forever.
 
-The sink is ``foreachBatch``; a batch re-run after a failure appends its rows
-again (at-least-once), which the silver latest-record rule absorbs.
+The sink is ``foreachBatch``.  Each committed batch leaves a marker in the
+ingest ledger, so a batch the engine re-runs after a failure is skipped when it
+had already been committed; a crash between the bronze append and the marker
+replays it once (at-least-once), which the silver latest-record rule absorbs.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.keys import max_key
 from ..plans.bronze import documents_to_bronze
 from ..schemas import DOC_FILE_GLOB
-from ..sources.store import TableStore
+from ..sources.store import INGEST_LEDGER, TableStore
 
 
 def document_stream(spark: SparkSession, source_dir: str, pattern: str = DOC_FILE_GLOB,
@@ -40,16 +42,23 @@ def document_stream(spark: SparkSession, source_dir: str, pattern: str = DOC_FIL
     return r.load(source_dir).select("value", F.col("_metadata.file_name").alias("nombre_archivo"))
 
 
-def start_bronze_stream(spark: SparkSession, store: TableStore, source_dir: str, checkpoint_dir: str,
-                        quarantine_dir: str, run_id: str, pattern: str = DOC_FILE_GLOB,
-                        archive_dir: str | None = None, whole_file: bool = True,
-                        available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    stream = document_stream(spark, source_dir, pattern, archive_dir, max_files_per_trigger, whole_file)
+def bronze_sink(spark: SparkSession, store: TableStore, quarantine_dir: str, run_id: str, stream_id: str):
+    """The ``foreachBatch`` function: loadable documents to bronze, the rest
+    to quarantine, then a batch marker in the ingest ledger.
+
+    A batch whose marker is present was fully committed before (the stream
+    is re-running it after a failure) and is skipped; a crash between the
+    bronze append and the marker still replays it once (at-least-once).
+    """
     # sequence base: bronze's maximum once at start (a one-column scan), then
     # carried from batch to batch, so a micro-batch never rescans bronze
     seq = {"next": max_key(store.read("bronze.raw_application"), "id_secuencial") + 1}
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        marker = f"stream:{stream_id}:{batch_id}"
+        done = store.read(INGEST_LEDGER).filter(F.col("nombre_archivo") == marker)
+        if not done.isEmpty():
+            return
         batch = batch.persist()  # read twice: loadable rows and quarantine
         try:
             good, bad = documents_to_bronze(batch, run_id, seq_base=seq["next"])
@@ -58,9 +67,21 @@ def start_bronze_stream(spark: SparkSession, store: TableStore, source_dir: str,
             seq["next"] = max(seq["next"], max_key(good, "id_secuencial") + 1)
             good.unpersist()
             bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine_dir)
+            store.append(INGEST_LEDGER, spark.range(1).select(
+                F.lit(marker).alias("nombre_archivo"), F.lit(run_id).alias("via_airflow_run_id"),
+                F.current_timestamp().cast("timestamp_ntz").alias("fecha_carga")))
         finally:
             batch.unpersist()
 
+    return sink
+
+
+def start_bronze_stream(spark: SparkSession, store: TableStore, source_dir: str, checkpoint_dir: str,
+                        quarantine_dir: str, run_id: str, pattern: str = DOC_FILE_GLOB,
+                        archive_dir: str | None = None, whole_file: bool = True,
+                        available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    stream = document_stream(spark, source_dir, pattern, archive_dir, max_files_per_trigger, whole_file)
+    sink = bronze_sink(spark, store, quarantine_dir, run_id, stream_id=checkpoint_dir.rstrip("/"))
     w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

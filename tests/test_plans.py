@@ -296,3 +296,15 @@ def test_run_load_from_landing_files_twice(spark, tmp_root):
     assert rep2.counters == {"csv_omitido": csv_file, "documentos_filas": 0, "documentos_cuarentena": 0}
     assert store.read("bronze.raw_application").count() == rows.count() + 1
     assert [r["filas_procesadas"] for r in store.read("audit.etl_log").orderBy("log_id").collect()][2:] == [0, 0]
+
+
+def test_stream_sink_skips_committed_batch(spark, tmp_root):
+    from credlake.streaming.file_ingest import bronze_sink
+    store = TableStore(spark, root=f"{tmp_root}/wh")
+    sink = bronze_sink(spark, store, f"{tmp_root}/q", "r", stream_id="s1")
+    batch = spark.createDataFrame([(SAMPLE_DOCUMENT, "idp_boleta_1.json")], "value string, nombre_archivo string")
+    sink(batch, 0)
+    sink(batch, 0)        # the engine re-runs batch 0 after a failure
+    assert store.read("bronze.raw_application").count() == 1
+    sink(batch, 1)        # a new batch id is a new batch
+    assert store.read("bronze.raw_application").count() == 2
