@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .keys import assign_keys, max_key
+from .keys import assign_keys
 
 
 def _now() -> Column:
@@ -82,11 +82,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
             ex_cols.append(F.col(c))
     existing = existing.select(*ex_cols)
 
-    start = max_key(target, sk_col) if sk_col is not None and sk_col not in source.columns else None
-    # first load into an empty table: every source row is an insert (and the
-    # source is already staged), so neither the anti join nor a second
-    # staging is needed
-    first_load = start == 0 and target.isEmpty()
+    start, first_load = None, False
+    if sk_col is not None and sk_col not in source.columns:
+        # one small job for both: the key to continue from, and whether this
+        # is a first load into an empty table (then every source row is an
+        # insert and the source is already staged: no anti join, no second
+        # staging)
+        row = target.agg(F.max(sk_col).alias("m"), F.count(F.lit(1)).alias("n")).first()
+        start = int(row["m"] or 0)
+        first_load = row["n"] == 0
     inserts = source if first_load else source.join(target.select(*keys), keys, "left_anti")
     ins_cols = []
     for c in tcols:
