@@ -25,6 +25,7 @@ from credlake.session import get_spark  # noqa: E402
 HEADLINE = [
     "silver_features", "silver_features_window", "silver_upsert", "dim_cliente_scd1",
     "fact_partial_upsert", "vw_riesgo", "dq_gate", "receipt_extract", "stream_bronze", "load_run",
+    "silver_incremental",
 ]
 
 
