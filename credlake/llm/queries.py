@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, exact_dedup, html_extract, packing, quality, sentencepiece_codec, simhash_dedup, suffix_dedup, toxicity
+from . import ann, exact_dedup, html_extract, lm_score, packing, quality, sentencepiece_codec, simhash_dedup, suffix_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": toxicity.op1_toxicity,
         "op2_html_extract": html_extract.op2_html_extract,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+        "op4_lm_score": lm_score.op4_lm_score,
         "op5_sentencepiece": sentencepiece_codec.op5_sentencepiece,
         "op6_ann": ann.op6_ann,
         "op7_packing": packing.op7_packing,
@@ -24,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": exact_dedup.ORACLE}
+    return {"op4_lm_score": lm_score.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}

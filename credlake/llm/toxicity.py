@@ -55,19 +55,20 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
-def word_hashes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word of the texts end to end, and the text each belongs to."""
+def word_hashes(buf: np.ndarray, offs: np.ndarray, in_word: np.ndarray = _WORD, fold: np.ndarray = _FOLD) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word of the texts end to end, and the text each belongs to.
+    A word is a run of bytes that ``in_word`` marks, folded by ``fold``."""
     n = len(buf)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    word = _WORD[buf]
+    word = in_word[buf]
     brk = np.zeros(n + 1, bool)
     brk[offs] = True  # a word ends with its text
     start = np.flatnonzero(word & (brk[:n] | ~np.concatenate([[False], word[:-1]])))
     end = np.flatnonzero(word & (brk[1:] | ~np.concatenate([word[1:], [False]]))) + 1
     # sum of byte * MUL**-i as prefix sums: a word's polynomial is a difference, brought to position 0
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((_FOLD[buf].astype(np.uint64) + np.uint64(1)) * _powers(_INV, n), out=sums[1:])
+    np.cumsum((fold[buf].astype(np.uint64) + np.uint64(1)) * _powers(_INV, n), out=sums[1:])
     h = _mix((sums[end] - sums[start]) * _powers(_MUL, n)[start] + (end - start).astype(np.uint64))
     return h, np.searchsorted(offs, start, "right") - 1
 
