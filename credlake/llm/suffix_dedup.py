@@ -351,28 +351,37 @@ def _bucket(size: int, groups: int, buckets: int):
         out = [t.filter(pa.compute.equal(t.column("kind"), 1)).select(["grp", "n", "payload"]).cast(shape)]
         recs = t.filter(pa.compute.equal(t.column("kind"), 0))
         if recs.num_rows:
+            found: list[tuple] = []
             parts = [unpack(p, n) for p, n in zip(recs.column("payload").to_pylist(), recs.column("n").to_pylist())]
             doc, start, length, place, blob = (np.concatenate(c) for c in zip(*parts))
             del parts
             begin = np.cumsum(length, dtype=np.int64) - length
-            u = eights(blob)
-            suffix = begin + place
+            u, suffix = eights(blob), begin + place
             order, group = multikey_groups([lambda i: u[suffix[i]].astype(np.uint64), lambda i: u[suffix[i] + 8].astype(np.uint64)], len(doc))
+            del u, suffix
             cut = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
             d = doc[order]
             two = np.minimum.reduceat(d, cut) < np.maximum.reduceat(d, cut)
             keep = order[two[group]]
-            if len(keep):
-                doc, start, length, begin = doc[keep], start[keep], length[keep].astype(np.int64), begin[keep]
-                blob = np.concatenate([gather(blob, begin[i:i + (1 << 16)], length[i:i + (1 << 16)]) for i in range(0, len(keep), 1 << 16)])
-                rec, window = repeated_windows(doc, length, blob, size)
+            edge = np.append(np.flatnonzero(np.diff(group[two[group]], prepend=-1)), len(keep))  # where groups of anchors begin
+            weight = np.concatenate([[0], np.cumsum(length[keep], dtype=np.int64)])[edge]
+            i = 0
+            while i < len(edge) - 1:  # equal windows lie in one group, so groups can be taken a few at a time
+                j = max(i + 1, int(np.searchsorted(weight, weight[i] + CHUNK, "right")) - 1)
+                k = keep[edge[i]:edge[j]]
+                i = j
+                n = length[k].astype(np.int64)
+                rec, window = repeated_windows(doc[k], n, gather(blob, begin[k], n), size)
                 if len(rec):
                     first = np.ones(len(rec), bool)
                     first[1:] = (rec[1:] != rec[:-1]) | (window[1:] != window[:-1] + 1)
                     a = np.flatnonzero(first)
                     b = np.append(a[1:], len(rec)) - 1
-                    spans = span_rows(doc[rec[a]], start[rec[a]] + window[a], start[rec[b]] + window[b] + size, groups, buckets)
-                    out.append(pa.Table.from_batches([spans]).select(["grp", "n", "payload"]).cast(shape))
+                    d, at = doc[k], start[k]
+                    found.append((d[rec[a]], at[rec[a]] + window[a], at[rec[b]] + window[b] + size))
+            if found:
+                spans = span_rows(*(np.concatenate(c) for c in zip(*found)), groups, buckets)
+                out.append(pa.Table.from_batches([spans]).select(["grp", "n", "payload"]).cast(shape))
         return pa.concat_tables(out)
 
     return run
@@ -399,7 +408,7 @@ def removed_spans(docs: DataFrame, size: int = 50, groups: int | None = None) ->
     spark = docs.sparkSession
     rows = id_text(docs)
     groups = groups or partitions(spark)
-    buckets = 2 * groups
+    buckets = 3 * groups
     splitters = _splitters(rows, size, buckets)
     with _shuffles_end(spark):
         return stored(
