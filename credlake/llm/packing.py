@@ -40,7 +40,7 @@ from .common import id_text, partitions, slices, table
 
 WINDOW = 1024
 GROUP = 20_000  # pieces of a group, about
-KEEP = 500_000  # words a worker remembers
+KEEP = 200_000  # words a worker remembers
 # fixed value: how byte-level BPE of this kind cuts a text into words
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _MEETS = re.compile(r"\s\s")  # white space next to white space: words don't encode apart there

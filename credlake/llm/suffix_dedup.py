@@ -45,8 +45,8 @@ from .common import flat, id_text, partitions, slices, stored, table
 
 ANCHOR = 16
 SAMPLE_DOCS, SAMPLE_KEYS = 1000, 64  # splitters: at most so many documents, and anchors of each
-CHUNK = 4 << 20                      # bytes of text, or of records, that are worked on at once
-REPEATED = 1 << 20                   # repeated stretches a task remembers
+CHUNK = 2 << 20                      # bytes of text, or of records, that are worked on at once
+REPEATED = 1 << 19                   # repeated stretches a task remembers
 _M = np.uint64(0x9E3779B97F4A7C15)
 _I = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
@@ -55,7 +55,7 @@ _powers: dict[int, np.ndarray] = {}
 def powers(base: np.uint64, n: int) -> np.ndarray:
     got = _powers.get(int(base))
     if got is None or len(got) < n:
-        p = np.full(max(n, CHUNK // 4), base, np.uint64)
+        p = np.full(max(n, CHUNK + 1), base, np.uint64)
         p[0] = 1
         got = _powers[int(base)] = np.multiply.accumulate(p)
     return got[:n]
@@ -280,7 +280,7 @@ def _records(splitters: Splitters, size: int, groups: int, buckets: int):
                     held.setdefault(int(bucket[a]), []).append(
                         (doc[k], (first - offs[text])[k].astype(np.int32), length[k].astype(np.int32), place[k].astype(np.uint8), blob))
                     weight += len(blob)
-                if weight > 16 * CHUNK:
+                if weight > 24 * CHUNK:
                     yield from flush()
         yield from flush()
 

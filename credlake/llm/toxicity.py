@@ -116,8 +116,9 @@ def ftrl(rows: list[np.ndarray], y: np.ndarray, bits: int = BITS, epochs: int =
             root = np.sqrt(n[i])
             n[i] += g * g
             z[i] += g - (np.sqrt(n[i]) - root) / alpha * w
-    w = weights(np.arange((1 << bits) + 1))
-    return w[:-1], float(w[-1])
+    out, on = np.zeros(1 << bits), np.flatnonzero(np.abs(z[:-1]) > l1)
+    out[on] = weights(on)
+    return out, float(weights(bias)[0])
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
@@ -148,7 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
         if not got:
             return
         got.sort(key=lambda r: (hash((r[0], 11)), r[0], r[2]))  # an order unlike that of the ids
-        w, bias = ftrl([np.frombuffer(x, np.int32) for _, _, x in got], np.array([float(y > 0) for _, y, _ in got]), bits)
+        y = np.array([float(y > 0) for _, y, _ in got])
+        w, bias = ftrl([np.frombuffer(x, np.int32) for _, _, x in got], y, bits)
         slot = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(slot, -1)), pa.array(np.append(w[slot], bias))], ["slot", "w"])
 
