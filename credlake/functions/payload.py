@@ -35,5 +35,7 @@ def is_document(payload: Column) -> Column:
 
 def is_valid_json_object(text: Column) -> Column:
     """Text that parses as a JSON object (malformed text cannot enter bronze)."""
-    return F.coalesce(
-        F.from_json(text, T.MapType(T.StringType(), T.StringType())).isNotNull(), F.lit(False))
+    # inside brackets, trailing text breaks the array instead of being left out
+    one = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(T.MapType(T.StringType(), T.StringType())),
+                      {"allowSingleQuotes": "false"})
+    return F.coalesce((F.size(one) == 1) & F.get(one, F.lit(0)).isNotNull(), F.lit(False))

@@ -31,7 +31,10 @@ so without staging it would be recomputed per half.  Then
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -43,31 +46,39 @@ def _now() -> Column:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols: list[str] | None = None,
-           touch_cols: list[str] | None = None, sk_col: str | None = None, now: Column | None = None,
+           touch_cols: list[str] | None = None, stamp_cols: list[str] | None = None, sk_col: str | None = None, now: Column | None = None,
            num_partitions: int | None = None, stage_source: bool = True) -> DataFrame:
     """``INSERT source ON CONFLICT (keys) DO UPDATE SET update_cols, touch_cols = now``.
 
     ``update_cols=None`` means every non-key, non-surrogate source column;
     ``[]`` means ``DO NOTHING``.  ``touch_cols`` are set to ``now`` on
-    insert and on update (load-time columns).  Target columns missing from
+    insert and on update (load-time columns), ``stamp_cols`` on insert alone.
+    Target columns missing from
     the source are NULL on insert.  ``stage_source=False`` skips staging
     for a source that is a cheap, deterministic scan.
 
-    Source keys must be unique, as ``ON CONFLICT DO UPDATE`` requires; every
-    caller here guarantees it (silver raises on key clashes, dimensions come
-    from ``distinct`` or silver's unique key) and ``quality.duplicate_keys``
-    checks it on any other source.
+    A source key that occurs twice raises, as ``ON CONFLICT DO UPDATE`` does
+    on a double hit; the count per key runs in the partitioning the joins
+    need anyway.  NULL keys hit nothing.
     """
     now = now if now is not None else _now()
-    touch = list(touch_cols or [])
+    touch, stamp = list(touch_cols or []), [*(touch_cols or []), *(stamp_cols or [])]
     tcols = target.columns
     if update_cols is None:
-        update_cols = [c for c in source.columns if c in tcols and c not in keys and c != sk_col and c not in touch]
+        update_cols = [c for c in source.columns if c in tcols and c not in keys and c != sk_col and c not in stamp]
     upd = set(update_cols)
     tschema = {f.name: f.dataType for f in target.schema.fields}
 
     if stage_source:
         source = materialize(source)
+    if update_cols:
+        cols = source.columns
+        hits = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        named = F.concat_ws(", ", *[F.col(c).cast("string") for c in keys])
+        twice = (F.col("_hits") > 1) & reduce(and_, [F.col(c).isNotNull() for c in keys])
+        source = source.withColumn("_hits", hits).where(
+            F.when(twice, F.raise_error(F.concat(F.lit("upsert: the source holds a key twice: "), named)).cast("boolean"))
+            .otherwise(F.lit(True))).select(*cols)
     s_keyed = source.select(*[F.col(c) for c in keys], *[F.col(c).alias(f"_s_{c}") for c in update_cols],
                             F.lit(True).alias("_s_hit"))
     existing = target.join(s_keyed, keys, "left")
@@ -96,7 +107,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
     for c in tcols:
         if c == sk_col and sk_col not in source.columns:
             continue
-        if c in touch:
+        if c in stamp:
             ins_cols.append(now.cast(tschema[c]).alias(c))
         elif c in source.columns:
             ins_cols.append(F.col(c).cast(tschema[c]).alias(c))

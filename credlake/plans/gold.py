@@ -45,14 +45,14 @@ def build_dim_cliente(silver: DataFrame, dim: DataFrame, run_id: str, now: Colum
 
 def build_dim_proxy(spark: SparkSession, dim: DataFrame, run_id: str, now: Column | None = None) -> DataFrame:
     """G-03: the default document-proxy row (key 1); on conflict only its
-    document type is refreshed (run id and confidence stay)."""
+    document type is refreshed (run id, confidence and load time stay)."""
     src = spark.createDataFrame(
         [(PROXY_DEFAULT_SK, LEGACY_DOC_TYPE, PROXY_DEFAULT_MANUAL_FLAG, run_id)],
         "sk_proxy_documental int, tipo_documento_origen string, flag_verificacion_manual boolean, "
         "via_airflow_run_id string",
     ).withColumn("nivel_confianza_extraccion", F.lit(LEGACY_CONFIDENCE).cast("decimal(5,2)"))
     return upsert(dim, src, ["sk_proxy_documental"], update_cols=["tipo_documento_origen"],
-                  touch_cols=["fecha_carga"], now=now)
+                  stamp_cols=["fecha_carga"], now=now)
 
 
 def build_dim_tiempo(dates: DataFrame, dim: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ state readable and the run can simply be repeated.
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -65,7 +64,7 @@ def ingest_batch(spark: SparkSession, store: TableStore, run_id: str, csv_path:
         csv = read_application_csv(spark, csv_path)
         if csv is not None and seen.filter(F.col("nombre_archivo") == csv_name).isEmpty():
             obs = Observation("csv")
-            rows = csv_to_bronze(csv, run_id, seq_base=base).observe(
+            rows = csv_to_bronze(csv, run_id, file_name=csv_name, seq_base=base).observe(
                 obs, F.count(F.lit(1)).alias("filas"), F.max("id_secuencial").alias("max_seq"))
             store.append_bronze(rows)
             m = obs.get
@@ -85,66 +84,59 @@ def ingest_batch(spark: SparkSession, store: TableStore, run_id: str, csv_path:
         obs = Observation("documentos")
         store.append_bronze(good.observe(obs, F.count(F.lit(1)).alias("filas")))
         counters["documentos_filas"] = obs.get.get("filas", 0)
-        if quarantine_dir:
-            qobs = Observation("cuarentena")
-            bad.observe(qobs, F.count(F.lit(1)).alias("filas")).write.mode("append").parquet(quarantine_dir)
-            counters["documentos_cuarentena"] = qobs.get.get("filas", 0)
+        # no file enters the ledger unless its text is in bronze or in quarantine
+        qobs = Observation("cuarentena")
+        bad.observe(qobs, F.count(F.lit(1)).alias("filas")).write.mode("append").parquet(
+            quarantine_dir or f"{store.root}/quarantine")
+        counters["documentos_cuarentena"] = qobs.get.get("filas", 0)
         store.append(INGEST_LEDGER, docs.select("nombre_archivo").distinct().select(
             "nombre_archivo", F.lit(run_id).alias("via_airflow_run_id"), now.alias("fecha_carga")))
     return counters
 
 
 LEDGER = "audit.silver_ledger"
-MAX_CHANGED_KEYS = 5_000_000  # broadcast bound for the changed-key set (8 bytes a key)
 
 
-def load_silver(store: TableStore, method: str = "fused", incremental: bool = False, run_id: str | None = None,
-                max_changed_keys: int = MAX_CHANGED_KEYS) -> str:
+def load_silver(store: TableStore, method: str = "fused", incremental: bool = False, run_id: str | None = None) -> str:
     """Stage 3: rebuild features from bronze and upsert them (K-03).
 
     ``incremental=False`` is the original's behaviour: every run rebuilds
     silver from all of bronze and touches every row.  ``incremental=True``
     rebuilds only applications that received bronze records since the last
-    load.  New records are those in bronze files missing from the ledger
-    (a narrow anti join on the file path: no payload is read); their ids are
-    counted, and when at most ``max_changed_keys`` they are broadcast to
-    filter bronze before the silver aggregation, so only affected rows are
-    sorted and shuffled; above the bound the full rebuild runs instead.
-    Values are the same as a full rebuild (a silver row depends only on its
-    own application's records); rows of untouched applications keep their
-    load time.  The ledger is committed after silver, so a crash in between
-    only makes the next run redo the same keys.
+    load of either kind.  New records are those in bronze files missing from
+    the ledger; bronze is then read only in the key ranges that changed and
+    semi-joined with the changed ids, whose stored size lets Spark choose the
+    join.  Values are the same as a full rebuild (a silver row depends only on
+    its own application's records); rows of untouched applications keep their
+    load time.  The ledger is written after silver, so a crash in between only
+    makes the next run redo the same keys.
     """
     bronze = store.read(BRONZE_TABLE)
-    if not incremental:
-        new = build_silver(bronze, method=method)
-        merged = upsert(store.read(SILVER), new, ["bk_id_solicitud"], touch_cols=["fecha_ingestion"])
-        return store.overwrite(SILVER, merged)
     files = bronze.select(F.col("_metadata.file_path").alias("ruta"), "bk_id_solicitud")
-    fresh = materialize(files.join(store.read(LEDGER).select("ruta"), "ruta", "left_anti"), "fresh")
-    changed = fresh.select(F.col("bk_id_solicitud").cast("int").alias("_id"),
-                           key_range(F.col("bk_id_solicitud")).alias("_rango")).distinct()
-    n = changed.count()
-    if n > max_changed_keys:
-        affected = bronze
-    else:
-        changed = materialize(changed, "changed")
+    known = store.read(LEDGER).select("ruta")
+    if incremental:
+        fresh = materialize(files.join(known, "ruta", "left_anti"), "fresh")
+        added = fresh.select("ruta").distinct()
+        changed = materialize(fresh.select(F.col("bk_id_solicitud").cast("int").alias("_id"),
+                                           key_range(F.col("bk_id_solicitud")).alias("_rango")).distinct(), "changed")
         # bronze is laid out by key range: read only the ranges that changed
         # (at most 65,536 values for 32-bit ids, a proven bound for the list)
         ranges = [r["_rango"] for r in changed.select("_rango").distinct().collect()]
         in_range = F.col("rango_clave").isin([r for r in ranges if r is not None])
         if None in ranges:
             in_range = in_range | F.col("rango_clave").isNull()
-        affected = bronze.filter(in_range).join(
-            F.broadcast(changed), F.col("bk_id_solicitud").cast("int").eqNullSafe(changed["_id"]), "left_semi")
-    new = build_silver(affected, method=method)
-    merged = upsert(store.read(SILVER), new, ["bk_id_solicitud"], touch_cols=["fecha_ingestion"])
+        source = bronze.filter(in_range).join(
+            changed, F.col("bk_id_solicitud").cast("int").eqNullSafe(changed["_id"]), "left_semi")
+    else:
+        # the files this load sees, listed before it reads them
+        added = materialize(files.select("ruta").distinct().join(known, "ruta", "left_anti"), "fresh")
+        source = bronze
+    merged = upsert(store.read(SILVER), build_silver(source, method=method), ["bk_id_solicitud"],
+                    touch_cols=["fecha_ingestion"])
     path = store.overwrite(SILVER, merged)
-    ledger = store.read(LEDGER)
-    added = fresh.select("ruta").distinct().select(
+    store.overwrite(LEDGER, store.read(LEDGER).unionByName(added.select(
         "ruta", F.lit(run_id).alias("via_airflow_run_id"),
-        F.current_timestamp().cast("timestamp_ntz").alias("fecha_carga"))
-    store.overwrite(LEDGER, ledger.unionByName(added))
+        F.current_timestamp().cast("timestamp_ntz").alias("fecha_carga"))))
     return path
 
 
@@ -158,7 +150,7 @@ def log(store: TableStore, layer: DataFrame, run_id: str) -> None:
 def load_gold(spark: SparkSession, store: TableStore, run_id: str, as_of=None) -> dict:
     """Stage 5: dimensions first (each committed), then the fact."""
     silver = store.read(SILVER)
-    as_of = as_of or _dt.date.today()
+    as_of = as_of or spark.sql("SELECT current_date()").first()[0]  # the session's day, as the stamps
     out = {}
     out["gold.dim_producto"] = store.overwrite(
         "gold.dim_producto", gold.build_dim_producto(silver, store.read("gold.dim_producto"), run_id))

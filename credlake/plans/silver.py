@@ -21,7 +21,7 @@ the original upsert then fails, and so do both plans here (``strict``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N
@@ -125,9 +125,22 @@ def merge_features(base_typed: DataFrame, doc_typed: DataFrame, keep_document_co
     return out if keep_document_columns else out.drop(*DOC_EXTRA_COLUMNS)
 
 
-def _silver_window(bronze: DataFrame, keep_document_columns: bool) -> DataFrame:
-    return merge_features(type_base(latest_base(bronze)), type_documents(latest_documents(bronze)),
-                          keep_document_columns)
+def _one_per_id(typed: DataFrame) -> DataFrame:
+    """Raise on a NULL id and on an id that came under two spellings ('7', '007'); the
+    count runs in the partitioning of the join by id that follows."""
+    key, cols = F.col("id_solicitud"), typed.columns
+    bad = (F.when(key.isNull(), F.raise_error(F.lit("silver: NULL application id")).cast("boolean"))
+           .when(F.col("_hits") > 1, F.raise_error(F.concat(F.lit("silver: application id loaded twice under two "
+                                                                  "spellings: "), key.cast("string"))).cast("boolean"))
+           .otherwise(F.lit(True)))
+    return typed.withColumn("_hits", F.count(F.lit(1)).over(Window.partitionBy("id_solicitud"))).where(bad).select(*cols)
+
+
+def _silver_window(bronze: DataFrame, keep_document_columns: bool, strict: bool) -> DataFrame:
+    base, docs = type_base(latest_base(bronze)), type_documents(latest_documents(bronze))
+    if strict:
+        base, docs = _one_per_id(base), _one_per_id(docs)
+    return merge_features(base, docs, keep_document_columns)
 
 
 def _silver_fused(bronze: DataFrame, keep_document_columns: bool, strict: bool) -> DataFrame:
@@ -173,5 +186,5 @@ def build_silver(bronze: DataFrame, method: str = "fused", keep_document_columns
     if method == "fused":
         return _silver_fused(bronze, keep_document_columns, strict)
     if method == "window":
-        return _silver_window(bronze, keep_document_columns)
+        return _silver_window(bronze, keep_document_columns, strict)
     raise ValueError(f"unknown method {method!r}")

@@ -33,20 +33,9 @@ from .streaming.file_ingest import start_bronze_stream
 GOLD_RUN = "run_gold"
 
 
-_PLANS: dict = {}
-
-
 def _silver(spark, sf_dir, method="fused") -> DataFrame:
-    """The silver build over the driver tables.
-
-    Only the plan object is kept per session (building it costs hundreds of
-    driver round trips); no data is cached, every query executes it fully.
-    """
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, method)
-    df = _PLANS.get(key)
-    if df is None:
-        df = _PLANS[key] = build_silver(fx.bronze_all(spark, sf_dir), method=method)
-    return df
+    """The silver build over the driver tables."""
+    return build_silver(fx.bronze_all(spark, sf_dir), method=method)
 
 
 def q_latest_base(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,6 @@ LEGACY_DOC_TYPE = "Dataset Histórico Kaggle (Legacy CSV)"
 LEGACY_CONFIDENCE = "100.00"
 DEFAULT_RUN_ID = "id_no_encontrado"
 CSV_FILE_NAME = "application_train.csv"
-CSV_CHUNK_ROWS = 10000                     # the original's insert batch (not needed by Spark)
 DOC_FILE_GLOB = "idp_boleta_*.json"
 DOC_FILE_PREFIX = "idp_boleta_"
 DOC_FILE_TS_FORMAT = "yyyyMMdd_HHmmss"

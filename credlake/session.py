@@ -67,12 +67,8 @@ def get_spark(app: str = "credlake", cpus: str | int = "*", shuffle_partitions:
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k, v in BASE_CONF.items():
-        if k == "spark.ui.enabled":
-            continue
-        try:
+        if not k.startswith("spark.ui."):  # fixed when the context starts
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave as is
-            pass
 
 
 def _is_local(spark: SparkSession) -> bool:
@@ -112,8 +108,8 @@ def shared_root(spark: SparkSession) -> str:
     if w:
         return w.rstrip("/")
     ck = ensure_checkpoint_dir(spark).rstrip("/")
-    # getCheckpointDir() appends a per-application uuid folder; stay beside it
-    return ck + "/credlake"
+    # getCheckpointDir() ends in a folder of this application; stay beside it, where later ones look too
+    return ck.rsplit("/", 1)[0] + "/credlake"
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

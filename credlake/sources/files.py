@@ -49,7 +49,8 @@ def read_application_csv(spark: SparkSession, path: str, na_tokens: bool = True)
     if not path_exists(spark, path):
         return None
     df = (spark.read.option("header", True).option("mode", "FAILFAST").option("inferSchema", False)
-          .option("enforceSchema", False).csv(path))
+          .option("enforceSchema", False)
+          .option("escape", '"').csv(path))  # doubled quotes in a quoted cell; a backslash is text
     return na_to_null(df) if na_tokens else df
 
 

@@ -173,3 +173,10 @@ def test_audit_sql_binds_run_id(spark):
         .createOrReplaceTempView("silver_audit_test")
     assert audit_entry_sql(spark, "silver_audit_test", "r1").first()["filas_procesadas"] == 2
     assert audit_entry_sql(spark, "silver_audit_test", "x' OR '1'='1").first()["filas_procesadas"] == 1
+
+
+def test_upsert_raises_on_a_key_that_occurs_twice(spark):
+    src = spark.createDataFrame([(2, "x"), (2, "y")], "k int, v string")
+    for target in (_tgt(spark), _tgt(spark).limit(0)):
+        with pytest.raises(Exception, match="twice"):
+            upsert(target, src, ["k"], sk_col="sk").collect()
