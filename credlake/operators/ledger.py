@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def not_yet_ingested(candidates: DataFrame, *seen: DataFrame, name_col: str = "nombre_archivo") -> DataFrame:
+def not_yet_ingested(candidates: DataFrame, *seen: DataFrame, on: tuple[str, ...] = ("nombre_archivo",)) -> DataFrame:
+    """``candidates`` whose ``on`` columns (the name, or a file's identity) occur in no listing."""
     if not seen:
         return candidates
-    known = reduce(lambda a, b: a.unionByName(b), [s.select(F.col(name_col)) for s in seen])
-    return candidates.join(known, name_col, "left_anti")
+    known = reduce(lambda a, b: a.unionByName(b), [s.select(*[F.col(c) for c in on]) for s in seen])
+    return candidates.join(known, list(on), "left_anti")

@@ -6,18 +6,24 @@ final one-row verdict reaches the driver (``enforce``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import SENTINEL_DAYS_EMPLOYED
+from ..schemas import (FOREIGN_KEYS, NOT_NULL_COLUMNS, PRIMARY_KEYS, SENTINEL_DAYS_EMPLOYED, UNIQUE_COLUMNS,
+                       VARCHAR_LIMITS)
 
 
 class QualityGateError(RuntimeError):
     """A gate rule failed; downstream layers must not load."""
 
 
+class ConstraintError(RuntimeError):
+    """A table's rows violate its declared constraints; the version is not committed."""
+
+
 def _count_if(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
@@ -75,6 +81,38 @@ def varchar_violations(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     return df.agg(*[_count_if(F.length(F.col(c)) > n).alias(f"largo_excedido_{c}") for c, n in limits.items()])
 
 
+def violations(df: DataFrame, table: str, read: Callable[[str], DataFrame]) -> DataFrame:
+    """Q-05..Q-08 for one table: a row (regla, filas) per declared constraint.
+
+    NULLs and lengths are counted in one pass.  A unique column costs one
+    aggregation of that column, a foreign key one anti join of it with the
+    parent's key; NULLs violate neither.
+    """
+    pk = PRIMARY_KEYS[table]
+    counts = {f"nulo_{c}": F.col(c).isNull() for c in [pk, *NOT_NULL_COLUMNS.get(table, [])]}
+    counts |= {f"largo_{c}": F.length(F.col(c)) > n for c, n in VARCHAR_LIMITS.get(table, {}).items()}
+    once = df.agg(*[_count_if(cond).alias(rule) for rule, cond in counts.items()])
+    parts = [once.select(F.inline(F.array(*[
+        F.struct(F.lit(rule).alias("regla"), F.col(rule).cast("long").alias("filas")) for rule in counts])))]
+    for c in [pk, *UNIQUE_COLUMNS.get(table, [])]:
+        extra = extra_of(duplicate_keys(df.filter(F.col(c).isNotNull()), [c]))
+        parts.append(extra.select(F.lit(f"duplicado_{c}").alias("regla"), F.col("n").cast("long").alias("filas")))
+    for c, parent in FOREIGN_KEYS.get(table, {}).items():
+        lost = count_of(orphans(df, read(parent), c, PRIMARY_KEYS[parent]))
+        parts.append(lost.select(F.lit(f"huerfano_{c}").alias("regla"), F.col("n").alias("filas")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def constraint_check(table: str, read: Callable[[str], DataFrame]) -> Callable[[DataFrame], None]:
+    """A check for ``TableStore.overwrite``: raises when the rows violate the
+    table's constraints, as the original's insert would."""
+    def check(df: DataFrame) -> None:
+        failed = violations(df, table, read).filter(F.col("filas") > 0).collect()  # a row per rule
+        if failed:
+            raise ConstraintError(f"{table}: " + ", ".join(f"{r['regla']} ({r['filas']})" for r in failed))
+    return check
+
+
 def metrics_row(metrics: dict[str, DataFrame]) -> DataFrame:
     """Fold several one-value frames into one row (no cross join).
 

@@ -17,11 +17,13 @@ one-column (K-07)      one column                                  proxy
 Rows only in the target are kept (upserts never delete).  New rows get
 surrogate keys continuing after the target's maximum (G-09).
 
-Plan.  The source is staged once (``materialize``: a Parquet table in the
-shared folder): it is usually expensive (the silver build
-aggregates all of bronze; the fact source joins silver to its dimensions)
-and is read by both halves of the upsert, which Catalyst prunes differently,
-so without staging it would be recomputed per half.  Then
+Plan.  Without keys to assign (silver, proxy) the upsert is one full outer
+join.  ``DO NOTHING`` keeps the target as it is and adds the rows of an anti
+join.  With keys to assign, the source is staged once (``materialize``: a
+Parquet table in the shared folder): it is usually expensive (the fact source
+joins silver to its dimensions) and is read by both halves of the upsert,
+which Catalyst prunes differently, so without staging it would be recomputed
+per half.  Then
 
 * updated/kept rows: ``target LEFT JOIN source`` on the key (each side
   hash-partitioned once; AQE splits skewed partitions);
@@ -69,7 +71,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
     upd = set(update_cols)
     tschema = {f.name: f.dataType for f in target.schema.fields}
 
-    if stage_source:
+    has_sk = sk_col is not None and sk_col not in source.columns
+    if stage_source and has_sk:
         source = materialize(source)
     if update_cols:
         cols = source.columns
@@ -79,9 +82,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
         source = source.withColumn("_hits", hits).where(
             F.when(twice, F.raise_error(F.concat(F.lit("upsert: the source holds a key twice: "), named)).cast("boolean"))
             .otherwise(F.lit(True))).select(*cols)
+    if update_cols and not has_sk:
+        return _one_join(target, source, keys, upd, touch, stamp, now, tschema)
     s_keyed = source.select(*[F.col(c) for c in keys], *[F.col(c).alias(f"_s_{c}") for c in update_cols],
                             F.lit(True).alias("_s_hit"))
-    existing = target.join(s_keyed, keys, "left")
+    # DO NOTHING leaves the target as it is: no join
+    existing = target.join(s_keyed, keys, "left") if update_cols else target
     hit = F.coalesce(F.col("_s_hit"), F.lit(False))
     ex_cols = []
     for c in tcols:
@@ -94,7 +100,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
     existing = existing.select(*ex_cols)
 
     start, first_load = None, False
-    if sk_col is not None and sk_col not in source.columns:
+    if has_sk:
         # one small job for both: the key to continue from, and whether this
         # is a first load into an empty table (then every source row is an
         # insert and the source is already staged: no anti join, no second
@@ -105,7 +111,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
     inserts = source if first_load else source.join(target.select(*keys), keys, "left_anti")
     ins_cols = []
     for c in tcols:
-        if c == sk_col and sk_col not in source.columns:
+        if c == sk_col and has_sk:
             continue
         if c in stamp:
             ins_cols.append(now.cast(tschema[c]).alias(c))
@@ -122,6 +128,25 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
     return existing.unionByName(inserts.select(*tcols))
 
 
+def _one_join(target: DataFrame, source: DataFrame, keys: list[str], upd: set, touch: list, stamp: list,
+              now: Column, tschema: dict) -> DataFrame:
+    """The upsert without key assignment: one full outer join, each side shuffled once and the source read once."""
+    rest = [c for c in source.columns if c not in keys]
+    s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in rest], F.lit(True).alias("_s_hit"))
+    j = target.withColumn("_t_hit", F.lit(True)).join(s, keys, "full_outer")
+    hit, new = F.col("_s_hit").isNotNull(), F.col("_t_hit").isNull()
+
+    def value(c: str) -> Column:
+        if c in keys:
+            return F.col(c)
+        if c in stamp:
+            return F.when(hit if c in touch else new, now).otherwise(F.col(c))
+        theirs = F.col(f"_s_{c}") if c in rest else F.lit(None)
+        return F.when(hit if c in upd else new, theirs).otherwise(F.col(c))
+
+    return j.select(*[value(c).cast(tschema[c]).alias(c) for c in target.columns])
+
+
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], **kw) -> DataFrame:
     """K-04: ``ON CONFLICT DO NOTHING``."""
     return upsert(target, source, keys, update_cols=[], **kw)

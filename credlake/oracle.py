@@ -13,7 +13,7 @@ from .schemas import (CONFIDENCE_AMOUNT_FOUND, CONFIDENCE_AMOUNT_MISSING, LEGACY
                       LEGACY_DOC_TYPE, RECEIPT_DOCUMENT_TYPE, SILVER_COLUMNS, SILVER_MESSAGE,
                       SILVER_TARGET, SILVER_TASK, STATUS_OK, VIEW_COLUMNS, AMOUNT_PATTERN,
                       RECEIPT_PAYLOAD_CONSTANTS, VARCHAR_LIMITS)
-from .sources.fixtures import AS_OF_CURRENT, AS_OF_PREVIOUS, DOC_SEQ_BASE, UPSERT_SPLIT
+from .sources.fixtures import AS_OF_CURRENT, AS_OF_PREVIOUS, DOC_SEQ_BASE, ID_STEP, UPSERT_SPLIT
 
 LEGACY_DOC_TYPE_SQL = LEGACY_DOC_TYPE.replace("'", "''")
 
@@ -30,15 +30,15 @@ def _ratio(n: str, inc: str) -> str:
 
 def base_rows_sql(where: str = "") -> str:
     return f"""
-    SELECT o.o_orderkey AS seq, o.o_orderdate AS ts, o.o_custkey AS cust, o.o_orderstatus, o.o_totalprice,
+    SELECT o.o_orderkey AS seq, o.o_orderdate AS ts, o.o_custkey * {ID_STEP} AS cust, o.o_orderstatus, o.o_totalprice,
            o.o_orderpriority, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment
     FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey {where}"""
 
 
 def doc_rows_sql() -> str:
     return f"""
-    SELECT event_id + {DOC_SEQ_BASE} AS seq, ts, user_id * 20 AS cust, event_type, value, props
-    FROM events WHERE event_type IN ('purchase', 'signup', 'error')"""
+    SELECT event_id + {DOC_SEQ_BASE} AS seq, ts, user_id * {20 * ID_STEP} AS cust, event_type, value, props
+    FROM events"""
 
 
 LATEST = "QUALIFY row_number() OVER (PARTITION BY cust ORDER BY ts DESC NULLS FIRST, seq DESC) = 1"
@@ -368,12 +368,57 @@ def q_ingest_once() -> str:
 
 def q_stream_bronze() -> str:
     return f"""
-    SELECT CAST(user_id * 20 AS VARCHAR) AS bk_id_solicitud,
+    SELECT CAST(user_id * {20 * ID_STEP} AS VARCHAR) AS bk_id_solicitud,
            CAST(CASE WHEN event_type = 'error' THEN 0.0 ELSE value * 100 END AS DECIMAL(12,2)) AS amt_income_total,
            event_type AS document_type,
            CAST(CAST(json_extract_string(props, '$.k') AS DOUBLE) AS DECIMAL(5,2)) AS confidence_score,
            'run_stream' AS via_airflow_run_id, true AS es_documento
-    FROM events WHERE event_type IN ('purchase', 'signup', 'error')"""
+    FROM events"""
+
+
+def q_ingest_batch() -> str:
+    good = f"""SELECT 'cargado' AS estado, CAST(user_id * {20 * ID_STEP} AS VARCHAR) AS bk_id_solicitud,
+           CAST(CASE WHEN event_type = 'error' THEN 0.0 ELSE value * 100 END AS DECIMAL(12,2)) AS amt_income_total,
+           event_type AS document_type"""
+    return f"""
+    {good}, 'run_1' AS via_airflow_run_id FROM events WHERE event_id % 10 <> 0
+    UNION ALL {good}, 'run_3' AS via_airflow_run_id FROM events WHERE event_id % 3 = 0
+    UNION ALL SELECT 'cuarentena', NULL, NULL, NULL, 'run_1' FROM events WHERE event_id % 10 = 0"""
+
+
+def q_load_times() -> str:
+    def rows(name, key, source, stamp):
+        return f"SELECT '{name}' AS tabla, CAST({key} AS VARCHAR) AS clave, {stamp} AS fecha_carga FROM {source}"
+
+    t1, t2 = (f"TIMESTAMP '{d.isoformat()} 00:00:00'" for d in (AS_OF_PREVIOUS, AS_OF_CURRENT))
+    return f"""WITH {_fact_ctes()} """ + " UNION ALL ".join([
+        rows("silver", "bk_id_solicitud", "c_silver_all",
+             f"CASE WHEN bk_id_solicitud IN (SELECT bk_id_solicitud FROM c_silver) THEN {t2} ELSE {t1} END"),
+        rows("dim_cliente", "bk_id_solicitud", "dim_cur", t2),
+        rows("dim_producto", "nombre_producto", "prod_prev", t1),
+        rows("dim_producto", "nombre_producto", "prod_new", t2),
+        rows("dim_proxy_documental", "'1'", "(SELECT 1)", t1),
+        rows("fact_creditos", "dd_id_solicitud", "fact_cur",
+             f"CASE WHEN dd_id_solicitud IN (SELECT dd_id_solicitud FROM fact_src) THEN {t2} ELSE {t1} END")])
+
+
+def q_dq_faults() -> str:
+    silver = {"nulo_bk_id_solicitud": "count(*) FILTER (WHERE id % 11 = 0)",
+              "duplicado_bk_id_solicitud": "count(*) FILTER (WHERE id % 7 = 0 AND id % 11 <> 0) // 2",
+              "largo_name_education_type": "count(*) FILTER (WHERE id % 13 = 0)"}
+    silver |= {f"largo_{c}": "0 * count(*)" for c in VARCHAR_LIMITS["silver.cleaned_application"] if c != "name_education_type"}
+    none = "0 * count(*)"
+    fact = {"nulo_sk_fact": none, "largo_via_airflow_run_id": none, "huerfano_sk_proxy_documental": none,
+            "duplicado_sk_fact": "count(*) FILTER (WHERE id % 7 = 0) // 2",
+            "duplicado_dd_id_solicitud": "count(*) FILTER (WHERE id % 7 = 0) // 2",
+            "huerfano_sk_cliente": "count(*) FILTER (WHERE id % 5 = 0)", "huerfano_sk_tiempo": "count(*)",
+            "huerfano_sk_producto": "count(*) FILTER (WHERE producto = (SELECT min(producto) FROM doble))"}
+    parts = [f"SELECT '{t}' AS tabla, '{rule}' AS regla, CAST((SELECT {n} FROM doble {where}) AS BIGINT) AS filas"
+             for t, rules, where in (("silver.cleaned_application", silver, ""),
+                                     ("gold.fact_creditos", fact, "WHERE producto IS NOT NULL"))
+             for rule, n in rules.items()]
+    return f"""WITH {silver_ctes('s')}, una AS (SELECT bk_id_solicitud AS id, name_contract_type AS producto FROM s_silver),
+    doble AS (SELECT * FROM una UNION ALL SELECT * FROM una WHERE id % 7 = 0) """ + " UNION ALL ".join(parts)
 
 
 def q_bronze_csv() -> str:
@@ -417,6 +462,9 @@ ORACLES = {
     "stream_bronze": q_stream_bronze,
     "load_run": q_vw_riesgo,
     "silver_incremental": q_silver_upsert,
+    "ingest_batch": q_ingest_batch,
+    "load_times": q_load_times,
+    "dq_faults": q_dq_faults,
 }
 
 

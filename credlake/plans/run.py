@@ -16,17 +16,17 @@ from pyspark.sql import functions as F
 
 from ..operators.audit import audit_entry, with_log_ids
 from ..operators.keys import max_key
-from ..operators.quality import enforce, silver_gate
+from ..operators.quality import constraint_check, enforce, silver_gate
 from ..operators.upsert import upsert
 from ..schemas import REBUILDABLE
-from ..session import materialize
-from ..sources.files import read_application_csv, read_documents
+from ..session import materialize, scratch_scope
+from ..sources.files import FILE_IDENTITY, archive_file, list_files, read_application_csv, read_documents
 from ..operators.ledger import not_yet_ingested
 from ..sources.store import BRONZE_TABLE, INGEST_LEDGER, TableStore, key_range
 from . import gold
 from .bronze import csv_to_bronze, documents_to_bronze
 from .silver import build_silver
-from .view import publish_view, risk_view
+from .view import VIEW_NAME, VIEW_TABLES, publish_view, risk_view
 
 SILVER = "silver.cleaned_application"
 
@@ -46,51 +46,66 @@ def init_warehouse(store: TableStore) -> None:
 
 def ingest_batch(spark: SparkSession, store: TableStore, run_id: str, csv_path: str | None = None,
                  docs_dir: str | None = None, quarantine_dir: str | None = None,
-                 docs_pattern: str | None = None, docs_whole_file: bool = True) -> dict:
+                 docs_pattern: str | None = None, docs_whole_file: bool = True, archive_dir: str | None = None) -> dict:
     """Stage 2 as a batch: CSV (optional) then documents (optional).
 
     Returns the load counters (A-06), gathered with ``observe`` while the
     rows are written, so counting costs no extra pass.  Source files are
-    loaded once: their names go to the ``bronze.ingested_files`` ledger after
-    the append, and later runs skip them (the original moved them to an
-    archive folder instead).  Files of one run share their run's load time.
+    loaded once: path, modification time and length go to the
+    ``bronze.ingested_files`` ledger after the append, and later runs skip
+    files with all three alike, so a new delivery under an old name is loaded.
+    With ``archive_dir`` loaded files are moved there afterwards (K-09; one
+    rename a file, as the original did), so a run reads only what is new.
+    Files of one run share their run's load time.
     """
     counters = {}
     base = max_key(store.read(BRONZE_TABLE), "id_secuencial") + 1
-    seen = store.read(INGEST_LEDGER).select("nombre_archivo")
-    now = F.current_timestamp().cast("timestamp_ntz")
+    seen = store.read(INGEST_LEDGER).select(*FILE_IDENTITY)
+    loaded = []
+
+    def enter(files: DataFrame) -> None:
+        """Files in bronze or quarantine: to the ledger, and out of the way."""
+        store.append(INGEST_LEDGER, files.select(
+            "nombre_archivo", *FILE_IDENTITY, F.lit(run_id).alias("via_airflow_run_id"),
+            F.current_timestamp().cast("timestamp_ntz").alias("fecha_carga")))
+        loaded.append(files.select("ruta"))
+
     if csv_path:
         csv_name = csv_path.rstrip("/").rsplit("/", 1)[-1]
-        csv = read_application_csv(spark, csv_path)
-        if csv is not None and seen.filter(F.col("nombre_archivo") == csv_name).isEmpty():
+        listing = list_files(spark, csv_path)
+        # names alone, of one delivery; Spark's own listing has them on the driver as well
+        fresh = materialize(not_yet_ingested(listing, seen, on=FILE_IDENTITY), "csv")
+        paths = [r["_leer"] for r in fresh.select("_leer").collect()]
+        if paths:
+            csv = read_application_csv(spark, paths)
             obs = Observation("csv")
-            rows = csv_to_bronze(csv, run_id, file_name=csv_name, seq_base=base).observe(
-                obs, F.count(F.lit(1)).alias("filas"), F.max("id_secuencial").alias("max_seq"))
-            store.append_bronze(rows)
+            store.append_bronze(csv_to_bronze(csv, run_id, file_name=csv_name, seq_base=base), obs,
+                                F.count(F.lit(1)).alias("filas"), F.max("id_secuencial").alias("max_seq"))
             m = obs.get
             counters["csv_filas"] = m.get("filas", 0)
             base = max(base, (m.get("max_seq") or 0) + 1)
-            store.append(INGEST_LEDGER, spark.range(1).select(
-                F.lit(csv_name).alias("nombre_archivo"), F.lit(run_id).alias("via_airflow_run_id"),
-                now.alias("fecha_carga")))
-        elif csv is not None:
+            enter(fresh)
+        elif not listing.isEmpty():
             counters["csv_omitido"] = csv_name           # loaded by an earlier run
     if docs_dir:
         docs = (read_documents(spark, docs_dir, docs_pattern, docs_whole_file) if docs_pattern
                 else read_documents(spark, docs_dir, whole_file=docs_whole_file))
         # K-10: files already loaded (or quarantined) by an earlier run are skipped
-        docs = materialize(not_yet_ingested(docs, seen), "docs")
+        docs = materialize(not_yet_ingested(docs, seen, on=FILE_IDENTITY), "docs")
         good, bad = documents_to_bronze(docs, run_id, seq_base=base)
         obs = Observation("documentos")
-        store.append_bronze(good.observe(obs, F.count(F.lit(1)).alias("filas")))
+        store.append_bronze(good, obs, F.count(F.lit(1)).alias("filas"))
         counters["documentos_filas"] = obs.get.get("filas", 0)
         # no file enters the ledger unless its text is in bronze or in quarantine
         qobs = Observation("cuarentena")
         bad.observe(qobs, F.count(F.lit(1)).alias("filas")).write.mode("append").parquet(
             quarantine_dir or f"{store.root}/quarantine")
         counters["documentos_cuarentena"] = qobs.get.get("filas", 0)
-        store.append(INGEST_LEDGER, docs.select("nombre_archivo").distinct().select(
-            "nombre_archivo", F.lit(run_id).alias("via_airflow_run_id"), now.alias("fecha_carga")))
+        enter(docs.select("nombre_archivo", *FILE_IDENTITY).distinct())
+    if archive_dir:
+        for files in loaded:
+            for r in files.toLocalIterator():
+                archive_file(spark, r["ruta"], archive_dir)
     return counters
 
 
@@ -133,10 +148,10 @@ def load_silver(store: TableStore, method: str = "fused", incremental: bool = Fa
         source = bronze
     merged = upsert(store.read(SILVER), build_silver(source, method=method), ["bk_id_solicitud"],
                     touch_cols=["fecha_ingestion"])
-    path = store.overwrite(SILVER, merged)
-    store.overwrite(LEDGER, store.read(LEDGER).unionByName(added.select(
+    path = store.overwrite(SILVER, merged, check=constraint_check(SILVER, store.read))
+    store.append(LEDGER, added.select(
         "ruta", F.lit(run_id).alias("via_airflow_run_id"),
-        F.current_timestamp().cast("timestamp_ntz").alias("fecha_carga"))))
+        F.current_timestamp().cast("timestamp_ntz").alias("fecha_carga")))
     return path
 
 
@@ -144,7 +159,8 @@ def log(store: TableStore, layer: DataFrame, run_id: str) -> None:
     """K-08: append the audit row (gold repeats silver's task and target)."""
     log_t = store.read("audit.etl_log")
     rows = with_log_ids(log_t, audit_entry(layer, run_id), max_key(log_t, "log_id"))
-    store.overwrite("audit.etl_log", log_t.unionByName(rows))
+    constraint_check("audit.etl_log", store.read)(rows)
+    store.append("audit.etl_log", rows)
 
 
 def load_gold(spark: SparkSession, store: TableStore, run_id: str, as_of=None) -> dict:
@@ -152,18 +168,17 @@ def load_gold(spark: SparkSession, store: TableStore, run_id: str, as_of=None) -
     silver = store.read(SILVER)
     as_of = as_of or spark.sql("SELECT current_date()").first()[0]  # the session's day, as the stamps
     out = {}
-    out["gold.dim_producto"] = store.overwrite(
-        "gold.dim_producto", gold.build_dim_producto(silver, store.read("gold.dim_producto"), run_id))
-    out["gold.dim_cliente"] = store.overwrite(
-        "gold.dim_cliente", gold.build_dim_cliente(silver, store.read("gold.dim_cliente"), run_id))
-    out["gold.dim_proxy_documental"] = store.overwrite(
-        "gold.dim_proxy_documental", gold.build_dim_proxy(spark, store.read("gold.dim_proxy_documental"), run_id))
-    out["gold.dim_tiempo"] = store.overwrite(
-        "gold.dim_tiempo", gold.build_dim_tiempo(gold.today(spark, as_of), store.read("gold.dim_tiempo")))
+
+    def commit(table: str, df: DataFrame, **kw) -> None:
+        out[table] = store.overwrite(table, df, check=constraint_check(table, store.read), **kw)
+
+    commit("gold.dim_producto", gold.build_dim_producto(silver, store.read("gold.dim_producto"), run_id))
+    commit("gold.dim_cliente", gold.build_dim_cliente(silver, store.read("gold.dim_cliente"), run_id))
+    commit("gold.dim_proxy_documental", gold.build_dim_proxy(spark, store.read("gold.dim_proxy_documental"), run_id))
+    commit("gold.dim_tiempo", gold.build_dim_tiempo(gold.today(spark, as_of), store.read("gold.dim_tiempo")))
     fact = gold.build_fact(silver, store.read("gold.dim_cliente"), store.read("gold.dim_producto"),
                            store.read("gold.dim_tiempo"), store.read("gold.fact_creditos"), as_of, run_id)
-    out["gold.fact_creditos"] = store.overwrite("gold.fact_creditos", fact,
-                                                sort_within=["sk_cliente", "sk_producto", "sk_tiempo"])
+    commit("gold.fact_creditos", fact, sort_within=["sk_cliente", "sk_producto", "sk_tiempo"])
     return out
 
 
@@ -175,17 +190,23 @@ def current_view(store: TableStore) -> DataFrame:
 
 def run_load(spark: SparkSession, store: TableStore, run_id: str, *, bronze_rows: DataFrame | None = None,
              csv_path: str | None = None, docs_dir: str | None = None, quarantine_dir: str | None = None,
-             as_of=None, silver_method: str = "fused", incremental: bool = False) -> RunReport:
+             as_of=None, silver_method: str = "fused", incremental: bool = False,
+             archive_dir: str | None = None, view_name: str = VIEW_NAME) -> RunReport:
+    """Stages 2 to 6.  Scratch tables of the run are deleted when it ends, and
+    old table versions once the view points at the new ones."""
     rep = RunReport(run_id)
-    if bronze_rows is not None:
-        store.append_bronze(bronze_rows)
-    else:
-        rep.counters = ingest_batch(spark, store, run_id, csv_path, docs_dir, quarantine_dir)
-    rep.versions[SILVER] = load_silver(store, silver_method, incremental=incremental, run_id=run_id)
-    silver = store.read(SILVER)
-    log(store, silver, run_id)
-    rep.gate = enforce(silver_gate(silver))
-    rep.versions.update(load_gold(spark, store, run_id, as_of))
-    log(store, store.read(SILVER), run_id)
-    publish_view(spark, current_view(store))
+    with scratch_scope(spark):
+        if bronze_rows is not None:
+            store.append_bronze(bronze_rows)
+        else:
+            rep.counters = ingest_batch(spark, store, run_id, csv_path, docs_dir, quarantine_dir,
+                                        archive_dir=archive_dir)
+        rep.versions[SILVER] = load_silver(store, silver_method, incremental=incremental, run_id=run_id)
+        silver = store.read(SILVER)
+        log(store, silver, run_id)
+        rep.gate = enforce(silver_gate(silver))
+        rep.versions.update(load_gold(spark, store, run_id, as_of))
+        log(store, store.read(SILVER), run_id)
+        publish_view(spark, {k: store.current_path(t) for k, t in VIEW_TABLES.items()}, view_name)
+        store.prune()
     return rep

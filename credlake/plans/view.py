@@ -14,6 +14,8 @@ _VIEW_SOURCE = {
     "credit_to_income_ratio": "f", "annuity_income_ratio": "f", "target": "f",
     "nombre_producto": "p", "tipo_documento_origen": "pd", "nivel_confianza_extraccion": "pd", "fecha": "t",
 }
+VIEW_TABLES = {"f": "gold.fact_creditos", "c": "gold.dim_cliente", "p": "gold.dim_producto",
+               "pd": "gold.dim_proxy_documental", "t": "gold.dim_tiempo"}
 GOLD_VIEWS = {"f": "gold_fact_creditos", "c": "gold_dim_cliente", "p": "gold_dim_producto",
               "pd": "gold_dim_proxy_documental", "t": "gold_dim_tiempo"}
 
@@ -39,16 +41,21 @@ def risk_view(fact: DataFrame, dim_cliente: DataFrame, dim_producto: DataFrame,
     return j.select(*[F.col(f"{_VIEW_SOURCE.get(src, 'c')}.{src}").alias(name) for src, name in VIEW_COLUMNS])
 
 
-def publish_view(spark: SparkSession, df: DataFrame, name: str = VIEW_NAME) -> None:
-    """K-13: CREATE OR REPLACE (temporary) VIEW."""
-    df.createOrReplaceTempView(name)
+def publish_view(spark: SparkSession, paths: dict[str, str], name: str = VIEW_NAME) -> None:
+    """K-13: a catalog view over the given version folders (keys as in
+    ``GOLD_VIEWS``), bound anew by every load.
+
+    Every session of the catalog sees it; with a metastore it outlives the
+    application.
+    """
+    spark.sql(view_sql(name, {k: f"parquet.`{p}`" for k, p in paths.items()}, kind="VIEW"))
 
 
-def view_sql(name: str = VIEW_NAME) -> str:
-    """K-13 as a statement: the same star join over registered gold views."""
+def view_sql(name: str = VIEW_NAME, tables: dict[str, str] | None = None, kind: str = "TEMP VIEW") -> str:
+    """K-13 as a statement: the same star join over registered gold views or other relations."""
     cols = ",\n    ".join(f"{_VIEW_SOURCE.get(src, 'c')}.{src} AS {pub}" for src, pub in VIEW_COLUMNS)
-    v = GOLD_VIEWS
-    return (f"CREATE OR REPLACE TEMP VIEW {name} AS\nSELECT\n    {cols}\n"
+    v = tables or GOLD_VIEWS
+    return (f"CREATE OR REPLACE {kind} {name} AS\nSELECT\n    {cols}\n"
             f"FROM {v['f']} f\n"
             f"JOIN {v['c']} c ON f.sk_cliente = c.sk_cliente\n"
             f"JOIN {v['p']} p ON f.sk_producto = p.sk_producto\n"

@@ -9,6 +9,7 @@ of every compared result.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,17 +17,17 @@ from pyspark.sql import functions as F
 from . import schemas as S
 from .plans import gold
 from .plans.silver import build_silver, latest_base, latest_documents, type_base, type_documents
-from .plans.view import risk_view
+from .plans.view import VIEW_NAME, risk_view
 from .sources import fixtures as fx
 from .sources.files import read_application_csv
 from .sources.store import TableStore
 from .operators.audit import audit_entries
 from .operators.ledger import not_yet_ingested
-from .operators.quality import silver_gate, star_integrity, varchar_violations
+from .operators.quality import silver_gate, star_integrity, varchar_violations, violations
 from .operators.receipts import extract_receipts
 from .operators.upsert import upsert
 from .plans.bronze import csv_to_bronze, receipts_to_bronze
-from .plans.run import current_view, load_silver, run_load
+from .plans.run import ingest_batch, load_silver, run_load
 from .session import materialize, scratch_dir
 from .streaming.file_ingest import start_bronze_stream
 
@@ -259,10 +260,76 @@ def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_load_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G-10: one whole load into a fresh warehouse, read back through the view."""
+    """G-10: one whole load into a fresh warehouse, read back through the published view."""
     store = TableStore(spark, root=scratch_dir(spark, "warehouse"))
     run_load(spark, store, GOLD_RUN, bronze_rows=fx.bronze_all(spark, sf_dir), as_of=fx.AS_OF_CURRENT)
-    return current_view(store)
+    return spark.table(VIEW_NAME)
+
+
+def q_ingest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-02, K-01, K-10, Q-09, A-06: a delivery with broken documents, the
+    same folder again, then a second delivery under the old file names."""
+    root = scratch_dir(spark, "deliveries")
+    store = TableStore(spark, root=f"{root}/warehouse")
+    docs = fx.document_rows(spark, sf_dir)
+    text = F.to_json(F.struct(*[c for c in docs.columns if not c.startswith("_")]))
+    event = F.col("_seq") - fx.DOC_SEQ_BASE
+    first = docs.select(F.when(event % 10 == 0, F.lit("{")).otherwise(text).alias("value"))
+    first.write.text(f"{root}/raw")
+    for run in ("run_1", "run_2"):
+        ingest_batch(spark, store, run, docs_dir=f"{root}/raw", docs_pattern="*.txt", docs_whole_file=False)
+    docs.filter(event % 3 == 0).select(text.alias("value")).write.text(f"{root}/raw2")
+    ingest_batch(spark, store, "run_3", docs_dir=f"{root}/raw2", docs_pattern="*.txt", docs_whole_file=False)
+    p = F.from_json("datos_origen_raw", S.DOC_PAYLOAD)
+    loaded = store.read("bronze.raw_application").select(
+        F.lit("cargado").alias("estado"), "bk_id_solicitud",
+        p["AMT_INCOME_TOTAL"].cast("decimal(12,2)").alias("amt_income_total"),
+        p[S.DOC_METADATA_KEY]["document_type"].alias("document_type"), "via_airflow_run_id")
+    return loaded.unionByName(spark.read.parquet(f"{store.root}/quarantine").select(
+        F.lit("cuarentena").alias("estado"), "via_airflow_run_id"), allowMissingColumns=True)
+
+
+def q_load_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-03..K-07, K-12: load times after two loads at two given times."""
+    t1, t2 = (F.lit(d).cast("timestamp_ntz") for d in (fx.AS_OF_PREVIOUS, fx.AS_OF_CURRENT))
+    tiempo = materialize(_dim_tiempo(spark, sf_dir))
+    silver, client, product, proxy, fact = (
+        gold.empty(spark, s) for s in (S.SILVER, S.DIM_CLIENTE, S.DIM_PRODUCTO, S.DIM_PROXY, S.FACT))
+    for bronze, run, now, day in zip(fx.bronze_split(spark, sf_dir), ("run_prev", "run_cur"), (t1, t2),
+                                     (fx.AS_OF_PREVIOUS, fx.AS_OF_CURRENT)):
+        silver = materialize(upsert(silver, build_silver(bronze), ["bk_id_solicitud"],
+                                    touch_cols=["fecha_ingestion"], now=now))
+        client = materialize(gold.build_dim_cliente(silver, client, run, now=now))
+        product = materialize(gold.build_dim_producto(silver, product, run, now=now))
+        proxy = materialize(gold.build_dim_proxy(spark, proxy, run, now=now))
+        fact = materialize(gold.build_fact(silver, client, product, tiempo, fact, day, run, now=now))
+
+    def rows(name, df, key, stamp="fecha_carga"):
+        return df.select(F.lit(name).alias("tabla"), F.col(key).cast("string").alias("clave"),
+                         F.col(stamp).alias("fecha_carga"))
+
+    return (rows("silver", silver, "bk_id_solicitud", "fecha_ingestion")
+            .unionByName(rows("dim_cliente", client, "bk_id_solicitud"))
+            .unionByName(rows("dim_producto", product, "nombre_producto"))
+            .unionByName(rows("dim_proxy_documental", proxy, "sk_proxy_documental"))
+            .unionByName(rows("fact_creditos", fact, "dd_id_solicitud")))
+
+
+def q_dq_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-05..Q-08: every constraint counted over a star with planted faults
+    (doubled rows, lost keys, long values, missing parents)."""
+    silver, client, product, proxy, tiempo, fact = _star_one_load(spark, sf_dir)
+    bk = F.col("bk_id_solicitud")
+    silver = silver.unionByName(silver.filter(bk % 7 == 0)).withColumns({
+        "name_education_type": F.when(bk % 13 == 0, F.repeat("name_education_type", 20)).otherwise(F.col("name_education_type")),
+        "bk_id_solicitud": F.when(bk % 11 != 0, bk)})
+    fact = materialize(fact)
+    fact = fact.unionByName(fact.filter(F.col("dd_id_solicitud") % 7 == 0))
+    parents = {"gold.dim_cliente": client.filter(bk % 5 != 0), "gold.dim_producto": product.filter("sk_producto > 1"),
+               "gold.dim_tiempo": tiempo.filter(F.col("fecha") != F.lit(fx.AS_OF_CURRENT)), "gold.dim_proxy_documental": proxy}
+    return reduce(lambda a, b: a.unionByName(b), [
+        violations(df, name, parents.__getitem__).select(F.lit(name).alias("tabla"), "regla", "filas")
+        for name, df in (("silver.cleaned_application", silver), ("gold.fact_creditos", fact))])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -291,6 +358,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_bronze": q_stream_bronze,
     "load_run": q_load_run,
     "silver_incremental": q_silver_incremental,
+    "ingest_batch": q_ingest_batch,
+    "load_times": q_load_times,
+    "dq_faults": q_dq_faults,
 }
 
 

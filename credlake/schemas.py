@@ -78,6 +78,40 @@ VARCHAR_LIMITS = {
         "name_contract_type": 50, "code_gender": 10, "name_education_type": 50,
         "name_family_status": 50, "sector_economico": 100, "via_airflow_run_id": 100,
     },
+    "gold.dim_producto": {"nombre_producto": 50, "via_airflow_run_id": 100},
+    "gold.dim_proxy_documental": {"tipo_documento_origen": 50, "via_airflow_run_id": 100},
+    "gold.dim_cliente": {
+        "code_gender": 10, "name_education_type": 50, "name_family_status": 50,
+        "sector_economico": 100, "via_airflow_run_id": 100,
+    },
+    "gold.fact_creditos": {"via_airflow_run_id": 100},
+    "audit.etl_log": {
+        "via_airflow_run_id": 100, "nombre_tarea": 100, "capa_destino": 50, "estado_ejecucion": 20,
+    },
+}
+# Primary keys, and further UNIQUE columns (several NULLs are allowed there).
+PRIMARY_KEYS = {
+    "silver.cleaned_application": "bk_id_solicitud",
+    "gold.dim_tiempo": "sk_tiempo",
+    "gold.dim_producto": "sk_producto",
+    "gold.dim_proxy_documental": "sk_proxy_documental",
+    "gold.dim_cliente": "sk_cliente",
+    "gold.fact_creditos": "sk_fact",
+    "audit.etl_log": "log_id",
+}
+UNIQUE_COLUMNS = {
+    "gold.dim_tiempo": ["fecha"],
+    "gold.dim_producto": ["nombre_producto"],
+    "gold.dim_cliente": ["bk_id_solicitud"],
+    "gold.fact_creditos": ["dd_id_solicitud"],
+}
+NOT_NULL_COLUMNS = {"audit.etl_log": ["via_airflow_run_id", "nombre_tarea"]}
+# Foreign keys: column -> the table whose primary key it refers to.
+FOREIGN_KEYS = {
+    "gold.fact_creditos": {
+        "sk_cliente": "gold.dim_cliente", "sk_producto": "gold.dim_producto",
+        "sk_tiempo": "gold.dim_tiempo", "sk_proxy_documental": "gold.dim_proxy_documental",
+    },
 }
 # ---------------------------------------------------------------------------
 
@@ -214,9 +248,14 @@ SILVER_LEDGER = _s(
     ("fecha_carga", TS, True),
 )
 
-# Source files already appended to bronze by batch ingestion (ingest-once).
+# Source files already appended to bronze (ingest-once).  A file is known by
+# its path, modification time and length, so a new delivery under an old name
+# is a new file; a stream's batch markers carry a name alone.
 INGEST_LEDGER = _s(
     ("nombre_archivo", T.StringType(), False),
+    ("ruta", T.StringType(), True),
+    ("fecha_archivo", T.TimestampType(), True),
+    ("tamano", T.LongType(), True),
     ("via_airflow_run_id", T.StringType(), True),
     ("fecha_carga", TS, True),
 )

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -112,9 +115,34 @@ def shared_root(spark: SparkSession) -> str:
     return ck.rsplit("/", 1)[0] + "/credlake"
 
 
+_scratch: ContextVar[list | None] = ContextVar("credlake_scratch", default=None)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared root."""
-    return f"{shared_root(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_root(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if _scratch.get() is not None:
+        _scratch.get().append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders made inside once the block has ended.
+
+    For jobs whose results are committed tables; frames built inside must not
+    be read after it.
+    """
+    made: list[str] = []
+    token = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        jvm = spark.sparkContext._jvm
+        for path in made:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def to_local_path(path: str) -> str | None:

@@ -12,7 +12,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,8 +23,12 @@ from ..schemas import DOC_FILE_GLOB, IMAGE_GLOB
 DOC_TEXT = T.StructType([
     T.StructField("value", T.StringType()),
     T.StructField("nombre_archivo", T.StringType()),
+    T.StructField("ruta", T.StringType()),
     T.StructField("fecha_archivo", T.TimestampType()),
+    T.StructField("tamano", T.LongType()),
 ])
+# what makes a source file the same file on a later run
+FILE_IDENTITY = ["ruta", "fecha_archivo", "tamano"]
 IMAGES = T.StructType([
     T.StructField("ruta", T.StringType()),
     T.StructField("nombre_archivo", T.StringType()),
@@ -44,9 +48,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def read_application_csv(spark: SparkSession, path: str, na_tokens: bool = True) -> DataFrame | None:
-    """S-01 + P-02.  Returns None when the file is absent (S-04: warn and skip)."""
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """Name, identity and readable path (``_leer``) of the files under ``path``; contents are not read."""
     if not path_exists(spark, path):
+        return spark.createDataFrame([], T.StructType([
+            T.StructField("nombre_archivo", T.StringType()), *DOC_TEXT.fields[2:], T.StructField("_leer", T.StringType())]))
+    df = spark.read.format("binaryFile").load(path)
+    return df.select(F.col("_metadata.file_name").alias("nombre_archivo"), *file_identity(), F.col("path").alias("_leer"))
+
+
+def read_application_csv(spark: SparkSession, path: str | list[str], na_tokens: bool = True) -> DataFrame | None:
+    """S-01 + P-02.  Returns None when the file is absent (S-04: warn and skip)."""
+    if isinstance(path, str) and not path_exists(spark, path):
         return None
     df = (spark.read.option("header", True).option("mode", "FAILFAST").option("inferSchema", False)
           .option("enforceSchema", False)
@@ -62,8 +75,30 @@ def read_documents(spark: SparkSession, directory: str, pattern: str = DOC_FILE_
         return spark.createDataFrame([], DOC_TEXT)
     # text()'s own wholetext argument overrides a reader option, so pass it here
     df = spark.read.option("pathGlobFilter", pattern).text(directory, wholetext=whole_file)
-    return df.select("value", F.col("_metadata.file_name").alias("nombre_archivo"),
-                     F.col("_metadata.file_modification_time").alias("fecha_archivo"))
+    return df.select("value", F.col("_metadata.file_name").alias("nombre_archivo"), *file_identity())
+
+
+def file_identity() -> list[Column]:
+    """Path, modification time and length of the file a row was read from."""
+    return [F.col("_metadata.file_path").alias("ruta"),
+            F.col("_metadata.file_modification_time").alias("fecha_archivo"),
+            F.col("_metadata.file_size").alias("tamano")]
+
+
+def archive_file(spark: SparkSession, path: str, directory: str) -> None:
+    """K-09: move a loaded file to the archive folder.  A name that is taken
+    there gets a number, so no delivery overwrites an earlier one."""
+    target, fs = _hadoop_path(spark, directory)
+    fs.mkdirs(target)
+    # file_path is a URI: %-escapes are decoded by java.net.URI
+    jvm = spark.sparkContext._jvm
+    src = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    n, to = 0, jvm.org.apache.hadoop.fs.Path(target, src.getName())
+    while fs.exists(to):
+        n += 1
+        to = jvm.org.apache.hadoop.fs.Path(target, f"{src.getName()}.{n}")
+    if not fs.rename(src, to):
+        raise OSError(f"{path} could not be moved to {directory}")
 
 
 def read_images(spark: SparkSession, directory: str, pattern: str = IMAGE_GLOB) -> DataFrame:

@@ -5,13 +5,19 @@ so rebuildable tables are written as immutable *versions*:
 ``<root>/<schema>/<table>/v=<n>/``.  A version is current once Spark's job
 commit has written its ``_SUCCESS`` marker; readers pick the highest such
 version, so a failed or half-written load is never visible and an upsert can
-read version n while writing n+1.  Bronze is append-only and lives in one
-folder partitioned by branch, so each silver branch prunes to its own files.
+read version n while writing n+1.  The marker is written only after the new
+version has passed its constraints.  Old versions are deleted by ``prune``,
+which a load calls once its view points at the new ones.  Bronze is
+append-only and lives in one folder partitioned by branch, so each silver
+branch prunes to its own files; the audit log and the silver ledger are
+appended inside their current version.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +38,9 @@ def key_range(bk_text: Column) -> Column:
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str | None = None, keep_versions: int = 2):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = (root or f"{shared_root(spark)}/warehouse").rstrip("/")
-        self.keep = keep_versions
 
     # -- paths -----------------------------------------------------------
     def table_dir(self, table: str) -> str:
@@ -78,8 +83,13 @@ class TableStore:
         return self.spark.read.schema(schema).parquet(path)
 
     # -- write -----------------------------------------------------------
-    def overwrite(self, table: str, df: DataFrame, sort_within: list[str] | None = None) -> str:
-        """Commit ``df`` as the table's next version and return its path."""
+    def overwrite(self, table: str, df: DataFrame, sort_within: list[str] | None = None,
+                  check: Callable[[DataFrame], None] | None = None) -> str:
+        """Commit ``df`` as the table's next version and return its path.
+
+        ``check`` gets the version as written, before any reader sees it; if
+        it raises, the previous version stays current.
+        """
         schema = TABLES[table]
         # past every folder, committed or not: a failed load leaves a partial
         # version that readers ignore and writers never reuse
@@ -88,13 +98,20 @@ class TableStore:
         out = df.select(*[df[f.name].cast(f.dataType) for f in schema.fields])
         if sort_within:
             out = out.sortWithinPartitions(*sort_within)
-        out.write.mode("errorifexists").parquet(path)
-        self._prune(table)
+        out.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+        if check is not None:
+            check(self.spark.read.schema(schema).parquet(path))
+        marker, fs = _hadoop_path(self.spark, f"{path}/_SUCCESS")
+        fs.create(marker).close()
         return path
 
-    def append_bronze(self, df: DataFrame) -> None:
+    def append_bronze(self, df: DataFrame, observation: Observation | None = None, *metrics: Column) -> None:
         """K-01: append-only bronze, partitioned by branch and key range.
 
+        The rows are rebalanced by folder before the write, so a load leaves
+        about one file per folder and target size, however many tasks read
+        it; AQE splits a hot folder.  ``metrics`` are observed on the way.
+
         ``rango_clave`` = floor(id / 65536) of the numeric application id
         (NULL when the text is not a number; silver rejects it later, as the
         original's cast would): records of one application always share a
@@ -103,20 +120,31 @@ class TableStore:
         """
         out = df.select(*[df[f.name].cast(f.dataType) for f in BRONZE.fields],
                         key_range(F.col("bk_id_solicitud")).alias("rango_clave"))
+        out = out.hint("rebalance", "es_documento", "rango_clave")
+        if observation is not None:
+            out = out.observe(observation, *metrics)
         (out.write.mode("append").partitionBy("es_documento", "rango_clave")
          .parquet(self.table_dir(BRONZE_TABLE)))
 
     def append(self, table: str, df: DataFrame) -> None:
-        """Append rows to an append-only table (kept across re-initialisation)."""
+        """Add rows without rewriting the table: bronze's own tables in their
+        folder, the others inside their current version (``reset`` starts a
+        new one), whose first rows commit version 1."""
         schema = TABLES[table]
-        df.select(*[df[f.name].cast(f.dataType) for f in schema.fields]).write.mode("append").parquet(
-            self.table_dir(table))
-
-    def _prune(self, table: str) -> None:
-        v = self._versions(table)
-        for old in v[:-self.keep] if self.keep > 0 else []:
-            p, fs = _hadoop_path(self.spark, f"{self.table_dir(table)}/v={old}")
-            fs.delete(p, True)
+        path = self.table_dir(table) if table in APPEND_ONLY else self.current_path(table)
+        if path is None:
+            self.overwrite(table, df)
+        else:
+            df.select(*[df[f.name].cast(f.dataType) for f in schema.fields]).write.mode("append").parquet(path)
+
+    def prune(self, keep: int = 2) -> None:
+        """Delete all but the last ``keep`` committed versions of every table.
+        A load calls this after publishing its view, so the published versions
+        stay, and a reader of the load before keeps its files."""
+        for table in TABLES:
+            for old in [] if table in APPEND_ONLY else self._versions(table)[:-keep]:
+                p, fs = _hadoop_path(self.spark, f"{self.table_dir(table)}/v={old}")
+                fs.delete(p, True)
 
     # -- schema management (K-11) -----------------------------------------
     def reset(self, tables: list[str]) -> None:

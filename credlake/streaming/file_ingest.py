@@ -68,7 +68,8 @@ def bronze_sink(spark: SparkSession, store: TableStore, quarantine_dir: str, run
             good.unpersist()
             bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine_dir)
             store.append(INGEST_LEDGER, spark.range(1).select(
-                F.lit(marker).alias("nombre_archivo"), F.lit(run_id).alias("via_airflow_run_id"),
+                F.lit(marker).alias("nombre_archivo"), F.lit(None).alias("ruta"), F.lit(None).alias("fecha_archivo"),
+                F.lit(None).alias("tamano"), F.lit(run_id).alias("via_airflow_run_id"),
                 F.current_timestamp().cast("timestamp_ntz").alias("fecha_carga")))
         finally:
             batch.unpersist()

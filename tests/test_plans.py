@@ -347,3 +347,110 @@ def test_csv_doubled_quotes_and_backslashes(spark, tmp_root):
         f.write('SK_ID_CURR,T\n1,"Shop ""A"", big"\n2,"ends with \\"\n')
     rows = read_application_csv(spark, f"{tmp_root}/x.csv").collect()
     assert [r["T"] for r in rows] == ['Shop "A", big', "ends with \\"]
+
+
+def test_new_delivery_under_an_old_name_is_loaded(spark, tmp_root):
+    store = TableStore(spark, root=f"{tmp_root}/wh")
+    for folder, key in (("a", "1"), ("b", "2")):
+        os.makedirs(f"{tmp_root}/{folder}")
+        with open(f"{tmp_root}/{folder}/application_train.csv", "w") as f:
+            f.write(f"SK_ID_CURR,TARGET\n{key},0\n")
+    for run, folder in (("r1", "a"), ("r2", "b"), ("r3", "b")):
+        ingest_batch(spark, store, run, csv_path=f"{tmp_root}/{folder}/application_train.csv")
+    with open(f"{tmp_root}/b/application_train.csv", "w") as f:          # the same path, new content
+        f.write("SK_ID_CURR,TARGET\n3,0\n4,0\n")
+    ingest_batch(spark, store, "r4", csv_path=f"{tmp_root}/b/application_train.csv")
+    rows = store.read("bronze.raw_application").select("bk_id_solicitud", "via_airflow_run_id").collect()
+    assert sorted(map(tuple, rows)) == [("1", "r1"), ("2", "r2"), ("3", "r4"), ("4", "r4")]
+
+
+def test_repaired_document_is_loaded(spark, tmp_root):
+    raw = f"{tmp_root}/raw"
+    _write_docs(raw)
+    store = TableStore(spark, root=f"{tmp_root}/wh")
+    ingest_batch(spark, store, "r1", docs_dir=raw)
+    with open(f"{raw}/idp_boleta_20260615_020457.json", "w") as f:
+        f.write(SAMPLE_DOCUMENT.replace("999999", "5"))
+    c = ingest_batch(spark, store, "r2", docs_dir=raw)
+    assert (c["documentos_filas"], c["documentos_cuarentena"]) == (1, 0)
+    assert sorted(r[0] for r in store.read("bronze.raw_application").select("bk_id_solicitud").collect()) == ["5", "999999"]
+
+
+def test_batch_archives_loaded_files(spark, tmp_root):
+    raw, arch = f"{tmp_root}/raw files", f"{tmp_root}/archive"           # a blank is escaped in file URIs
+    store = TableStore(spark, root=f"{tmp_root}/wh")
+    for run in ("r1", "r2"):                                              # the second delivery has the same names
+        _write_docs(raw)
+        ingest_batch(spark, store, run, docs_dir=raw, archive_dir=arch)
+        assert sorted(os.listdir(raw)) == ["other.json"]
+    names = [n for n in os.listdir(arch) if not n.startswith(".")]
+    assert sorted(names) == [f"idp_boleta_20260615_02045{i}.json{s}" for i in (6, 7) for s in ("", ".1")]
+
+
+def test_bronze_files_do_not_grow_with_tasks(spark, tmp_root):
+    counts = []
+    for tasks in (2, 40):
+        store = TableStore(spark, root=f"{tmp_root}/wh{tasks}")
+        store.append_bronze(fx.bronze_base(spark, SF_SMALL).repartition(tasks))
+        b = store.read("bronze.raw_application")
+        counts.append(b.select(F.col("_metadata.file_path")).distinct().count())
+    assert counts[0] == counts[1]
+
+
+SILVER_ROW = {"bk_id_solicitud": 1, "name_contract_type": "Cash"}
+FACT_ROW = {"sk_fact": 1, "dd_id_solicitud": 1, "sk_cliente": 1, "sk_producto": 1, "sk_tiempo": 1, "sk_proxy_documental": 1}
+
+
+@pytest.mark.parametrize("table,rows,rule", [
+    ("silver.cleaned_application", [SILVER_ROW, SILVER_ROW], "duplicado_bk_id_solicitud"),
+    ("silver.cleaned_application", [dict(SILVER_ROW, bk_id_solicitud=None)], "nulo_bk_id_solicitud"),
+    ("silver.cleaned_application", [dict(SILVER_ROW, code_gender="x" * 11)], "largo_code_gender"),
+    ("gold.dim_producto", [{"sk_producto": 1, "nombre_producto": "a"}, {"sk_producto": 2, "nombre_producto": "a"}],
+     "duplicado_nombre_producto"),
+    ("gold.fact_creditos", [FACT_ROW, dict(FACT_ROW, sk_fact=2)], "duplicado_dd_id_solicitud"),
+    ("gold.fact_creditos", [dict(FACT_ROW, sk_cliente=9)], "huerfano_sk_cliente"),
+    ("gold.fact_creditos", [dict(FACT_ROW, sk_tiempo=9)], "huerfano_sk_tiempo"),
+])
+def test_violated_constraint_keeps_the_previous_version(spark, tmp_root, table, rows, rule):
+    from credlake.operators.quality import ConstraintError, constraint_check
+    store = TableStore(spark, root=f"{tmp_root}/wh")
+
+    def frame(name, data):
+        cols = S.TABLES[name].fieldNames()
+        loose = S.T.StructType([S.T.StructField(f.name, f.dataType, True) for f in S.TABLES[name].fields])
+        return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in data], loose)
+
+    parents = {"gold.dim_cliente": {"sk_cliente": 1}, "gold.dim_producto": {"sk_producto": 1},
+               "gold.dim_tiempo": {"sk_tiempo": 1}, "gold.dim_proxy_documental": {"sk_proxy_documental": 1}}
+    if table == "gold.fact_creditos":
+        for name, row in parents.items():
+            store.overwrite(name, frame(name, [row]))
+    first = store.overwrite(table, frame(table, [rows[0] if len(rows) > 1 else {
+        "silver.cleaned_application": SILVER_ROW, "gold.fact_creditos": FACT_ROW}[table]]),
+        check=constraint_check(table, store.read))
+    with pytest.raises(ConstraintError, match=rule):
+        store.overwrite(table, frame(table, rows), check=constraint_check(table, store.read))
+    assert store.current_path(table) == first and store.read(table).count() == 1
+
+
+def test_published_view_in_another_session_after_three_loads(spark, tmp_root):
+    from credlake.session import scratch_dir
+    store = TableStore(spark, root=f"{tmp_root}/wh")
+    init_warehouse(store)
+    for i in range(3):
+        run_load(spark, store, f"r{i}", bronze_rows=fx.bronze_all(spark, SF_SMALL), as_of=dt.date(2024, 1, 7 + i),
+                 view_name="vista_publicada")
+    other = spark.newSession().table("vista_publicada")
+    assert other.columns == [n for _, n in S.VIEW_COLUMNS]
+    assert {r[0] for r in other.select("fecha_evaluacion_datos").distinct().collect()} == {dt.date(2024, 1, 9)}
+    assert sorted(r["log_id"] for r in store.read("audit.etl_log").collect()) == [1, 2, 3, 4, 5, 6]
+    assert len(store._versions("gold.fact_creditos")) == 2
+    # a load that dies after its commits leaves the view readable
+    for _ in range(3):
+        store.overwrite("gold.fact_creditos", store.read("gold.fact_creditos"))
+    assert other.count() > 0
+    scratch = os.path.dirname(scratch_dir(spark, "x")).removeprefix("file:")
+    before = set(os.listdir(scratch))
+    run_load(spark, store, "r9", bronze_rows=fx.bronze_all(spark, SF_SMALL), as_of=dt.date(2024, 1, 7),
+             view_name="vista_publicada")
+    assert set(os.listdir(scratch)) == before
