@@ -8,10 +8,11 @@ by their product, and a path is content if its mean fused ratio reaches the
 threshold (a fraction of the standard deviation over the page).  Parts that are
 never the article (menus, headers and footers of the page, sidebars, notices,
 adverts, forms, reader comments, by tag, role, class or id) are left out
-first.  Content nodes vote, by their text, for the element that holds them:
-the deepest one with most of that text, or the article or main element around
-it; its other blocks (headings, short paragraphs, lists) come along, so that no
-block of the article is dropped for being short.
+first.  Every other content node is kept.  Content nodes vote, by their text,
+for the element that holds them: the deepest one with most of that text, or the
+article or main element around it; nodes outside it vote again, until all have
+one.  The other blocks of these elements (headings, short paragraphs, lists)
+come along, so that no block of the article is dropped for being short.
 
 A page is parsed where it lies, in one pass without a shuffle.
 
@@ -61,12 +62,14 @@ BOILERPLATE = frozenset("ad ads adv advert adverts advertisement advertising spo
                         "overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments "
                         "commentlist respond disqus replies widget pagination pager copyright legal disclaimer complementary contentinfo search".split())
 
+PARTS = frozenset("article main div section".split())
+
 
 class Element:
-    __slots__ = ("tag", "name", "up", "never", "holds", "depth")
+    __slots__ = ("tag", "name", "up", "never", "depth")
 
     def __init__(self, tag: str, name: str, up: Element | None, never: bool):
-        self.tag, self.name, self.up, self.never, self.holds = tag, name, up, never, 0
+        self.tag, self.name, self.up, self.never = tag, name, up, never
         self.depth = up.depth + 1 if up else 0
 
 
@@ -171,36 +174,44 @@ def extract(page: str | None, threshold: float = 0.5, share: float = 0.6) -> str
     content = {name for name, f in by.items() if sum(f) / len(f) >= least and sum(f) > 0}
     if not content:  # nothing stands out, all of it links or marks
         return ""
-    total = 0
-    ups: set[Element] = set()
-    for e, s, _ in found:
-        if e.name in content:
-            total += len(s)
-            while e is not None:
-                e.holds += len(s)
-                ups.add(e)
-                e = e.up
-    home = max((e for e in ups if e.holds >= share * total), key=lambda e: (e.depth, e.holds))
-    around = home
-    while around is not None:
-        if around.tag in ("article", "main"):
-            home = around
-            break
-        around = around.up
-    if home.tag not in ("article", "main") and home.up is not None and home.tag not in ("body", "html"):
-        # a single paragraph that holds most of the text is no container
-        while home.up is not None and home.tag in CLOSES_P | {"li", "td"} and home.tag not in ("div", "section", "body"):
-            home = home.up
-
-    def inside(e: Element | None) -> bool:
-        while e is not None:
-            if e is home:
-                return True
-            e = e.up
-        return False
-
-    whole = home.tag in ("article", "main", "div", "section")
-    return "\n".join(s for e, s, linked in found if inside(e) and (e.name in content or whole and linked * 2 < len(s) + 1))
+    homes: set[Element] = set()  # short blocks in these come along
+    left = [(e, len(s)) for e, s, _ in found if e.name in content]
+    while left:  # a round places at least ``share`` of the text that is left
+        home = _home(left, share)
+        placed = [e for e, _ in left if home in _line(e)]
+        left = [(e, k) for e, k in left if home not in _line(e)]
+        if home.tag in PARTS:
+            homes.add(home)
+            continue
+        for e in placed:  # body, html or no element: the outermost part of the page around each node
+            parts = [x for x in _line(e)[:_line(e).index(home)] if x.tag in PARTS]
+            homes.update(parts[-1:])
+    return "\n".join(s for e, s, linked in found if e.name in content or linked * 2 < len(s) + 1 and not homes.isdisjoint(_line(e)))
+
+
+def _line(e: Element | None) -> list[Element]:
+    """The element and all around it, innermost first."""
+    out = []
+    while e is not None:
+        out.append(e)
+        e = e.up
+    return out
+
+
+def _home(nodes: list[tuple[Element, int]], share: float) -> Element:
+    """The article or main element around most of the nodes' text, or the deepest element that holds it."""
+    holds: dict[Element, int] = defaultdict(int)
+    for e, n in nodes:
+        for x in _line(e):
+            holds[x] += n
+    home = max((e for e in holds if holds[e] >= share * sum(n for _, n in nodes)), key=lambda e: (e.depth, holds[e]))
+    for e in _line(home):
+        if e.tag in ("article", "main"):
+            return e
+    # a single paragraph that holds most of the text is no container
+    while home.up is not None and home.tag in CLOSES_P | {"li", "td"} and home.tag not in ("div", "section"):
+        home = home.up
+    return home
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

@@ -309,6 +309,26 @@ def test_html(spark):
     assert all(r.n_chars == len(r.text) for r in got) and [r.text for r in got if r.page_id == 4] == ["just text &am"]
 
 
+def sentences(seed, n):
+    return " ".join(prose(random.Random(seed * 100 + i), 9) + ", and more." for i in range(n))
+
+
+@pytest.mark.parametrize("shares", [(6, 4), (7, 3), (5, 5, 5), (12, 7, 5), (4, 9)])
+@pytest.mark.parametrize("tag", ["section", "div"])
+def test_html_parts_side_by_side(tag, shares):
+    """All parts of an article without article or main come, their headings too."""
+    parts = [(f"Heading {k}", sentences(k, n)) for k, n in enumerate(shares)]
+    body = "".join(f"<{tag} class=part{k}><h2>{h}</h2><p>{p}</p></{tag}>" for k, (h, p) in enumerate(parts))
+    want = "\n".join(x for part in parts for x in part)
+    assert html_extract.extract(f"<body><nav>One Two</nav>{body}<footer>All rights.</footer></body>") == want
+    assert html_extract.extract(f"<body><div id=wrap>{body}</div></body>") == want
+
+
+def test_html_reviewed_split():
+    a, b = sentences(1, 6), sentences(2, 4)
+    assert html_extract.extract(f"<div class=lead><p>{a}</p></div><div class=rest><p>{b}</p></div>") == a + "\n" + b
+
+
 def test_html_long_page():
     page = "<body><div id=main>" + "<p>Some words, and a stop." * 20_000
     assert html_extract.extract(page).count("\n") == 19_999
