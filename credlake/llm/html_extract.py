@@ -8,7 +8,8 @@ by their product, and a path is content if its mean fused ratio reaches the
 threshold (a fraction of the standard deviation over the page).  Parts that are
 never the article (menus, headers and footers of the page, sidebars, notices,
 adverts, forms, reader comments, by tag, role, class or id) are left out
-first.  Every other content node is kept.  Content nodes vote, by their text,
+first.  A class or id counts as a whole name (site-footer, not no-sidebar), and
+not on body, main, article or an element that holds most of the text.  Every other content node is kept.  Content nodes vote, by their text,
 for the element that holds them: the deepest one with most of that text, or the
 article or main element around it; nodes outside it vote again, until all have
 one.  The other blocks of these elements (headings, short paragraphs, lists)
@@ -61,18 +62,33 @@ BOILERPLATE = frozenset("ad ads adv advert adverts advertisement advertising spo
                         "breadcrumb breadcrumbs sidebar aside footer masthead topbar toolbar cookie cookies consent notice notices gdpr popup modal "
                         "overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments "
                         "commentlist respond disqus replies widget pagination pager copyright legal disclaimer complementary contentinfo search".split())
+REMARKS = frozenset("comment comments commentlist respond disqus replies".split())  # often longer than the article
+# parts that a name may have beside words of BOILERPLATE: where it is, or of what; no-, with-, -open, category- say something else
+BESIDE = frozenset("site page main global primary secondary top bottom left right header post posts article articles story stories entry content "
+                   "user reader email mobile box bar block list area section container wrapper wrap inner body links link item items slot unit "
+                   "form button buttons widgets".split())
 
 PARTS = frozenset("article main div section".split())
 
 
 class Element:
-    __slots__ = ("tag", "name", "up", "never", "depth")
+    __slots__ = ("tag", "name", "up", "never", "named", "depth")
 
-    def __init__(self, tag: str, name: str, up: Element | None, never: bool):
-        self.tag, self.name, self.up, self.never = tag, name, up, never
+    def __init__(self, tag: str, name: str, up: Element | None, never: bool, named: frozenset[str] = frozenset()):
+        self.tag, self.name, self.up, self.never, self.named = tag, name, up, never, named
         self.depth = up.depth + 1 if up else 0
 
 
+def boilerplate(names: list[str]) -> frozenset[str]:
+    """Words of BOILERPLATE that classes, ids or roles consist of."""
+    out: set[str] = set()
+    for name in names:
+        parts = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+        if all(w in BOILERPLATE or w in BESIDE or w[0].isdigit() for w in parts):
+            out.update(w for w in parts if w in BOILERPLATE)
+    return frozenset(out)
+
+
 def blocks(page: str) -> list[tuple[Element, str, int]]:
     """(element, text, characters of it inside links) of every block of text in page order."""
     out: list[tuple[Element, str, int]] = []
@@ -134,15 +150,15 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
                     break
         if tag in VOID:
             continue
-        attrs, words = m["attrs"] or "", []
+        attrs, words, names = m["attrs"] or "", [], []
         for _, a, b, c in MARKS.findall(attrs) if attrs else ():
             words += re.split(r"[^a-z0-9]+", (a or b or c).lower())
+            names += (a or b or c).lower().split()
         up = stack[-1]
         inside = any(e.tag in ("article", "main") for e in stack)
-        never = up.never or tag in NEVER or (tag == "header" and not inside) or any(w in BOILERPLATE for w in words) \
-            or bool(attrs and HIDDEN.search(attrs))
+        never = up.never or tag in NEVER or (tag == "header" and not inside) or bool(attrs and HIDDEN.search(attrs))
         if not attrs.rstrip().endswith("/") or tag not in ("path", "use"):
-            stack.append(Element(tag, up.name + "/" + ".".join([tag, *sorted(w for w in words if w)]), up, never))
+            stack.append(Element(tag, up.name + "/" + ".".join([tag, *sorted(w for w in words if w)]), up, never, boilerplate(names)))
     said(page[at:])
     flush()
     return out
@@ -157,6 +173,8 @@ def smooth(x: np.ndarray, radius: int = 2) -> np.ndarray:
 def extract(page: str | None, threshold: float = 0.5, share: float = 0.6) -> str:
     """The main text of one page."""
     found = [b for b in blocks(page or "") if not b[0].never]
+    out = _named_out(found)
+    found = [b for b in found if out.isdisjoint(_line(b[0]))]
     if not found:
         return ""
     size, marks, n = defaultdict(float), defaultdict(float), defaultdict(int)
@@ -198,6 +216,32 @@ def _line(e: Element | None) -> list[Element]:
     return out
 
 
+def _named_out(found: list[tuple[Element, str, int]]) -> set[Element]:
+    """Elements that are left out for their class, id or role.  Not html, body, main and article, what is around main
+    or the longest article, and what holds most of the text (within main or that article, if there is one): there the
+    ratios decide.  Reader comments that hold most of it are left out all the same if there is other text."""
+    holds: dict[Element, int] = defaultdict(int)
+    total = 0
+    for e, s, linked in found:
+        n = max(len(s) - 2 * linked, 0)
+        total += n
+        for x in _line(e):
+            holds[x] += n
+    longest = max((e for e in holds if e.tag == "article" and not any(x.named & REMARKS for x in _line(e))), key=holds.__getitem__, default=None)
+    cores = {e for e in holds if e.tag == "main" or e is longest}
+    kept = {x for e in cores for x in _line(e)}
+
+    def out(e: Element) -> bool:
+        if not e.named or e.tag in ("html", "body", "main"):
+            return False
+        if e.named & REMARKS:
+            return holds[e] < total
+        most = 2 * holds[e] > total and (not cores or not cores.isdisjoint(_line(e)))
+        return not (e.tag == "article" or e in kept or most)
+
+    return {e for e in holds if out(e)}
+
+
 def _home(nodes: list[tuple[Element, int]], share: float) -> Element:
     """The article or main element around most of the nodes' text, or the deepest element that holds it."""
     holds: dict[Element, int] = defaultdict(int)

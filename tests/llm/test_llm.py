@@ -329,6 +329,17 @@ def test_html_reviewed_split():
     assert html_extract.extract(f"<div class=lead><p>{a}</p></div><div class=rest><p>{b}</p></div>") == a + "\n" + b
 
 
+@pytest.mark.parametrize("start, end", [
+    ("<body class='single no-sidebar'>", "</body>"), ("<body class='widget'><article class='post comments-open category-promo'>", "</article></body>"),
+    ("<body><div id='content-with-sidebar'>", "</div></body>"), ("<body><div class=widget><main class=search>", "</main></div></body>"),
+    ("<body><div class='social'><article class=legal>", "</article></div></body>"), ("<div class=notice>", "</div>")])
+def test_html_names_of_the_article(start, end):
+    """A word of the boilerplate list in a name around the article costs no text; the boilerplate beside it still goes."""
+    a, b, ad, said = sentences(3, 5), sentences(4, 5), sentences(5, 2), sentences(6, 20)
+    rest = f"<div class=ad><p>{ad}</p></div><div id=cookie-banner>{ad}</div><div class='site-footer x'>{ad}</div><div id=comments class=comments-area><p>{said}</p></div>"
+    assert html_extract.extract(f"{start}<h1>T</h1><p>{a}</p><p>{b}</p>{rest}{end}").removeprefix("T\n") == a + "\n" + b
+
+
 def test_html_long_page():
     page = "<body><div id=main>" + "<p>Some words, and a stop." * 20_000
     assert html_extract.extract(page).count("\n") == 19_999
