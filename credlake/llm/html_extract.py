@@ -20,7 +20,7 @@ A page is parsed where it lies, in one pass without a shuffle.
 Defined results: null, empty and text-free pages give the empty text and 0
 characters.  Unclosed tags, stray end tags and pages that break off are read
 as far as they go.  Character references are decoded (unknown ones stay as
-they are), white space in a block becomes one space, blocks join by one \\n.
+they are), formulas are text, white space in a block becomes one space, blocks join by one \\n.
 Repeated rows give repeated results.  Other columns are not read.
 """
 
@@ -40,7 +40,7 @@ from .common import slices, table
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|object|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|object|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|<(?P<odd>/?[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)",
     re.S | re.I,
@@ -52,7 +52,9 @@ PUNCT = re.compile(r"[,.;:!?、。，；：！？]")
 # fixed values: elements of HTML by what they do
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
-                   "span strike strong sub sup time tt u var wbr".split())
+                   "span strike strong sub sup time tt u var wbr "
+                 "math semantics maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+                 "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split())
 NEVER = frozenset("nav footer aside form menu dialog button fieldset head".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
                      "h6 header hgroup hr main menu nav ol p pre section table ul".split())
@@ -68,8 +70,22 @@ BESIDE = frozenset("site page main global primary secondary top bottom left righ
                    "user reader email mobile box bar block list area section container wrapper wrap inner body links link item items slot unit "
                    "form button buttons widgets".split())
 
+UNSHOWN = frozenset("svg annotation annotation-xml".split())  # drawings, and formulas a second time in another notation
 PARTS = frozenset("article main div section".split())
 
+_UNSHOWN_END = {t: re.compile(rf"<!--.*?--!?>|<foreignObject\b[^>]*>.*?</foreignObject\s*>|(?P<end></{t}\s*>)"
+                              rf"|(?P<block></?(?:{'|'.join(sorted(CLOSES_P | SCOPE | {'li', 'dt', 'dd', 'tr'}))})(?=[\s/>]))", re.S | re.I) for t in UNSHOWN}
+
+
+def unshown(page: str, tag: str, at: int) -> int:
+    """Where an element that begins before ``at`` ends: its end tag or, without one, the next block tag."""
+    for m in _UNSHOWN_END[tag].finditer(page, at):
+        if m["end"]:
+            return m.end()
+        if m["block"]:
+            return m.start()
+    return len(page)
+
 
 class Element:
     __slots__ = ("tag", "name", "up", "never", "named", "depth")
@@ -113,7 +129,7 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
                 linked += len(s.strip())
 
     at = 0
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         said(page[at:m.start()])
         at = m.end()
         tag = m["tag"] or m["odd"]
@@ -123,6 +139,11 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
             continue
         closing = bool(m["close"]) or tag[0] == "/"
         tag = tag.lstrip("/").lower()
+        if tag in UNSHOWN:
+            text.append(" ")
+            if not closing and not (m["attrs"] or "").rstrip().endswith("/"):
+                at = unshown(page, tag, at)
+            continue
         if tag in INLINE:
             if tag == "a":
                 links = 0 if closing else 1

@@ -340,6 +340,18 @@ def test_html_names_of_the_article(start, end):
     assert html_extract.extract(f"{start}<h1>T</h1><p>{a}</p><p>{b}</p>{rest}{end}").removeprefix("T\n") == a + "\n" + b
 
 
+def test_html_drawings_and_formulas():
+    a, b = sentences(7, 5), sentences(8, 5)
+    for icon in ("<svg class=i viewBox='0 0 1 1'/>", "<svg/>", "<svg><path d=1 /><title>no</title></svg>", "<svg><!-- <p> --><foreignObject><div>no</div></foreignObject></svg>",
+                 "<svg><path d=1>"):
+        want = a + "\n" + b
+        assert html_extract.extract(f"<article><p>{a}{icon}</p><p>{b}</p></article>") == want
+        assert html_extract.extract(f"<article><p>{a}{icon}</p><p>{b}</p></article><footer><svg></svg></footer>") == want
+    tex = "<annotation encoding='application/x-tex'>no</annotation>"
+    assert html_extract.extract(f"<article><p>{a} <math><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow>{tex}</math>, {b}</p></article>") == f"{a} x=1 , {b}"
+    assert html_extract.extract(f"<article><p>{a} <math/>{b}</p></article>") == f"{a} {b}"
+
+
 def test_html_long_page():
     page = "<body><div id=main>" + "<p>Some words, and a stop." * 20_000
     assert html_extract.extract(page).count("\n") == 19_999
