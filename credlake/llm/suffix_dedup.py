@@ -19,7 +19,14 @@ Before the shuffle a task keeps of every repeated stretch the occurrences in
 the smallest document it has seen; the others are removed on the spot.  So a
 passage that a third of all documents hold crosses the network once per task.
 Buckets hold packed records, about as many as the session has shuffle
-partitions; their size does not depend on how often anything repeats.
+partitions.
+
+A phrase shorter than a window, in many documents with other words around it,
+makes as many different records with one anchor.  Anchors are counted in a
+pass of their own; those of more than ``hot`` records (and 16 a task) are not
+sorted as suffixes.  Their windows are compared in the task first, and the ones
+left go out one by one, to buckets by the hash of all their bytes.  So no bucket
+grows with how often an anchor occurs.
 
 Defined results: null text is empty.  Texts shorter than ``size`` lose
 nothing.  Rows with the same doc_id are one document to the rule (no string is
@@ -47,6 +54,9 @@ ANCHOR = 16
 SAMPLE_DOCS, SAMPLE_KEYS = 1000, 64  # splitters: at most so many documents, and anchors of each
 CHUNK = 2 << 20                      # bytes of text, or of records, that are worked on at once
 REPEATED = 1 << 19                   # repeated stretches a task remembers
+HOT = 1 << 15                        # records that an anchor's group may have, about
+SEEN, CELLS = 16, 1 << 22            # records of an anchor in a task that are told; counters of a task
+SPREAD = 1 << 14                     # records whose windows are sent one by one, at once
 _M = np.uint64(0x9E3779B97F4A7C15)
 _I = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
@@ -79,10 +89,18 @@ def range_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((sums[end] - sums[start]) * powers(_M, len(buf) + 1)[start])
 
 
+def anchor_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(mix(a * np.uint64(0xC2B2AE3D27D4EB4F)) + b * np.uint64(0x165667B19E3779F9))
+
+
 def anchor_hashes(buf: np.ndarray) -> np.ndarray:
     """Hash of the ANCHOR bytes from every position on."""
     u = eights(buf).astype(np.uint64)
-    return mix(mix(u[:-8] * np.uint64(0xC2B2AE3D27D4EB4F)) + u[8:] * np.uint64(0x165667B19E3779F9))[:len(buf) - ANCHOR + 1]
+    return anchor_hash(u[:-8], u[8:])[:len(buf) - ANCHOR + 1]
+
+
+def cells(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(CELLS - 1)).astype(np.int64)
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -93,14 +111,11 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:len(x) - (width - span)], x[width - span:]) if span < width else x
 
 
-def stretches(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first window, windows, anchor's place in the stretch) of every stretch of windows with one anchor."""
-    none = np.zeros(0, np.int64)
-    if len(buf) < size:
-        return none, none, none, none
-    width = size - ANCHOR + 1
+def heads(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor hashes of all positions, smallest one of the window from every position on, first window of every
+    stretch of windows with one anchor, windows that lie in one text)."""
     h = anchor_hashes(buf)
-    low = sliding_min(h, width)  # of the window that starts at each position
+    low = sliding_min(h, size - ANCHOR + 1)
     n = len(low)
     ok = np.ones(n + 1, bool)
     for a, b in zip(np.maximum(offs[1:-1] - size + 1, offs[:-2]).tolist(), offs[1:-1].tolist()):
@@ -108,10 +123,22 @@ def stretches(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray,
     ok[n] = False
     head = ok[:n].copy()
     head[1:] &= ~ok[:n - 1] | (low[1:] != low[:-1])
-    first = np.flatnonzero(head)
+    return h, low, np.flatnonzero(head), ok[:n]
+
+
+def stretches(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first window, windows, anchor's place in the stretch) of every stretch of windows with one anchor."""
+    none = np.zeros(0, np.int64)
+    if len(buf) < size:
+        return none, none, none, none
+    width = size - ANCHOR + 1
+    h, low, first, ok = heads(buf, offs, size)
+    n = len(low)
     if not len(first):
         return none, none, none, none
-    edge = np.flatnonzero(head | ~ok[:n])  # a stretch ends where the next begins or windows stop
+    head = np.zeros(n, bool)
+    head[first] = True
+    edge = np.flatnonzero(head | ~ok)  # a stretch ends where the next begins or windows stop
     nxt = np.searchsorted(edge, first, "right")
     last = np.append(edge, n)[nxt]
     place = np.empty(len(first), np.int64)
@@ -217,22 +244,76 @@ def _splitters(docs: DataFrame, size: int, buckets: int) -> Splitters:
     return Splitters([(int(a) % 2**64, int(b) % 2**64) for a, b in zip(found["a"], found["b"])], buckets)
 
 
-def _records(splitters: Splitters, size: int, groups: int, buckets: int):
-    """Texts to packed records by bucket (kind 0), and what a task can remove itself (kind 1)."""
+def _hot(docs: DataFrame, size: int, most: int) -> np.ndarray:
+    """Cells of the anchors with more than ``most`` records (and SEEN a task); at most one in most / 2 of all records."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(CELLS, np.int32)
+        for whole in batches:
+            whole = whole.filter(whole.column("doc_id").is_valid())
+            for batch in slices(whole, max_bytes=CHUNK):
+                buf, offs = flat(batch.column("text"))
+                if len(buf) >= size:
+                    _, low, first, _ = heads(buf, offs, size)
+                    np.add.at(n, cells(low[first]), 1)
+        at = np.flatnonzero(n >= max(min(SEEN, most), 8 * n.mean()))  # the mean: many anchors share a counter
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["cell", "n"])
+
+    found = docs.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > most)
+    return np.sort(found.select("cell").toPandas()["cell"].to_numpy(np.int64))
+
+
+def runs(rec: np.ndarray, window: np.ndarray, doc: np.ndarray, start: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, first byte, byte after the last) of every run of windows (record, window) that follow each other."""
+    new = np.ones(len(rec), bool)
+    new[1:] = (rec[1:] != rec[:-1]) | (window[1:] != window[:-1] + 1)
+    a = np.flatnonzero(new)
+    b = np.append(a[1:], len(rec)) - 1
+    return doc[rec[a]], start[rec[a]] + window[a], start[rec[b]] + window[b] + size
+
+
+def _records(splitters: Splitters, size: int, groups: int, buckets: int, hot: np.ndarray):
+    """Texts to packed records by bucket (kind 0), windows of hot anchors by bucket (kind 2), and what a task can
+    remove itself (kind 1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=3)
         known, owner = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # repeated stretches, and their smallest document
-        held: dict[int, list] = {}
+        held: dict[tuple[int, int], list] = {}
         weight = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal weight
-            for b in sorted(held):
-                cols = [np.concatenate(c) for c in zip(*held[b])]
-                yield rows_of([b], [0], [None], [len(cols[0])], [z.compress(b"".join(c.tobytes() for c in cols))])
+            for kind, b in sorted(held):
+                cols = [np.concatenate(c) for c in zip(*held[kind, b])]
+                yield rows_of([b], [kind], [None], [len(cols[0])], [z.compress(b"".join(c.tobytes() for c in cols))])
             held.clear()
             weight = 0
 
+        def spread(buf: np.ndarray, doc: np.ndarray, first: np.ndarray, start: np.ndarray, length: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal weight
+            n = length.astype(np.int64)
+            blob = gather(buf, first, n)
+            rec, window = repeated_windows(doc, n, blob, size)
+            if len(rec):
+                yield span_rows(*runs(rec, window, doc, start, size), groups, buckets)
+            w = n - size + 1
+            to = np.cumsum(w) - w
+            stay = np.ones(w.sum(), bool)
+            stay[to[rec] + window] = False  # a smaller document here has them
+            owner = np.repeat(np.arange(len(n)), w)[stay]
+            nth = np.flatnonzero(stay) - to[owner]
+            s = (np.cumsum(n) - n)[owner] + nth
+            bucket = buckets + (range_hashes(blob, s, s + size) % np.uint64(buckets)).astype(np.int64)
+            by = np.argsort(bucket, kind="stable")
+            edge = np.append(np.flatnonzero(np.diff(bucket[by], prepend=-1)), len(by))
+            windows = np.lib.stride_tricks.sliding_window_view(blob, size)
+            for a, b in zip(edge[:-1], edge[1:]):
+                k = by[a:b]
+                held.setdefault((2, int(bucket[k[0]])), []).append(
+                    (doc[owner[k]], (start[owner[k]] + nth[k]).astype(np.int32), np.full(len(k), size, np.int32), np.zeros(len(k), np.uint8), windows[s[k]].ravel()))
+                weight += size * len(k)
+            if weight > 24 * CHUNK:
+                yield from flush()
+
         for whole in batches:
             whole = whole.filter(whole.column("doc_id").is_valid())
             for batch in slices(whole, max_bytes=CHUNK):
@@ -268,16 +349,25 @@ def _records(splitters: Splitters, size: int, groups: int, buckets: int):
                 if out is not None:
                     yield out
                 u = eights(buf)
-                at = (first + place)[~own]
-                bucket = splitters.bucket(u[at].astype(np.uint64), u[at + 8].astype(np.uint64))
+                rest = np.flatnonzero(~own)
+                at = (first + place)[rest]
+                a, b = u[at].astype(np.uint64), u[at + 8].astype(np.uint64)
+                if len(hot):
+                    often = np.isin(cells(anchor_hash(a, b)), hot)
+                    k = rest[often]
+                    for i in range(0, len(k), SPREAD):
+                        j = k[i:i + SPREAD]
+                        yield from spread(buf, doc[j], first[j], (first - offs[text])[j], length[j])
+                    rest, a, b = rest[~often], a[~often], b[~often]
+                bucket = splitters.bucket(a, b)
                 by = np.argsort(bucket, kind="stable")
-                keep = np.flatnonzero(~own)[by]
+                keep = rest[by]
                 bucket = bucket[by]
                 edge = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket)) if len(bucket) else []
                 for a, b in zip(edge[:-1], edge[1:]):
                     k = keep[a:b]
                     blob = gather(buf, first[k], length[k])
-                    held.setdefault(int(bucket[a]), []).append(
+                    held.setdefault((0, int(bucket[a])), []).append(
                         (doc[k], (first - offs[text])[k].astype(np.int32), length[k].astype(np.int32), place[k].astype(np.uint8), blob))
                     weight += len(blob)
                 if weight > 24 * CHUNK:
@@ -349,6 +439,20 @@ def _bucket(size: int, groups: int, buckets: int):
     def run(t: pa.Table) -> pa.Table:
         shape = pa.schema([("grp", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
         out = [t.filter(pa.compute.equal(t.column("kind"), 1)).select(["grp", "n", "payload"]).cast(shape)]
+        alone = t.filter(pa.compute.equal(t.column("kind"), 2))
+        if alone.num_rows:  # windows of hot anchors, grouped by all their bytes
+            parts = [unpack(p, n) for p, n in zip(alone.column("payload").to_pylist(), alone.column("n").to_pylist())]
+            doc, start, _, _, blob = (np.concatenate(c) for c in zip(*parts))
+            del parts
+            u, begin = eights(blob), np.arange(len(doc)) * size
+            order, group = multikey_groups([lambda i, o=o: u[begin[i] + o].astype(np.uint64) for o in [*range(0, size - 7, 8), size - 8]], len(doc))
+            d = doc[order]
+            least = np.minimum.reduceat(d, np.flatnonzero(np.diff(group, prepend=-1)))
+            gone = order[d > least[group]]
+            spans = span_rows(doc[gone], start[gone], start[gone] + size, groups, buckets)
+            if spans is not None:
+                out.append(pa.Table.from_batches([spans]).select(["grp", "n", "payload"]).cast(shape))
+            del blob, u
         recs = t.filter(pa.compute.equal(t.column("kind"), 0))
         if recs.num_rows:
             found: list[tuple] = []
@@ -373,12 +477,7 @@ def _bucket(size: int, groups: int, buckets: int):
                 n = length[k].astype(np.int64)
                 rec, window = repeated_windows(doc[k], n, gather(blob, begin[k], n), size)
                 if len(rec):
-                    first = np.ones(len(rec), bool)
-                    first[1:] = (rec[1:] != rec[:-1]) | (window[1:] != window[:-1] + 1)
-                    a = np.flatnonzero(first)
-                    b = np.append(a[1:], len(rec)) - 1
-                    d, at = doc[k], start[k]
-                    found.append((d[rec[a]], at[rec[a]] + window[a], at[rec[b]] + window[b] + size))
+                    found.append(runs(rec, window, doc[k], start[k], size))
             if found:
                 spans = span_rows(*(np.concatenate(c) for c in zip(*found)), groups, buckets)
                 out.append(pa.Table.from_batches([spans]).select(["grp", "n", "payload"]).cast(shape))
@@ -403,7 +502,7 @@ def _shuffles_end(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def removed_spans(docs: DataFrame, size: int = 50, groups: int | None = None) -> DataFrame:
+def removed_spans(docs: DataFrame, size: int = 50, groups: int | None = None, hot: int = HOT) -> DataFrame:
     """(grp, n, payload): packed removed runs (doc_id, first byte, byte after the last), overlaps not merged."""
     spark = docs.sparkSession
     rows = id_text(docs)
@@ -412,7 +511,7 @@ def removed_spans(docs: DataFrame, size: int = 50, groups: int | None = None) ->
     splitters = _splitters(rows, size, buckets)
     with _shuffles_end(spark):
         return stored(
-            rows.mapInArrow(_records(splitters, size, groups, buckets), SHAPE)
+            rows.mapInArrow(_records(splitters, size, groups, buckets, _hot(rows, size, hot)), SHAPE)
             .groupBy("bucket").applyInArrow(_bucket(size, groups, buckets), "grp long, n long, payload binary"),
             "suffix-spans")
 
@@ -425,10 +524,10 @@ def _kept(text: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:-1]) == 0
 
 
-def _apply(docs: DataFrame, size: int, answer: Callable[[pa.Table, list[tuple[bytes, np.ndarray]]], pa.Table], schema) -> DataFrame:
+def _apply(docs: DataFrame, size: int, answer: Callable[[pa.Table, list[tuple[bytes, np.ndarray]]], pa.Table], schema, hot: int = HOT) -> DataFrame:
     """Bring documents and their removed runs together by group; ``answer`` makes the rows of a group."""
     groups = partitions(docs.sparkSession)
-    spans = removed_spans(docs, size, groups)
+    spans = removed_spans(docs, size, groups, hot)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.drop_columns(["__grp"])
@@ -456,7 +555,7 @@ def _apply(docs: DataFrame, size: int, answer: Callable[[pa.Table, list[tuple[by
             .cogroup(spans.withColumnRenamed("grp", "__grp").groupBy("__grp")).applyInArrow(run, schema))
 
 
-def suffix_digests(docs: DataFrame, size: int = 50) -> DataFrame:
+def suffix_digests(docs: DataFrame, size: int = 50, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256)."""
     def answer(left: pa.Table, kept: list) -> pa.Table:
         rows = []
@@ -472,7 +571,7 @@ def suffix_digests(docs: DataFrame, size: int = 50) -> DataFrame:
         return pa.Table.from_arrays([left.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, kinds))],
                                     ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return _apply(id_text(docs), size, answer, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _apply(id_text(docs), size, answer, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", hot)
 
 
 def strip_repeats(docs: DataFrame, size: int = 50) -> DataFrame:

@@ -173,6 +173,27 @@ def test_suffix_edges(make_docs):
     assert rows[0].text == text + " ü tail" and rows[1].text == "head ü " and rows[1].n_chars == 7
 
 
+@pytest.mark.parametrize("n", [40, 55, 90])
+def test_suffix_phrase_in_a_third(make_docs, odd_texts, n):
+    """A phrase in a third of the documents with other words around it: whole result, and no anchor with a large group."""
+    rng = random.Random(n)
+    phrase = (prose(rng, 30) * 2)[:n]
+    texts = odd_texts + [prose(rng, 12) + (" " + phrase + " " if i % 3 == 0 else " ") + prose(rng, 12) for i in range(400)]
+    texts += [texts[30][20:120] + prose(rng, 5), phrase * 3]
+    ids = random.Random(2).sample(range(10_000), len(texts))
+    docs = make_docs(texts, ids, extra=True)
+    got = suffix_dedup.suffix_digests(docs, 50, hot=20).collect()
+    assert {r.doc_id: tuple(r) for r in got} == brute_suffix(zip(ids, texts), 50)
+    rows = suffix_dedup.id_text(docs).coalesce(1)
+    records = suffix_dedup._records(suffix_dedup.Splitters([], 4), 50, 4, 4, suffix_dedup._hot(rows, 50, 20))
+    anchors = Counter()
+    for r in rows.mapInArrow(records, suffix_dedup.SHAPE).where("kind = 0").collect():
+        doc, start, length, place, blob = suffix_dedup.unpack(bytes(r.payload), r.n)
+        begin = np.cumsum(length) - length
+        anchors.update(blob[b:b + suffix_dedup.ANCHOR].tobytes() for b in begin + place)
+    assert max(anchors.values()) <= 20
+
+
 def test_windows_that_share_a_hash_only(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "range_hashes", lambda buf, s, e: np.zeros(len(s), np.uint64))
     a, b = b"x" * 50, b"y" * 50
