@@ -15,11 +15,12 @@ are shuffled.
 
 Ids follow the tokenizer file (byte-level BPE).  A word with the space before
 it encodes on its own, so words are encoded once and kept as id bytes in a
-bounded memory; a text where white space meets white space is encoded whole.
+bounded memory; a text where white space meets white space, or that holds an
+added token of the file (<|endoftext|>), is encoded whole.
 
-Defined results: null and empty texts are the closing id 0 alone.  Ids of
-special tokens written out in a text are those of ordinary text.  Rows that
-repeat a doc_id are packed like any other document.  An empty table gives no
+Defined results: null and empty texts are the closing id 0 alone.  A special
+token written out in a text has its own id, as the library gives it with
+add_special_tokens=False.  Rows that repeat a doc_id are packed like any other document.  An empty table gives no
 rows.  Other columns are not read.
 """
 
@@ -43,7 +44,7 @@ GROUP = 20_000  # pieces of a group, about
 KEEP = 200_000  # words a worker remembers
 # fixed value: how byte-level BPE of this kind cuts a text into words
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_MEETS = re.compile(r"\s\s")  # white space next to white space: words don't encode apart there
+_MEETS = r"\s\s"  # white space next to white space: words don't encode apart there
 
 
 class _Words(dict):
@@ -54,12 +55,14 @@ class _Words(dict):
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            whole = json.load(f)
+        vocab = whole["model"]["vocab"]
+        self.added = [t["content"] for t in whole.get("added_tokens") or []]
         # byte-level tokens write a byte as a character: printable Latin-1 as itself, the rest from 256 on
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
         ranks = {bytes(byte_of[c] for c in w): i for w, i in vocab.items() if all(c in byte_of for c in w)}
-        ranks = {w: i for w, i in ranks.items() if w != b"<|endoftext|>"}
+        ranks = {w: i for w, i in ranks.items() if w not in {a.encode() for a in self.added}}
         self.ids = tiktoken.Encoding("words", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def __missing__(self, word: str) -> bytes:
@@ -79,15 +82,16 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.words = _Words(path)
+        # texts whose words don't encode apart
+        self.whole = re.compile("|".join([_MEETS, *map(re.escape, self.words.added)]))
 
     def plain(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() if text else b""
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text."""
-        if _MEETS.search(text) or text[:1].isspace():
+        if self.whole.search(text) or text[:1].isspace():
             return self.plain(text)
         first, *rest = text.split(" ")
         return self.plain(first) + b"".join(map(self.words.__getitem__, rest))

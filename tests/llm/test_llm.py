@@ -288,6 +288,20 @@ def test_packing(make_docs, odd_texts):
     assert padding <= 0.02 * sum(map(len, ids.values())) + 1024
 
 
+def test_packing_ids_are_the_library_s(make_docs, odd_texts):
+    """Special tokens written out in a text too: the tokenizer as its file makes it."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    texts = odd_texts + ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y  z", "<|endoftext|><|endoftext|> two", "<|endoftext |> not one"]
+    ids = {i: [*t.encode(x or "", add_special_tokens=False).ids, 0] for i, x in enumerate(texts)}
+    assert 50256 in ids[len(odd_texts)]
+    got = packing.pieces(make_docs(texts, extra=True), path).collect()
+    assert sorted(map(tuple, got)) == sorted(
+        (i, a, len(x[a:a + 1024]), zlib.crc32(np.array(x[a:a + 1024], "<u4").tobytes()), len(x)) for i, x in ids.items() for a in range(0, len(x), 1024))
+
+
 def test_closest_fill_is_best():
     rng = random.Random(9)
     for _ in range(300):
