@@ -8,8 +8,10 @@ lengths, held as bits of one integer, finds the sum closest to what is free,
 and backtracking gives the counts taken of each length.  A sequence whose
 length is a power of two needs no padding, so such sums count as filled.
 
-Groups are formed by hash of (doc_id, start) and have about ``group`` pieces
-each, whatever the input; a group is packed in one task.  One pass over the
+Groups are formed of last pieces, by hash of (doc_id, start), and have about
+``group`` of them each, as there is one a document; a group is packed in one
+task.  Whole windows get their ids in Spark and travel in blocks of at most
+``group``, however long a text is.  One pass over the
 texts makes rows of one piece each (its checksum included); only those rows
 are shuffled.
 
@@ -181,25 +183,37 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     return id_text(docs).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, group: int = GROUP) -> DataFrame:
-    """One row per piece with its sequence_id and its offset in the sequence."""
+def grouped(docs: DataFrame, tokenizer: str, window: int = WINDOW, group: int = GROUP) -> DataFrame:
+    """Pieces with the group (grp) that they are packed in; whole windows with their sequence (own)
+    and a block below 0."""
     n = docs.count()  # from the files' row counts
     groups = max(1, -(-n // group))
+    row = F.monotonically_increasing_id()  # (doc_id, start) is not unique where rows repeat a doc_id
+    whole = F.col("length") == window
+    return pieces(docs, tokenizer, window).withColumn("row", row).select(
+        "*", F.when(whole, F.col("row").bitwiseOR(F.lit(1 << 62))).alias("own"),
+        F.when(whole, -1 - F.expr(f"row div {group}")).otherwise(F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups))).alias("grp")).drop("row")
+
 
+def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, group: int = GROUP) -> DataFrame:
+    """One row per piece with its sequence_id and its offset in the sequence."""
     def one(t: pa.Table) -> pa.Table:
+        g = t.column("grp")[0].as_py()
+        if g < 0:
+            seq, off = t.column("own"), pa.array([0] * t.num_rows, pa.int64())
+            return t.drop_columns(["grp", "own"]).append_column("sequence_id", seq).append_column("offset", off)
         t = t.sort_by([("doc_id", "ascending"), ("start", "ascending")])
-        length, g = t.column("length").to_pylist(), t.column("grp")[0].as_py()
+        length = t.column("length").to_pylist()
         seq, off = [0] * len(length), [0] * len(length)
         for k, rows in enumerate(pack_lengths(length, window)):
             at = 0
             for i in rows:
                 seq[i], off[i] = g << 32 | k, at
                 at += length[i]
-        return t.drop_columns(["grp"]).append_column("sequence_id", pa.array(seq, pa.int64())).append_column("offset", pa.array(off, pa.int64()))
+        return t.drop_columns(["grp", "own"]).append_column("sequence_id", pa.array(seq, pa.int64())).append_column("offset", pa.array(off, pa.int64()))
 
-    spread = pieces(docs, tokenizer, window).withColumn("grp", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
-    parts = min(groups, partitions(docs.sparkSession))
-    return spread.repartition(parts, "grp").groupBy("grp").applyInArrow(
+    spread = grouped(docs, tokenizer, window, group)
+    return spread.repartition(partitions(docs.sparkSession), "grp").groupBy("grp").applyInArrow(
         one, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 

@@ -302,6 +302,22 @@ def test_packing_ids_are_the_library_s(make_docs, odd_texts):
         (i, a, len(x[a:a + 1024]), zlib.crc32(np.array(x[a:a + 1024], "<u4").tobytes()), len(x)) for i, x in ids.items() for a in range(0, len(x), 1024))
 
 
+def test_packing_groups_do_not_grow_with_texts(make_docs):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(11)
+    docs = make_docs([prose(rng, 2000 + i) for i in range(12)] + ["one two"], [*range(10), 3, None, 3])  # ids repeat
+    sizes = packing.grouped(docs, path, window=16, group=100).groupBy("grp").count().collect()
+    assert max(r["count"] for r in sizes) <= 100 < sum(r["count"] for r in sizes if r.grp < 0)
+    rows = packing.pack(docs, path, window=16, group=100).collect()
+    key = lambda r: (r.doc_id or -1, r.start, r.length, r.ids_crc32, r.doc_tokens)
+    assert sorted(map(key, rows)) == sorted(map(key, packing.pieces(docs, path, 16).collect()))
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 16
+
+
 def test_closest_fill_is_best():
     rng = random.Random(9)
     for _ in range(300):
