@@ -207,8 +207,7 @@ class Codec:
         else:  # single spaces: the same parts, by a plain split
             parts = (MARK + text.replace(" ", " " + MARK)).split(" ")
         ids = ",".join([known(p) or digest(p) for p in parts])
-        # each atom was decoded when its ids were made and holds whole characters, so they join to the whole
-        back = "".join(parts).replace(MARK, " ")[1:]
+        back = self.decode(list(map(int, ids.split(","))))
         return ids.count(",") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
 
 

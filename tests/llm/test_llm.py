@@ -246,6 +246,14 @@ def test_sentencepiece_is_the_library(make_docs, odd_texts):
         i: (len(x), sha(",".join(map(str, x))), sha(sp.decode(x))) for i, x in ids.items()}
 
 
+def test_decoded_digest_is_of_the_decoded_ids(monkeypatch):
+    c = sentencepiece_codec.codec(public_tokenizers.path("piece_bpe_32k.model"))
+    text = "some words, and 日本 too"
+    assert c.digest(text)[2] == hashlib.sha256(c.decode(c.encode(text)).encode()).hexdigest()
+    monkeypatch.setattr(sentencepiece_codec.Codec, "decode", lambda self, ids: f"a fault in {len(ids)} ids")
+    assert c.digest(text)[2] == hashlib.sha256(f"a fault in {len(c.encode(text))} ids".encode()).hexdigest()
+
+
 def test_backtracking_equals_merging():
     c = sentencepiece_codec.codec(public_tokenizers.path("piece_bpe_32k.model"))
     rng = random.Random(6)
