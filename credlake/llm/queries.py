@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ann, exact_dedup, html_extract, line_dedup, lm_score, packing, quality, sentencepiece_codec, simhash_dedup,
-               suffix_dedup, toxicity)
+from . import (ann, exact_dedup, html_extract, lexical_search, line_dedup, lm_score, packing, quality, sentencepiece_codec,
+               simhash_dedup, suffix_dedup, toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": quality.op8_quality,
         "op9_simhash_dedup": simhash_dedup.op9_simhash_dedup,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+        "op12_lexical_search": lexical_search.op12_lexical_search,
         "op13_line_dedup": line_dedup.op13_line_dedup,
     }
 
@@ -30,5 +31,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_lm_score": lm_score.ORACLE,
         "op10_exact_dedup": exact_dedup.ORACLE,
+        "op12_lexical_search": lexical_search.ORACLE,
         "op13_line_dedup": line_dedup.ORACLE,
     }

@@ -270,7 +270,6 @@ def test_packing(make_docs, odd_texts):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     rng = random.Random(7)
     texts = odd_texts + [prose(rng, rng.randint(1, 900)) for _ in range(150)] + ["<|endoftext|> is text"]
     ids = {i: [*t.encode(x or "", add_special_tokens=False).ids, 0] for i, x in enumerate(texts)}
