@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ann, exact_dedup, html_extract, lexical_search, line_dedup, lm_score, packing, quality, sentencepiece_codec,
+from . import (ann, collocations, exact_dedup, html_extract, lexical_search, line_dedup, lm_score, packing, quality, sentencepiece_codec,
                simhash_dedup, suffix_dedup, toxicity)
 
 
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": quality.op8_quality,
         "op9_simhash_dedup": simhash_dedup.op9_simhash_dedup,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+        "op11_collocations": collocations.op11_collocations,
         "op12_lexical_search": lexical_search.op12_lexical_search,
         "op13_line_dedup": line_dedup.op13_line_dedup,
     }
@@ -31,6 +32,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_lm_score": lm_score.ORACLE,
         "op10_exact_dedup": exact_dedup.ORACLE,
+        "op11_collocations": collocations.ORACLE,
         "op12_lexical_search": lexical_search.ORACLE,
         "op13_line_dedup": line_dedup.ORACLE,
     }
