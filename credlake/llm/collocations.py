@@ -34,7 +34,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,20 +58,20 @@ class Ids:
     """Word ids of one language in one task, from 1 in order of appearance."""
 
     def __init__(self):
-        self.of, self.words, self.hash = {}, [b""], [np.uint64(0)]
+        self.of, self.words, self.hash = {}, [b""], [0]
 
     def take(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         h, raw = span_hashes(buf, start, end), buf.tobytes()
         u, first, inv = np.unique(h, return_index=True, return_inverse=True)
-        ids = np.array([self._id(raw[a:b], k) for a, b, k in zip(start[first].tolist(), end[first].tolist(), u)], np.int64)[inv]
+        ids = np.array([self._id(raw[a:b], k) for a, b, k in zip(start[first].tolist(), end[first].tolist(), u.tolist())], np.int64)[inv]
         like = first[inv]
         size = end - start
         other = np.flatnonzero(~same_bytes(buf, start, size, buf, start[like], size[like]))
         for i in other.tolist():  # another word of the same hash
-            ids[i] = self._id(raw[start[i]:end[i]], h[i])
+            ids[i] = self._id(raw[start[i]:end[i]], int(h[i]))
         return ids
 
-    def _id(self, word: bytes, h: np.uint64) -> int:
+    def _id(self, word: bytes, h: int) -> int:
         i = self.of.setdefault(word, len(self.words))
         if i == len(self.words):
             self.words.append(word)
@@ -103,6 +102,13 @@ def _prefix_edge(keys: np.ndarray) -> int:
     return 0
 
 
+def _items(box: Counter) -> tuple[np.ndarray, np.ndarray]:
+    """(ordered keys, counts) of a container."""
+    k, c = np.fromiter(box.keys(), np.uint64, len(box)), np.fromiter(box.values(), np.int64, len(box))
+    order = np.argsort(k)
+    return k[order], c[order]
+
+
 class HatTrie:
     """Counts of packed n-grams in burstable hash containers, ordered by prefix."""
 
@@ -125,15 +131,16 @@ class HatTrie:
             self._burst(i)
 
     def _burst(self, i: int) -> None:
-        todo = [(self.edges[i], self.boxes[i])]
-        done = []
+        keys, counts = _items(self.boxes[i])
+        todo, done = [(self.edges[i], 0, len(keys))], []
         while todo:
-            edge, box = todo.pop()
-            at = _prefix_edge(np.sort(np.fromiter(box, np.uint64, len(box)))) if len(box) > self.burst else 0
+            edge, lo, hi = todo.pop()
+            at = _prefix_edge(keys[lo:hi]) if hi - lo > self.burst else 0
             if not at:
-                done.append((edge, box))
+                done.append((edge, Counter(dict(zip(keys[lo:hi].tolist(), counts[lo:hi].tolist())))))
                 continue
-            todo += [(at, Counter({k: c for k, c in box.items() if k >= at})), (edge, Counter({k: c for k, c in box.items() if k < at}))]
+            cut = int(np.searchsorted(keys, np.uint64(at)))
+            todo += [(at, cut, hi), (edge, lo, cut)]
         self.edges[i:i + 1], self.boxes[i:i + 1] = [e for e, _ in done], [b for _, b in done]
 
     def _subtrees(self) -> list[tuple[int, int]]:
@@ -152,16 +159,14 @@ class HatTrie:
                 break
             goal -= size
             for i in range(a, b):
-                box = self.boxes[i]
-                keys.append(np.fromiter(box.keys(), np.uint64, len(box)))
-                counts.append(np.fromiter(box.values(), np.int64, len(box)))
-                self.size -= len(box)
+                k, c = _items(self.boxes[i])
+                keys.append(k)
+                counts.append(c)
+                self.size -= len(k)
                 self.boxes[i] = Counter()
-        if not keys:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        k, c = np.concatenate(keys), np.concatenate(counts)
-        order = np.argsort(k)
-        return k[order], c[order]
+        order = sorted(range(len(keys)), key=lambda i: int(keys[i][0]) if len(keys[i]) else 0)  # containers do not overlap
+        return (np.concatenate([np.zeros(0, np.uint64), *(keys[i] for i in order)]),
+                np.concatenate([np.zeros(0, np.int64), *(counts[i] for i in order)]))
 
 
 def _unpack(keys: np.ndarray) -> list[np.ndarray]:
@@ -177,30 +182,47 @@ def _unplanes(raw: bytes, n: int, at: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T).view("<u4").ravel().astype(np.int64)
 
 
+def _by_hash(h: np.ndarray, empty: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order of words by hash, the empty word first; place of each word in it)."""
+    order = np.lexsort((h, ~empty))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return order, rank
+
+
 def runs(ids: Ids, keys: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
-    """(partition, run): the n-grams of each partition in order of their words' bytes, with those words."""
-    words = pa.array(ids.words, pa.large_binary())
-    by_bytes = pc.sort_indices(words).to_numpy().astype(np.int64)  # the empty word, for none, comes first
-    rank = np.empty(len(by_bytes), np.int64)
-    rank[by_bytes] = np.arange(len(by_bytes))
-    words = words.take(pa.array(by_bytes))
-    w = _unpack(keys)
+    """(partition, run): the n-grams of each partition in the order of their words' hashes, with those words."""
     h = np.array(ids.hash, np.uint64)
-    part = (_mix(h[w[0]] * np.uint64(0xA0761D6478BD642F) + h[w[1]]) % np.uint64(parts)).astype(np.int64)
+    order, rank = _by_hash(h, np.arange(len(h)) == 0)  # the empty word stands for none
+    words = pa.array(ids.words, pa.large_binary()).take(pa.array(order))
+    w = _unpack(keys)
+    part = (_mix(h[w[0]] * np.uint64(0xA0761D6478BD642F) + h[w[1]]) % np.uint64(parts)).astype(np.int32)
     a, b, c = (rank[x] for x in w)
-    order = np.lexsort((a << 2 * BITS | b << BITS | c, part))
-    z = zstandard.ZstdCompressor(level=3)
+    order = np.argsort(a << 2 * BITS | b << BITS | c)
+    order = order[np.argsort(part[order], kind="stable")]
+    z, local = zstandard.ZstdCompressor(level=1), np.zeros(len(h), np.int64)
     edge = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
     for p, (lo, hi) in enumerate(zip(edge[:-1], edge[1:])):
         for at in range(lo, hi, 1 << 22):  # runs of bounded size
             mine = order[at:min(hi, at + (1 << 22))]
-            used, local = np.unique(np.concatenate([a[mine], b[mine], c[mine], [0]]), return_inverse=True)
-            x, y, v = (local[i * len(mine):(i + 1) * len(mine)] for i in range(3))
-            text = b" ".join(words.take(pa.array(used)).to_pylist())  # no word holds a space
-            k = counts[mine]
-            raw = b"".join([np.array([len(mine), len(used), len(text)], "<i8").tobytes(), text, _planes(np.diff(x, prepend=0)), _planes(y), _planes(v),
-                            _planes(k & 0xFFFFFFFF), _planes(k >> 32)])
-            yield p, z.compress(raw)
+            x, y, v, k = a[mine], b[mine], c[mine], counts[mine]
+            mark = np.zeros(len(h), bool)
+            mark[0] = mark[x] = mark[y] = mark[v] = True
+            used = np.flatnonzero(mark)
+            local[used] = np.arange(len(used))
+            text, offs = flat(words.take(pa.array(used)))
+            yield p, z.compress(b"".join([
+                np.array([len(mine), len(used), len(text)], "<i8").tobytes(), text.tobytes(), _planes(np.diff(offs)), _planes(np.diff(local[x], prepend=0)),
+                _planes(local[y]), _planes(local[v]), _planes(k & 0xFFFFFFFF), _planes(k >> 32)]))
+
+
+def unpacked(raw: bytes) -> tuple[pa.Array, list[np.ndarray], np.ndarray]:
+    """(words, n-grams as places among them, counts) of a run."""
+    n, m, size = np.frombuffer(raw, "<i8", 3).tolist()
+    offs = np.concatenate([[0], np.cumsum(_unplanes(raw, m, 24 + size))])
+    words = pa.Array.from_buffers(pa.large_binary(), m, [None, pa.py_buffer(offs), pa.py_buffer(raw[24:24 + size])])
+    x, y, v, lo, hi = (_unplanes(raw, n, 24 + size + 4 * (m + n * i)) for i in range(5))
+    return words, [np.cumsum(x.astype(np.uint32), dtype=np.uint32).astype(np.int64), y, v], hi << 32 | lo
 
 
 def _count(parts: int, limit: int, burst: int):
@@ -221,7 +243,7 @@ def _count(parts: int, limit: int, burst: int):
                 raw, offs = flat(s.column("text"))
                 buf = LOWER[raw]
                 start, end, doc = spans(buf, offs, IN_WORD)
-                piece = np.cumsum(BREAK[buf])[start] + doc  # grows at a break and at a text's start
+                piece = np.searchsorted(np.flatnonzero(BREAK[buf]), start) + doc  # grows at a break and at a text's start
                 for i, lang in enumerate(kinds.tolist()):
                     mine = np.flatnonzero(of[doc] == i)
                     for lo in range(0, len(mine), stretch):  # every n-gram begins in one stretch
@@ -245,19 +267,10 @@ def _merge(least: int):
     def run(t: pa.Table) -> pa.Table:
         """Merge the runs of one language and partition."""
         d, lang = zstandard.ZstdDecompressor(), t.column("lang")[0].as_py()
-        tables, grams, counts = [], [], []
-        for p in t.column("payload"):
-            raw = d.decompress(p.as_py())
-            n, m, size = np.frombuffer(raw, "<i8", 3).tolist()
-            tables.append(pa.array(raw[24:24 + size].split(b" "), pa.large_binary()))
-            x, y, v, lo, hi = (_unplanes(raw, n, 24 + size + 4 * n * i) for i in range(5))
-            grams.append((np.cumsum(x.astype(np.uint32), dtype=np.uint32).astype(np.int64), y, v))
-            counts.append(hi << 32 | lo)
-        coded = pa.chunked_array(tables).combine_chunks().dictionary_encode()
-        coded = pa.concat_arrays(coded.chunks) if isinstance(coded, pa.ChunkedArray) else coded
-        order = pc.sort_indices(coded.dictionary).to_numpy().astype(np.int64)
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        tables, grams, counts = zip(*(unpacked(d.decompress(p.as_py())) for p in t.column("payload")))
+        coded = pa.concat_arrays(tables).dictionary_encode()
+        text, offs = flat(coded.dictionary)
+        order, rank = _by_hash(span_hashes(text, offs[:-1], offs[1:]), np.diff(offs) == 0)
         of, base = rank[coded.indices.to_numpy()], np.cumsum([0, *map(len, tables)])
         a, b, c = (np.concatenate([of[g[i] + k] for g, k in zip(grams, base)]) for i in range(3))
         if len(order) <= IDS:
