@@ -9,13 +9,19 @@ threshold (a fraction of the standard deviation over the page).  Parts that are
 never the article (menus, headers and footers of the page, sidebars, notices,
 adverts, forms, reader comments, by tag, role, class or id) are left out
 first.  A class or id counts as a whole name (site-footer, not no-sidebar), and
-not on body, main, article or an element that holds most of the text.  Every other content node is kept.  Content nodes vote, by their text,
+not on body, main, article or an element that holds most of the text; a
+heading's or paragraph's id never does, and inside article or main paragraphs
+and sections are named out only where their links or lack of marks agree.  An
+element is hidden by its attribute of that name, by aria-hidden or its style,
+whatever the words of other attributes.
+Every other content node is kept.  Content nodes vote, by their text,
 for the element that holds them: the deepest one with most of that text, or the
 article or main element around it; nodes outside it vote again, until all have
 one.  The other blocks of these elements (headings, short paragraphs, lists)
 come along, so that no block of the article is dropped for being short.
 
-A page is parsed where it lies, in one pass without a shuffle.
+A page is parsed where it lies, in one pass without a shuffle; time and memory
+are linear in its length, however deep its elements lie.
 
 Defined results: null, empty and text-free pages give the empty text and 0
 characters.  Unclosed tags, stray end tags and pages that break off are read
@@ -45,8 +51,8 @@ TOKEN = re.compile(
     r"|<(?P<odd>/?[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)",
     re.S | re.I,
 )
-MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 PUNCT = re.compile(r"[,.;:!?、。，；：！？]")
 
 # fixed values: elements of HTML by what they do
@@ -72,6 +78,7 @@ BESIDE = frozenset("site page main global primary secondary top bottom left righ
 
 UNSHOWN = frozenset("svg annotation annotation-xml".split())  # drawings, and formulas a second time in another notation
 PARTS = frozenset("article main div section".split())
+TEXT = frozenset("h1 h2 h3 h4 h5 h6 p".split())  # their ids are targets of links
 
 _UNSHOWN_END = {t: re.compile(rf"<!--.*?--!?>|<foreignObject\b[^>]*>.*?</foreignObject\s*>|(?P<end></{t}\s*>)"
                               rf"|(?P<block></?(?:{'|'.join(sorted(CLOSES_P | SCOPE | {'li', 'dt', 'dd', 'tr'}))})(?=[\s/>]))", re.S | re.I) for t in UNSHOWN}
@@ -88,11 +95,51 @@ def unshown(page: str, tag: str, at: int) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "name", "up", "never", "named", "depth")
+    """``path``: number of the tag path; ``never``: not shown, or a part that is never the article; ``named``: boilerplate
+    words in its names; ``inner``: inside article or main."""
+    __slots__ = ("tag", "path", "up", "never", "named", "depth", "inner", "at")
 
-    def __init__(self, tag: str, name: str, up: Element | None, never: bool, named: frozenset[str] = frozenset()):
-        self.tag, self.name, self.up, self.never, self.named = tag, name, up, never, named
+    def __init__(self, tag: str, path: int, up: Element | None, never: bool, named: frozenset[str] = frozenset(), at: int = 0):
+        self.tag, self.path, self.up, self.never, self.named, self.at = tag, path, up, never, named, at
         self.depth = up.depth + 1 if up else 0
+        self.inner = bool(up) and (up.inner or up.tag in ("article", "main"))
+
+
+class Stack:
+    """Open elements, with the places of each tag, so that no step walks through them; all elements in page order."""
+
+    def __init__(self):
+        self.open, self.of, self.scopes = [], defaultdict(list), []
+        self.all: list[Element] = []
+        self.paths: dict[tuple[int, str], int] = {}
+        self.push("", "", False, frozenset())
+
+    def push(self, tag: str, name: str, never: bool, named: frozenset[str]) -> None:
+        up = self.open[-1] if self.open else None
+        path = self.paths.setdefault((up.path if up else -1, name), len(self.paths))
+        e = Element(tag, path, up, never or bool(up) and up.never, named, len(self.all))
+        self.all.append(e)
+        self.of[tag].append(len(self.open))
+        if tag in SCOPE:
+            self.scopes.append(len(self.open))
+        self.open.append(e)
+
+    def cut(self, i: int) -> None:
+        """Close the elements from place i on."""
+        for e in self.open[i:]:
+            self.of[e.tag].pop()
+            if e.tag in SCOPE:
+                self.scopes.pop()
+        del self.open[i:]
+
+    def last(self, tags) -> int:
+        """Place of the innermost open element of these tags, 0 for none."""
+        return max((self.of[t][-1] for t in tags if self.of.get(t)), default=0)
+
+    def reach(self, tags) -> int:
+        """The same, if no element that shuts it in lies further in."""
+        i = self.last(tags)
+        return i if not self.scopes or self.scopes[-1] <= i else 0
 
 
 def boilerplate(names: list[str]) -> frozenset[str]:
@@ -105,10 +152,18 @@ def boilerplate(names: list[str]) -> frozenset[str]:
     return frozenset(out)
 
 
-def blocks(page: str) -> list[tuple[Element, str, int]]:
-    """(element, text, characters of it inside links) of every block of text in page order."""
+def _attributes(attrs: str) -> dict[str, str]:
+    """Attributes by name; of repeated ones the first counts."""
+    out: dict[str, str] = {}
+    for name, a, b, c in ATTRIBUTE.findall(attrs):
+        out.setdefault(name.lower(), a or b or c)
+    return out
+
+
+def blocks(page: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
+    """(element, text, characters of it inside links) of every block of text in page order; all elements."""
     out: list[tuple[Element, str, int]] = []
-    stack = [Element("", "", None, False)]
+    stack = Stack()
     text: list[str] = []
     links, linked = 0, 0
 
@@ -117,7 +172,7 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
         if text:
             s = " ".join(html.unescape("".join(text)).split())
             if s:
-                out.append((stack[-1], s, linked))
+                out.append((stack.open[-1], s, linked))
             text.clear()
         linked = 0
 
@@ -153,36 +208,28 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
         flush()
         links = 0
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if i := stack.last((tag,)):
+                stack.cut(i)
             continue
-        if tag in CLOSES_P and any(e.tag == "p" for e in stack):
-            i = max(i for i, e in enumerate(stack) if e.tag == "p")
-            if not any(e.tag in SCOPE for e in stack[i + 1:]):
-                del stack[i:]
-        if tag in PEERS:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in PEERS[tag]:
-                    del stack[i:]
-                    break
-                if stack[i].tag in SCOPE:
-                    break
+        if tag in CLOSES_P and (i := stack.reach(("p",))):
+            stack.cut(i)
+        if tag in PEERS and (i := stack.reach(PEERS[tag])):
+            stack.cut(i)
         if tag in VOID:
             continue
-        attrs, words, names = m["attrs"] or "", [], []
-        for _, a, b, c in MARKS.findall(attrs) if attrs else ():
-            words += re.split(r"[^a-z0-9]+", (a or b or c).lower())
-            names += (a or b or c).lower().split()
-        up = stack[-1]
-        inside = any(e.tag in ("article", "main") for e in stack)
-        never = up.never or tag in NEVER or (tag == "header" and not inside) or bool(attrs and HIDDEN.search(attrs))
+        attrs = m["attrs"] or ""
+        had = _attributes(attrs) if "=" in attrs or "hidden" in attrs.lower() else {}
+        marks = [had.get(k, "").lower() for k in ("class", "role", "id")]
+        names = " ".join(marks[:2] if tag in TEXT else marks).split()
+        up = stack.open[-1]
+        inside = up.inner or up.tag in ("article", "main")
+        unseen = "hidden" in had or had.get("aria-hidden", "").lower() == "true" or bool(UNSEEN.search(had.get("style", "")))
         if not attrs.rstrip().endswith("/") or tag not in ("path", "use"):
-            stack.append(Element(tag, up.name + "/" + ".".join([tag, *sorted(w for w in words if w)]), up, never, boilerplate(names)))
+            words = sorted(w for w in re.split(r"[^a-z0-9]+", " ".join(marks)) if w)
+            stack.push(tag, ".".join([tag, *words]), tag in NEVER or (tag == "header" and not inside) or unseen, boilerplate(names))
     said(page[at:])
     flush()
-    return out
+    return out, stack.all
 
 
 def smooth(x: np.ndarray, radius: int = 2) -> np.ndarray:
@@ -193,86 +240,114 @@ def smooth(x: np.ndarray, radius: int = 2) -> np.ndarray:
 
 def extract(page: str | None, threshold: float = 0.5, share: float = 0.6) -> str:
     """The main text of one page."""
-    found = [b for b in blocks(page or "") if not b[0].never]
-    out = _named_out(found)
-    found = [b for b in found if out.isdisjoint(_line(b[0]))]
+    found, elements = blocks(page or "")
+    found = [b for b in found if not b[0].never]
+    out = _named_out(found, elements)
+    found = [b for b in found if not out[b[0].at]]
     if not found:
         return ""
     size, marks, n = defaultdict(float), defaultdict(float), defaultdict(int)
     for e, s, linked in found:
-        size[e.name] += max(len(s) - 2 * linked, 0)
-        marks[e.name] += len(PUNCT.findall(s)) if linked * 2 < len(s) else 0
-        n[e.name] += 1
-    length = smooth(np.array([size[e.name] / n[e.name] for e, _, _ in found]))
-    points = smooth(np.array([marks[e.name] / n[e.name] for e, _, _ in found]))
+        size[e.path] += max(len(s) - 2 * linked, 0)
+        marks[e.path] += len(PUNCT.findall(s)) if linked * 2 < len(s) else 0
+        n[e.path] += 1
+    length = smooth(np.array([size[e.path] / n[e.path] for e, _, _ in found]))
+    points = smooth(np.array([marks[e.path] / n[e.path] for e, _, _ in found]))
     fused = length * (1.0 + points)
     by = defaultdict(list)
     for (e, _, _), f in zip(found, fused):
-        by[e.name].append(f)
+        by[e.path].append(f)
     least = min(threshold * fused.std(), fused.max())
-    content = {name for name, f in by.items() if sum(f) / len(f) >= least and sum(f) > 0}
+    content = {path for path, f in by.items() if sum(f) / len(f) >= least and sum(f) > 0}
     if not content:  # nothing stands out, all of it links or marks
         return ""
-    homes: set[Element] = set()  # short blocks in these come along
-    left = [(e, len(s)) for e, s, _ in found if e.name in content]
+    homes = np.zeros(len(elements), bool)  # short blocks in these come along
+    left = [(e, len(s)) for e, s, _ in found if e.path in content]
     while left:  # a round places at least ``share`` of the text that is left
-        home = _home(left, share)
-        placed = [e for e, _ in left if home in _line(e)]
-        left = [(e, k) for e, k in left if home not in _line(e)]
+        home = _home(left, elements, share)
+        below = _inherit(elements, {home.at})
         if home.tag in PARTS:
-            homes.add(home)
-            continue
-        for e in placed:  # body, html or no element: the outermost part of the page around each node
-            parts = [x for x in _line(e)[:_line(e).index(home)] if x.tag in PARTS]
-            homes.update(parts[-1:])
-    return "\n".join(s for e, s, linked in found if e.name in content or linked * 2 < len(s) + 1 and not homes.isdisjoint(_line(e)))
-
-
-def _line(e: Element | None) -> list[Element]:
-    """The element and all around it, innermost first."""
-    out = []
-    while e is not None:
-        out.append(e)
-        e = e.up
+            homes[home.at] = True
+        else:  # body, html or no element: the outermost part of the page around each node
+            outer: list[int] = []
+            for e in elements:
+                inside = -1 if e.up is None or not below[e.up.at] else outer[e.up.at]
+                outer.append(inside if inside >= 0 or e.tag not in PARTS or not below[e.at] else e.at)
+            for e, _ in left:
+                if below[e.at] and outer[e.at] >= 0:
+                    homes[outer[e.at]] = True
+        left = [(e, k) for e, k in left if not below[e.at]]
+    near = _inherit(elements, set(np.flatnonzero(homes).tolist()))
+    return "\n".join(s for e, s, linked in found if e.path in content or linked * 2 < len(s) + 1 and near[e.at])
+
+
+def _inherit(elements: list[Element], marked: set[int]) -> list[bool]:
+    """Whether each element is marked or lies in one that is."""
+    out: list[bool] = []
+    for e in elements:
+        out.append(e.at in marked or e.up is not None and out[e.up.at])
     return out
 
 
-def _named_out(found: list[tuple[Element, str, int]]) -> set[Element]:
-    """Elements that are left out for their class, id or role.  Not html, body, main and article, what is around main
-    or the longest article, and what holds most of the text (within main or that article, if there is one): there the
-    ratios decide.  Reader comments that hold most of it are left out all the same if there is other text."""
-    holds: dict[Element, int] = defaultdict(int)
-    total = 0
-    for e, s, linked in found:
-        n = max(len(s) - 2 * linked, 0)
-        total += n
-        for x in _line(e):
-            holds[x] += n
-    longest = max((e for e in holds if e.tag == "article" and not any(x.named & REMARKS for x in _line(e))), key=holds.__getitem__, default=None)
-    cores = {e for e in holds if e.tag == "main" or e is longest}
-    kept = {x for e in cores for x in _line(e)}
+def _holds(elements: list[Element], own: dict[int, int]) -> list[int]:
+    """What each element and all in it hold together."""
+    out = [own.get(e.at, 0) for e in elements]
+    for e in reversed(elements):
+        if e.up is not None:
+            out[e.up.at] += out[e.at]
+    return out
+
+
+def _named_out(found: list[tuple[Element, str, int]], elements: list[Element]) -> list[bool]:
+    """Elements that are left out for their class, id or role, with all in them.  Not html, body, main and article, what is
+    around main or the longest article, and what holds most of the text (within main or that article, if there is one):
+    there the ratios decide.  Nor, inside article or main, headings, and paragraphs and sections whose text has marks and is
+    not mostly links.  Reader comments that hold most of the text are left out all the same if there is other text."""
+    own: dict[int, int] = defaultdict(int)
+    linked, marks, length = defaultdict(int), defaultdict(int), defaultdict(int)
+    for e, s, in_links in found:
+        own[e.at] += max(len(s) - 2 * in_links, 0)
+        linked[e.at] += in_links
+        length[e.at] += len(s)
+        marks[e.at] += len(PUNCT.findall(s))
+    holds, linked, marks, length = (_holds(elements, x) for x in (own, linked, marks, length))
+    total = holds[0]
+    remark = _inherit(elements, {e.at for e in elements if e.named & REMARKS})
+    longest = max((e for e in elements if e.tag == "article" and length[e.at] and not remark[e.at]), key=lambda e: holds[e.at], default=None)
+    cores = {e.at for e in elements if e is longest or e.tag == "main" and length[e.at]}
+    kept: set[int] = set()
+    for i in cores:
+        x: Element | None = elements[i]
+        while x is not None and x.at not in kept:
+            kept.add(x.at)
+            x = x.up
+    in_core = _inherit(elements, cores)
 
     def out(e: Element) -> bool:
         if not e.named or e.tag in ("html", "body", "main"):
             return False
+        if e.inner and e.tag in TEXT | {"section"} and not (e.tag == "section" and e.named & REMARKS):
+            return e.tag in ("p", "section") and (2 * linked[e.at] >= length[e.at] or not marks[e.at])
         if e.named & REMARKS:
-            return holds[e] < total
-        most = 2 * holds[e] > total and (not cores or not cores.isdisjoint(_line(e)))
-        return not (e.tag == "article" or e in kept or most)
+            return holds[e.at] < total
+        most = 2 * holds[e.at] > total and (not cores or in_core[e.at])
+        return not (e.tag == "article" or e.at in kept or most)
 
-    return {e for e in holds if out(e)}
+    return _inherit(elements, {e.at for e in elements if length[e.at] and out(e)})
 
 
-def _home(nodes: list[tuple[Element, int]], share: float) -> Element:
+def _home(nodes: list[tuple[Element, int]], elements: list[Element], share: float) -> Element:
     """The article or main element around most of the nodes' text, or the deepest element that holds it."""
-    holds: dict[Element, int] = defaultdict(int)
+    own: dict[int, int] = defaultdict(int)
     for e, n in nodes:
-        for x in _line(e):
-            holds[x] += n
-    home = max((e for e in holds if holds[e] >= share * sum(n for _, n in nodes)), key=lambda e: (e.depth, holds[e]))
-    for e in _line(home):
-        if e.tag in ("article", "main"):
-            return e
+        own[e.at] += n
+    holds = _holds(elements, own)
+    home = max((e for e in elements if holds[e.at] >= share * holds[0]), key=lambda e: (e.depth, holds[e.at]))
+    x: Element | None = home
+    while x is not None:
+        if x.tag in ("article", "main"):
+            return x
+        x = x.up
     # a single paragraph that holds most of the text is no container
     while home.up is not None and home.tag in CLOSES_P | {"li", "td"} and home.tag not in ("div", "section"):
         home = home.up
