@@ -34,14 +34,49 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
-def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The two columns an operator reads, under fixed names; null text is empty."""
+def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: dict[str, str] | None = None) -> DataFrame:
+    """The two columns an operator reads, under fixed names; null text is empty.  ``more``: further columns by new name."""
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        *[F.col(c).alias(name) for name, c in (more or {}).items()],
     )
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (names differ beyond case)."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def row_hashes(df: DataFrame) -> list[Column]:
+    """Two longs, 128 bits over all columns of a row: rows that share both are alike."""
+    def plain(f) -> Column:
+        c = F.col(f"`{f.name}`")
+        return c if f.dataType.simpleString() in _PLAIN else F.to_json(F.struct(c))
+
+    cols = [F.struct(plain(f)) for f in df.schema.fields]  # a null inside a struct leaves the hash as it is
+    marks = F.array(*[F.col(f"`{c}`").isNull() for c in df.columns])
+    return [F.xxhash64(*cols, marks), F.xxhash64(F.lit(1), *cols, marks)]
+
+
+_PLAIN = {"string", "binary", "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz"}
+
+
+def keep_rows(docs: DataFrame, a: str, b: str, chosen: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose hashes (columns a, b) ``chosen`` holds, one of those alike, without a and b.
+
+    ``chosen`` has columns a, b.  Its join leaves rows alike side by side, so one is
+    taken as they pass."""
+    rest = [c for c in docs.columns if c not in (a, b)]
+    whole = fresh(docs, "row")
+    rows = docs.join(chosen, [a, b], "left_semi").select(a, b, F.struct(*[F.col(f"`{c}`") for c in rest]).alias(whole))
+    one = rows.groupBy(a, b).agg(F.first(whole).alias(whole))
+    return one.select(*[F.col(whole)[c].alias(c) for c in rest])
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows never learned from: crc32 of the id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))

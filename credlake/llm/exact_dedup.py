@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table
+from .common import ascii_lower, fresh, keep_rows, row_hashes, table
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest",
@@ -45,10 +45,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
-def drop_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The documents that stay, with their columns as they came."""
-    ids = exact_dedup(docs, keep=keep).where("kept").select(F.col("doc_id").alias("__kept"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
+def drop_copies(docs: DataFrame, keep: str = "smallest", normalise: Callable[[Column], Column] | None = ascii_lower) -> DataFrame:
+    """The documents that stay, one row of each class of equal texts, with their columns as they came.
+
+    Of a class the row of the smallest or largest id stays (null ids last); if
+    rows share that id, one of them, picked by a hash of all its columns."""
+    a, b = fresh(docs, "row_a"), fresh(docs, "row_b")
+    hashes = row_hashes(docs)
+    docs = docs.withColumns({a: hashes[0], b: hashes[1]})
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.col("doc_id").alias("id"), (normalise(text) if normalise else text).alias("norm"),
+                       F.col(a).alias("a"), F.col(b).alias("b"))
+    nil = F.col("id").isNull()
+    pick, order = (F.min, F.struct(nil.alias("z"), "id", "a", "b")) if keep == "smallest" else (F.max, F.struct((~nil).alias("z"), "id", "a", "b"))
+    classes = rows.groupBy(F.md5(F.col("norm").cast("binary")).alias("key"), "norm").agg(pick(order).alias("one"))
+    return keep_rows(docs, a, b, classes.select(F.col("one.a").alias(a), F.col("one.b").alias(b)))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flat, id_text, local_components, partitions, slices, stored, table
+from .common import flat, fresh, id_text, keep_rows, local_components, partitions, row_hashes, slices, stored, table
 from .components import components
 
 HAMMING = 15  # length of the Hamming word in a block: radius 1, 2**11 words
@@ -64,17 +64,20 @@ def _fingerprint(text: bytes, size: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long.  ``carry``: long columns that come along as c0, c1, ..."""
+    extra = [f"c{i}" for i in range(len(carry))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
                 buf, offs = flat(batch.column("text"))
                 raw = buf.tobytes()
                 fps = np.array([_fingerprint(raw[a:b], shingle) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())], np.uint64)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64)), *map(batch.column, extra)], ["doc_id", "fp", *extra])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    shape = ", ".join(f"{c} long" for c in ["doc_id", "fp", *extra])
+    return id_text(docs, id_col, text_col, dict(zip(extra, carry))).mapInArrow(run, shape)
 
 
 def _spans(blocks: int) -> list[tuple[int, int]]:
@@ -238,21 +241,29 @@ def links(distinct: DataFrame, max_bits: int, blocks: int = 3, tile: int = TILE)
 
 
 def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int = 3,
-                       id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links."""
-    fp = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+                       id_col: str = "doc_id", text_col: str = "text", tile: int = TILE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links.
+    With ``carry``, also root, a fingerprint that names the component, and those columns."""
+    fp = stored(fingerprints(docs, shingle, id_col, text_col, carry), "fingerprints")
     distinct = stored(fp.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
     stars = components(links(distinct, max_bits, blocks, tile))
     rooted = distinct.join(stars, distinct["fp"] == stars["a"], "left").select("fp", "low", F.coalesce("b", "fp").alias("root"))
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = rooted.join(lows, "root").select("fp", "component_id")
-    return fp.join(of, "fp").select("doc_id", "fp", "component_id")
+    of = rooted.join(lows, "root").select("fp", "component_id", "root")
+    more = ["root", *fp.columns[2:]] if carry else []
+    return fp.join(of, "fp").select("doc_id", "fp", "component_id", *more)
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The document of smallest id of each component, with its columns as they came."""
-    ids = simhash_components(docs, shingle, max_bits).where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept"))
-    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    """One document of each component, with its columns as they came: that of the smallest id
+    (null ids last); if rows share it, one of them, picked by a hash of all its columns."""
+    a, b = fresh(docs, "row_a"), fresh(docs, "row_b")
+    hashes = row_hashes(docs)
+    docs = docs.withColumns({a: hashes[0], b: hashes[1]})
+    found = simhash_components(docs, shingle, max_bits, carry=(a, b))
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "c0", "c1")).alias("one")
+    chosen = found.groupBy("root").agg(one).select(F.col("one.c0").alias(a), F.col("one.c1").alias(b))
+    return keep_rows(docs, a, b, chosen)
 
 
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

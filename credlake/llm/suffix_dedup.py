@@ -48,7 +48,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flat, id_text, partitions, slices, stored, table
+from .common import flat, fresh, id_text, partitions, slices, stored, table
+from .words import same_bytes
 
 ANCHOR = 16
 SAMPLE_DOCS, SAMPLE_KEYS = 1000, 64  # splitters: at most so many documents, and anchors of each
@@ -180,9 +181,11 @@ def doc_group(ids: np.ndarray, groups: int) -> np.ndarray:
     return (ids ^ (ids >> 9) ^ (ids >> 21)) % groups
 
 
-def doc_group_column(id_col: str, groups: int):
+def doc_group_column(id_col: str, groups: int, null: int | None = 0):
+    """The same in Spark; ``null`` is the group of rows without an id."""
     i = F.col(id_col).cast("long")
-    return F.coalesce(F.pmod(i.bitwiseXOR(F.shiftright(i, 9)).bitwiseXOR(F.shiftright(i, 21)), F.lit(groups).cast("long")), F.lit(0).cast("long"))
+    of = F.pmod(i.bitwiseXOR(F.shiftright(i, 9)).bitwiseXOR(F.shiftright(i, 21)), F.lit(groups).cast("long"))
+    return of if null is None else F.coalesce(of, F.lit(null).cast("long"))
 
 
 SHAPE = "bucket long, kind int, grp long, n long, payload binary"
@@ -271,12 +274,64 @@ def runs(rec: np.ndarray, window: np.ndarray, doc: np.ndarray, start: np.ndarray
     return doc[rec[a]], start[rec[a]] + window[a], start[rec[b]] + window[b] + size
 
 
+class Memory:
+    """Stretches that a task has met more than once: hash, smallest document, bytes."""
+
+    def __init__(self):
+        self.hash, self.owner = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.start, self.size, self.blob = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+
+    def smaller(self, h: np.ndarray, doc: np.ndarray, buf: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Whether a document smaller than its own is known, here or from before, to hold the bytes of each stretch.
+        Hashes find it and bytes decide; a stretch of another's hash goes on as if new."""
+        order = np.lexsort((doc, h))
+        hs = h[order]
+        cut = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]]))
+        n = np.diff(np.append(cut, len(hs)))
+        one = order[cut]  # of each hash, the stretch of the smallest document
+        of = np.empty(len(h), np.int64)
+        of[order] = np.repeat(np.arange(len(cut)), n)
+        like = np.zeros(len(h), bool)
+        at = np.flatnonzero(n[of] > 1)
+        r = one[of[at]]
+        like[at] = same_bytes(buf, first[at], length[at], buf, first[r], length[r], None)
+        own = like & (doc > doc[one][of])
+        least = doc[one].copy()
+        if len(self.hash):
+            k = np.minimum(np.searchsorted(self.hash, hs[cut]), len(self.hash) - 1)
+            hit = np.flatnonzero(self.hash[k] == hs[cut])
+            k, s = k[hit], one[hit]
+            same = same_bytes(buf, first[s], length[s], self.blob, self.start[k], self.size[k], None)
+            hit, k = hit[same], k[same]
+            least[hit] = np.minimum(least[hit], self.owner[k])
+            before = np.full(len(cut), np.iinfo(np.int64).max)
+            before[hit] = self.owner[k]
+            self.owner[k] = least[hit]
+            like[one] = True
+            own |= like & (doc > before[of])
+        if (n > 1).any():
+            self._add(hs[cut][n > 1], least[n > 1], buf, first[one[n > 1]], length[one[n > 1]].astype(np.int64))
+        return own
+
+    def _add(self, h: np.ndarray, owner: np.ndarray, buf: np.ndarray, first: np.ndarray, size: np.ndarray) -> None:
+        """Remember stretches by their (ordered) hashes, until the memory is full: a smaller one only ships more."""
+        k = np.searchsorted(self.hash, h)
+        new = np.flatnonzero((k == len(self.hash)) | (self.hash[np.minimum(k, len(self.hash) - 1)] != h) if len(self.hash) else np.ones(len(h), bool))
+        new = new[:max(REPEATED - len(self.hash), 0)]
+        start = len(self.blob) + np.cumsum(size[new]) - size[new]
+        self.blob = np.concatenate([self.blob, gather(buf, first[new], size[new])])
+        self.hash, self.owner = np.concatenate([self.hash, h[new]]), np.concatenate([self.owner, owner[new]])
+        self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size[new]])
+        by = np.argsort(self.hash, kind="stable")
+        self.hash, self.owner, self.start, self.size = self.hash[by], self.owner[by], self.start[by], self.size[by]
+
+
 def _records(splitters: Splitters, size: int, groups: int, buckets: int, hot: np.ndarray):
     """Texts to packed records by bucket (kind 0), windows of hot anchors by bucket (kind 2), and what a task can
     remove itself (kind 1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=3)
-        known, owner = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # repeated stretches, and their smallest document
+        memory = Memory()
         held: dict[tuple[int, int], list] = {}
         weight = 0
 
@@ -324,27 +379,7 @@ def _records(splitters: Splitters, size: int, groups: int, buckets: int, hot: np
                     continue
                 doc, length = ids[text], windows + size - 1
                 h = mix(range_hashes(buf, first, first + length) + length.astype(np.uint64))
-                order = np.lexsort((doc, h))
-                hs = h[order]
-                new = np.ones(len(hs), bool)
-                new[1:] = hs[1:] != hs[:-1]
-                cut = np.flatnonzero(new)
-                least, n = doc[order][cut], np.diff(np.append(cut, len(hs)))
-                top = hs[cut]
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, top), len(known) - 1)
-                    least = np.where(known[at] == top, np.minimum(least, owner[at]), least)
-                if (n > 1).any():
-                    known = np.concatenate([known, top[n > 1]])
-                    owner = np.concatenate([owner, least[n > 1]])
-                    by = np.lexsort((owner, known))
-                    known, owner = known[by], owner[by]
-                    one = np.ones(len(known), bool)
-                    one[1:] = known[1:] != known[:-1]
-                    known, owner = known[one][-REPEATED:], owner[one][-REPEATED:]  # a smaller memory only ships more
-                low = np.empty(len(h), np.int64)
-                low[order] = np.repeat(least, n)
-                own = doc > low  # a smaller document of this task has the whole stretch
+                own = memory.smaller(h, doc, buf, first, length)  # a smaller document of this task has the whole stretch
                 out = span_rows(doc[own], (first - offs[text])[own], (first - offs[text] + length)[own], groups, buckets)
                 if out is not None:
                     yield out
@@ -526,11 +561,11 @@ def _kept(text: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 def _apply(docs: DataFrame, size: int, answer: Callable[[pa.Table, list[tuple[bytes, np.ndarray]]], pa.Table], schema, hot: int = HOT) -> DataFrame:
     """Bring documents and their removed runs together by group; ``answer`` makes the rows of a group."""
-    groups = partitions(docs.sparkSession)
+    groups, grp = partitions(docs.sparkSession), fresh(docs, "group_of")
     spans = removed_spans(docs, size, groups, hot)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = left.drop_columns(["__grp"])
+        left = left.drop_columns([grp])
         raw = [zstandard.ZstdDecompressor().decompress(p) for p in right.column("payload").to_pylist()]
         n = right.column("n").to_pylist()
         doc = np.concatenate([np.frombuffer(r, np.int64, k) for r, k in zip(raw, n)]) if n else np.zeros(0, np.int64)
@@ -551,8 +586,10 @@ def _apply(docs: DataFrame, size: int, answer: Callable[[pa.Table, list[tuple[by
             kept.append((text.tobytes(), _kept(text, s[inside], e[inside]) if inside.any() else None))
         return answer(left, kept)
 
-    return (docs.withColumn("__grp", doc_group_column("doc_id", groups)).groupBy("__grp")
-            .cogroup(spans.withColumnRenamed("grp", "__grp").groupBy("__grp")).applyInArrow(run, schema))
+    # texts without an id have no runs: spread by their bytes
+    of = F.coalesce(doc_group_column("doc_id", groups, None), F.pmod(F.xxhash64("text"), F.lit(groups)))
+    return (docs.withColumn(grp, of).groupBy(grp)
+            .cogroup(spans.withColumnRenamed("grp", grp).groupBy(grp)).applyInArrow(run, schema))
 
 
 def suffix_digests(docs: DataFrame, size: int = 50, hot: int = HOT) -> DataFrame:

@@ -21,7 +21,8 @@ def make_docs(spark):
         rows = [(i, t, "en", "src0", None if t is None else len(t)) for i, t in zip(ids, texts)]
         df = spark.createDataFrame(rows, DOCS)
         if extra:  # columns that an operator also makes
-            for c in ("score", "key", "norm", "fp", "cell", "grp", "length", "kept", "y"):
+            for c in ("score", "key", "norm", "fp", "cell", "grp", "length", "kept", "y", "__kept", "__grp", "__cell", "row_a", "row_b", "row",
+                      "group_of", "a", "one", "root", "id", "c0"):
                 df = df.selectExpr("*", f"'x' AS {c}")
         return df
 

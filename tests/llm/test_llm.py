@@ -48,7 +48,7 @@ def test_exact_dedup_edges(make_docs, spark):
     got = exact_dedup.exact_dedup(make_docs(["a", "A", "a"], [None, 2, 2])).collect()
     assert sorted((r.doc_id or -1, r.keep_id, r.group_size, r.kept) for r in got) == [(-1, 2, 3, False), (2, 2, 3, True), (2, 2, 3, True)]
     kept = exact_dedup.drop_copies(make_docs(["x", "X", "y"], extra=True), keep="largest")
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 2] and len(kept.columns) == 14
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2] and len(kept.columns) == 26
 
 
 # -- SimHash (9)
