@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import BASE_PAYLOAD, DOC_METADATA_KEY, DOC_PAYLOAD
+from ..schemas import BASE_PAYLOAD, BUSINESS_KEY_FIELD, DOC_METADATA_KEY, DOC_PAYLOAD
 
 
 def parse_base(payload: Column) -> Column:
@@ -39,3 +39,8 @@ def is_valid_json_object(text: Column) -> Column:
     one = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(T.MapType(T.StringType(), T.StringType())),
                       {"allowSingleQuotes": "false"})
     return F.coalesce((F.size(one) == 1) & F.get(one, F.lit(0)).isNotNull(), F.lit(False))
+
+
+def is_loadable(text: Column) -> Column:
+    """A JSON object with a business key."""
+    return is_valid_json_object(text) & field(text, BUSINESS_KEY_FIELD).isNotNull()

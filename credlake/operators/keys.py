@@ -14,49 +14,50 @@ broadcast.  Key = start + rows in earlier buckets + ``row_number()`` inside
 the bucket.  Everything stays lazy and deterministic: no sampling, no
 checkpoint, recomputation after an executor loss yields the same keys.
 
-Other key types (product names): range-partition by the key, record each
-row's partition id and position inside its sorted partition as columns, and
-store that (``materialize``, a written table in the shared folder) so the
-counts and the keys see the same layout; count rows per partition (one row
-per partition), broadcast the running offsets, key = offset + position.
+Other key types (product names): up to WIDTH rows are numbered in one bounded
+task.  More are range-partitioned by the key, WIDTH rows a partition on
+average; each row's partition id and position inside its sorted partition are
+recorded as columns and stored (``materialize``, a written table in the shared
+folder) so the counts and the keys see the same layout; count rows per
+partition (one row per partition), broadcast the running offsets, key = offset
++ position.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import materialize
 
 BUCKET_WIDTH = 1 << 16
 _PID_SHIFT = 1 << 33  # monotonically_increasing_id = partition id << 33 | row index
 
 
-def _num_partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return int(requested)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def _bucketable(df: DataFrame, order_cols: list[str]) -> bool:
+def bucketable(df: DataFrame, order_cols: list[str]) -> bool:
+    """One column whose ranges of BUCKET_WIDTH are at most 65,536: 32-bit integers and dates."""
     if len(order_cols) != 1:
         return False
     t = df.schema[order_cols[0]].dataType
     return isinstance(t, (T.IntegerType, T.ShortType, T.ByteType, T.DateType))
 
 
-def _as_long(df: DataFrame, col: str):
+def _as_long(df: DataFrame, col: str) -> Column:
     c = F.col(col)
     if isinstance(df.schema[col].dataType, T.DateType):
         return F.unix_date(c).cast("long")
     return c.cast("long")
 
 
+def key_bucket(df: DataFrame, key: str, width: int = BUCKET_WIDTH) -> Column:
+    """The range of a key, monotone in it."""
+    return F.floor(_as_long(df, key) / F.lit(width))
+
+
 def assign_keys_by_bucket(df: DataFrame, sk_col: str, key: str, start: int = 0, key_type: str = "int",
                           width: int = BUCKET_WIDTH) -> DataFrame:
-    b = F.floor(_as_long(df, key) / F.lit(width)).alias("_bkt")
-    with_b = df.withColumn("_bkt", b)
+    with_b = df.withColumn("_bkt", key_bucket(df, key, width))
     offsets = (with_b.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_n"))
                .select("_bkt", F.coalesce(F.sum("_n").over(
                    Window.orderBy(F.col("_bkt").asc_nulls_first())
@@ -70,9 +71,14 @@ def assign_keys_by_bucket(df: DataFrame, sk_col: str, key: str, start: int = 0,
 
 def assign_keys_by_range(df: DataFrame, sk_col: str, order_cols: list[str], start: int = 0,
                          num_partitions: int | None = None, key_type: str = "int") -> DataFrame:
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = _num_partitions(df, num_partitions)
+    """``df`` should be stored: without ``num_partitions`` its rows are counted first."""
+    n = num_partitions
+    if n is None:
+        rows = df.count()
+        if rows <= BUCKET_WIDTH:
+            pos = F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols]))
+            return df.withColumn(sk_col, (F.lit(int(start)) + pos).cast(key_type))
+        n = -(-rows // BUCKET_WIDTH)
     ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order_cols])
               .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order_cols])
               .withColumn("_pid", F.spark_partition_id())
@@ -92,7 +98,7 @@ def assign_keys_by_range(df: DataFrame, sk_col: str, order_cols: list[str], star
 def assign_keys(df: DataFrame, sk_col: str, order_cols: list[str], start: int = 0,
                 num_partitions: int | None = None, key_type: str = "int") -> DataFrame:
     """Add ``sk_col`` = start + 1 .. start + n in ``order_cols`` order (unique keys)."""
-    if _bucketable(df, order_cols):
+    if bucketable(df, order_cols):
         return assign_keys_by_bucket(df, sk_col, order_cols[0], start, key_type)
     return assign_keys_by_range(df, sk_col, order_cols, start, num_partitions, key_type)
 

@@ -81,20 +81,25 @@ def varchar_violations(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     return df.agg(*[_count_if(F.length(F.col(c)) > n).alias(f"largo_excedido_{c}") for c, n in limits.items()])
 
 
-def violations(df: DataFrame, table: str, read: Callable[[str], DataFrame]) -> DataFrame:
-    """Q-05..Q-08 for one table: a row (regla, filas) per declared constraint.
+def row_rules(table: str) -> dict[str, Column]:
+    """Q-07, Q-08: the constraints a row can break by itself, as conditions."""
+    rules = {f"nulo_{c}": F.col(c).isNull() for c in [PRIMARY_KEYS[table], *NOT_NULL_COLUMNS.get(table, [])]}
+    return rules | {f"largo_{c}": F.length(F.col(c)) > n for c, n in VARCHAR_LIMITS.get(table, {}).items()}
 
-    NULLs and lengths are counted in one pass.  A unique column costs one
-    aggregation of that column, a foreign key one anti join of it with the
-    parent's key; NULLs violate neither.
-    """
-    pk = PRIMARY_KEYS[table]
-    counts = {f"nulo_{c}": F.col(c).isNull() for c in [pk, *NOT_NULL_COLUMNS.get(table, [])]}
-    counts |= {f"largo_{c}": F.length(F.col(c)) > n for c, n in VARCHAR_LIMITS.get(table, {}).items()}
-    once = df.agg(*[_count_if(cond).alias(rule) for rule, cond in counts.items()])
-    parts = [once.select(F.inline(F.array(*[
-        F.struct(F.lit(rule).alias("regla"), F.col(rule).cast("long").alias("filas")) for rule in counts])))]
-    for c in [pk, *UNIQUE_COLUMNS.get(table, [])]:
+
+def row_violations(df: DataFrame, table: str) -> DataFrame:
+    """(regla, filas) of the row rules, counted in one pass."""
+    rules = row_rules(table)
+    once = df.agg(*[_count_if(cond).alias(rule) for rule, cond in rules.items()])
+    return once.select(F.inline(F.array(*[
+        F.struct(F.lit(rule).alias("regla"), F.col(rule).cast("long").alias("filas")) for rule in rules])))
+
+
+def key_violations(df: DataFrame, table: str, read: Callable[[str], DataFrame]) -> DataFrame:
+    """(regla, filas) of unique columns (one aggregation of the column each) and foreign keys (one anti
+    join of the column with the parent's key each); NULLs violate neither."""
+    parts = []
+    for c in [PRIMARY_KEYS[table], *UNIQUE_COLUMNS.get(table, [])]:
         extra = extra_of(duplicate_keys(df.filter(F.col(c).isNotNull()), [c]))
         parts.append(extra.select(F.lit(f"duplicado_{c}").alias("regla"), F.col("n").cast("long").alias("filas")))
     for c, parent in FOREIGN_KEYS.get(table, {}).items():
@@ -103,14 +108,42 @@ def violations(df: DataFrame, table: str, read: Callable[[str], DataFrame]) -> D
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def constraint_check(table: str, read: Callable[[str], DataFrame]) -> Callable[[DataFrame], None]:
-    """A check for ``TableStore.overwrite``: raises when the rows violate the
-    table's constraints, as the original's insert would."""
-    def check(df: DataFrame) -> None:
-        failed = violations(df, table, read).filter(F.col("filas") > 0).collect()  # a row per rule
+def violations(df: DataFrame, table: str, read: Callable[[str], DataFrame]) -> DataFrame:
+    """Q-05..Q-08 for one table: a row (regla, filas) per declared constraint."""
+    return row_violations(df, table).unionByName(key_violations(df, table, read))
+
+
+class Constraints:
+    """A table's constraints, as the original's inserts enforce them.
+
+    ``TableStore.overwrite`` observes the row rules while it writes a version
+    and reads back only what uniqueness and foreign keys need.  Calling it
+    checks a frame that is not written by the store.
+    """
+
+    def __init__(self, table: str, read: Callable[[str], DataFrame]):
+        self.table, self.read = table, read
+
+    def metrics(self) -> list[Column]:
+        return [_count_if(cond).alias(rule) for rule, cond in row_rules(self.table).items()]
+
+    def enforce(self, counts: dict[str, int]) -> None:
+        failed = {rule: n for rule, n in counts.items() if n}
         if failed:
-            raise ConstraintError(f"{table}: " + ", ".join(f"{r['regla']} ({r['filas']})" for r in failed))
-    return check
+            raise ConstraintError(f"{self.table}: " + ", ".join(f"{rule} ({n})" for rule, n in failed.items()))
+
+    def check_keys(self, df: DataFrame) -> None:
+        self._check(key_violations(df, self.table, self.read))
+
+    def __call__(self, df: DataFrame) -> None:
+        self._check(violations(df, self.table, self.read))
+
+    def _check(self, found: DataFrame) -> None:
+        self.enforce({r["regla"]: r["filas"] for r in found.filter(F.col("filas") > 0).collect()})  # a row per rule
+
+
+def constraint_check(table: str, read: Callable[[str], DataFrame]) -> Constraints:
+    return Constraints(table, read)
 
 
 def metrics_row(metrics: dict[str, DataFrame]) -> DataFrame:

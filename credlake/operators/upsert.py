@@ -17,18 +17,20 @@ one-column (K-07)      one column                                  proxy
 Rows only in the target are kept (upserts never delete).  New rows get
 surrogate keys continuing after the target's maximum (G-09).
 
-Plan.  Without keys to assign (silver, proxy) the upsert is one full outer
-join.  ``DO NOTHING`` keeps the target as it is and adds the rows of an anti
-join.  With keys to assign, the source is staged once (``materialize``: a
-Parquet table in the shared folder): it is usually expensive (the fact source
-joins silver to its dimensions) and is read by both halves of the upsert,
-which Catalyst prunes differently, so without staging it would be recomputed
-per half.  Then
-
-* updated/kept rows: ``target LEFT JOIN source`` on the key (each side
-  hash-partitioned once; AQE splits skewed partitions);
-* inserts: ``source LEFT ANTI JOIN target-keys``, staged too (new keys are
-  usually few) so surrogate-key assignment reads them instead of re-joining.
+Plans.
+
+* Integer or date key (silver, client, fact, time, proxy): no join.  Target and
+  source rows are stacked and partitioned once by key range; one window per
+  range, in (key, side) order, pairs each target row with the source row behind
+  it, tags source rows without a target row as new, and numbers those.  A range
+  holds at most 65,536 keys, so no window grows with the data, and the result
+  lies as the store writes it (by range).  With surrogate keys to assign the
+  tagged rows are stored once (``materialize``); new rows per range, counted
+  from narrow columns of them, give the offsets, so the keys are added while
+  the rows are read back.
+* Other keys (product names, several columns): ``DO NOTHING`` keeps the target
+  as it is and adds the rows of an anti join; an update goes through one full
+  outer join with tagged rows.  New rows are stored and numbered.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .keys import assign_keys
+from .keys import assign_keys, bucketable, key_bucket, max_key
 
 
 def _now() -> Column:
@@ -48,103 +50,133 @@ def _now() -> Column:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols: list[str] | None = None,
-           touch_cols: list[str] | None = None, stamp_cols: list[str] | None = None, sk_col: str | None = None, now: Column | None = None,
-           num_partitions: int | None = None, stage_source: bool = True) -> DataFrame:
+           touch_cols: list[str] | None = None, stamp_cols: list[str] | None = None, sk_col: str | None = None,
+           now: Column | None = None, start: int | None = None) -> DataFrame:
     """``INSERT source ON CONFLICT (keys) DO UPDATE SET update_cols, touch_cols = now``.
 
     ``update_cols=None`` means every non-key, non-surrogate source column;
     ``[]`` means ``DO NOTHING``.  ``touch_cols`` are set to ``now`` on
     insert and on update (load-time columns), ``stamp_cols`` on insert alone.
-    Target columns missing from
-    the source are NULL on insert.  ``stage_source=False`` skips staging
-    for a source that is a cheap, deterministic scan.
+    Target columns missing from the source are NULL on insert.  ``start``: the
+    largest surrogate key in use, where ``target`` is only a part of its table.
 
     A source key that occurs twice raises, as ``ON CONFLICT DO UPDATE`` does
-    on a double hit; the count per key runs in the partitioning the joins
-    need anyway.  NULL keys hit nothing.
+    on a double hit; the check runs in the partitioning the upsert needs
+    anyway.  NULL keys hit nothing.
     """
     now = now if now is not None else _now()
     touch, stamp = list(touch_cols or []), [*(touch_cols or []), *(stamp_cols or [])]
     tcols = target.columns
     if update_cols is None:
         update_cols = [c for c in source.columns if c in tcols and c not in keys and c != sk_col and c not in stamp]
-    upd = set(update_cols)
-    tschema = {f.name: f.dataType for f in target.schema.fields}
-
+    row = _Row(target, source, keys, set(update_cols), touch, stamp, now)
     has_sk = sk_col is not None and sk_col not in source.columns
-    if stage_source and has_sk:
-        source = materialize(source)
+    if bucketable(target, keys):
+        return _one_pass(target, source, keys[0], row, sk_col if has_sk else None, start)
     if update_cols:
-        cols = source.columns
-        hits = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        named = F.concat_ws(", ", *[F.col(c).cast("string") for c in keys])
-        twice = (F.col("_hits") > 1) & reduce(and_, [F.col(c).isNotNull() for c in keys])
-        source = source.withColumn("_hits", hits).where(
-            F.when(twice, F.raise_error(F.concat(F.lit("upsert: the source holds a key twice: "), named)).cast("boolean"))
-            .otherwise(F.lit(True))).select(*cols)
-    if update_cols and not has_sk:
-        return _one_join(target, source, keys, upd, touch, stamp, now, tschema)
-    s_keyed = source.select(*[F.col(c) for c in keys], *[F.col(c).alias(f"_s_{c}") for c in update_cols],
-                            F.lit(True).alias("_s_hit"))
-    # DO NOTHING leaves the target as it is: no join
-    existing = target.join(s_keyed, keys, "left") if update_cols else target
-    hit = F.coalesce(F.col("_s_hit"), F.lit(False))
-    ex_cols = []
-    for c in tcols:
-        if c in upd:
-            ex_cols.append(F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).cast(tschema[c]).alias(c))
-        elif c in touch and upd:
-            ex_cols.append(F.when(hit, now).otherwise(F.col(c)).cast(tschema[c]).alias(c))
-        else:
-            ex_cols.append(F.col(c))
-    existing = existing.select(*ex_cols)
-
-    start, first_load = None, False
+        merged = _one_join(target, _unique(source, keys), keys, row)
+        if not has_sk:
+            return merged.select(*tcols)
+        merged = materialize(merged)
+        kept, new = merged.where(~F.col("_new")).select(*tcols), merged.where("_new")
+    else:
+        kept = target
+        new = source.join(target.select(*keys), keys, "left_anti").select(
+            *[row.inserted(c, F.col).alias(c) for c in tcols])
+        new = materialize(new) if has_sk else new
     if has_sk:
-        # one small job for both: the key to continue from, and whether this
-        # is a first load into an empty table (then every source row is an
-        # insert and the source is already staged: no anti join, no second
-        # staging)
-        row = target.agg(F.max(sk_col).alias("m"), F.count(F.lit(1)).alias("n")).first()
-        start = int(row["m"] or 0)
-        first_load = row["n"] == 0
-    inserts = source if first_load else source.join(target.select(*keys), keys, "left_anti")
-    ins_cols = []
-    for c in tcols:
-        if c == sk_col and has_sk:
-            continue
-        if c in stamp:
-            ins_cols.append(now.cast(tschema[c]).alias(c))
-        elif c in source.columns:
-            ins_cols.append(F.col(c).cast(tschema[c]).alias(c))
-        else:
-            ins_cols.append(F.lit(None).cast(tschema[c]).alias(c))
-    inserts = inserts.select(*ins_cols)
-    if start is not None:
-        if stage_source and not first_load:
-            inserts = materialize(inserts)
-        inserts = assign_keys(inserts, sk_col, keys, start=start, num_partitions=num_partitions,
-                              key_type=tschema[sk_col].simpleString())
-    return existing.unionByName(inserts.select(*tcols))
-
-
-def _one_join(target: DataFrame, source: DataFrame, keys: list[str], upd: set, touch: list, stamp: list,
-              now: Column, tschema: dict) -> DataFrame:
-    """The upsert without key assignment: one full outer join, each side shuffled once and the source read once."""
-    rest = [c for c in source.columns if c not in keys]
-    s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in rest], F.lit(True).alias("_s_hit"))
+        new = assign_keys(new.drop(sk_col), sk_col, keys, start=max_key(target, sk_col) if start is None else start, key_type=row.type(sk_col))
+    return kept.unionByName(new.select(*tcols))
+
+
+class _Row:
+    """What each target column becomes; source values come through a function from name to column."""
+
+    def __init__(self, target, source, keys, update, touch, stamp, now):
+        self.schema = {f.name: f.dataType for f in target.schema.fields}
+        self.given = set(source.columns) & set(self.schema)
+        self.keys, self.update, self.touch, self.stamp, self.now = keys, update, touch, stamp, now
+
+    def type(self, c: str) -> str:
+        return self.schema[c].simpleString()
+
+    def inserted(self, c: str, source) -> Column:
+        value = self.now if c in self.stamp else source(c) if c in self.given else F.lit(None)
+        return value.cast(self.schema[c])
+
+    def updated(self, c: str, hit: Column, old: Column, source) -> Column:
+        """The value of a target row; ``hit``: the source holds its key."""
+        if c in self.touch and self.update:
+            return F.when(hit, self.now).otherwise(old).cast(self.schema[c])
+        return F.when(hit, source(c)).otherwise(old).cast(self.schema[c]) if c in self.update else old
+
+
+def _twice(key: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("upsert: the source holds a key twice: "), key)).cast("boolean")
+
+
+def _unique(source: DataFrame, keys: list[str]) -> DataFrame:
+    cols = source.columns
+    hits = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    twice = (F.col("_hits") > 1) & reduce(and_, [F.col(c).isNotNull() for c in keys])
+    named = F.concat_ws(", ", *[F.col(c).cast("string") for c in keys])
+    return source.withColumn("_hits", hits).where(F.when(twice, _twice(named)).otherwise(F.lit(True))).select(*cols)
+
+
+def _one_join(target: DataFrame, source: DataFrame, keys: list[str], row: _Row) -> DataFrame:
+    """One full outer join, each side shuffled once and the source read once; ``_new`` tags inserted rows."""
+    s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in source.columns if c not in keys], F.lit(True).alias("_s_hit"))
     j = target.withColumn("_t_hit", F.lit(True)).join(s, keys, "full_outer")
     hit, new = F.col("_s_hit").isNotNull(), F.col("_t_hit").isNull()
 
+    def theirs(c: str) -> Column:
+        return F.col(c if c in keys else f"_s_{c}")
+
+    return j.select(*[F.when(new, row.inserted(c, theirs)).otherwise(row.updated(c, hit, F.col(c), theirs)).alias(c)
+                      for c in target.columns], new.alias("_new"))
+
+
+def _one_pass(target: DataFrame, source: DataFrame, key: str, row: _Row, sk_col: str | None, start: int | None) -> DataFrame:
+    """Stack, partition by key range, pair and number in one window; the offsets come from the stored rows."""
+    tcols, given = target.columns, [c for c in source.columns if c in row.given and c != key]
+    k = F.col("_k")
+    theirs = F.struct(F.lit(True).alias("_hit"), *[F.col(c).alias(c) for c in given])
+    mine = F.struct(*[F.col(c).alias(c) for c in tcols])
+    both = target.select(F.col(key).alias("_k"), mine.alias("_t")).unionByName(
+        source.select(F.col(key).cast(row.schema[key]).alias("_k"), theirs.alias("_s")), allowMissingColumns=True)
+    both = both.withColumn("_bkt", key_bucket(both, "_k")).withColumn("_src", F.col("_t").isNull())
+    w = Window.partitionBy("_bkt").orderBy("_k", "_src")
+    after, before = F.lead("_s").over(w), F.lag("_k").over(w)
+    both = both.withColumns({
+        "_after": F.when((F.lead("_k").over(w) == k) & ~F.col("_src"), after),
+        "_again": F.coalesce((before == k) & F.col("_src"), F.lit(False)),    # a row of this key came before
+        "_twice": F.coalesce((before == k) & F.col("_src") & F.lag("_src").over(w), F.lit(False))})
+    both = both.withColumn("_new", F.col("_src") & ~F.col("_again"))
+    pos = F.sum(F.col("_new").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    kept = ~F.col("_again")
+    if row.update:
+        kept = F.when(F.col("_twice"), _twice(k.cast("string"))).otherwise(kept)
+    hit = F.col("_after").isNotNull()
+
     def value(c: str) -> Column:
-        if c in keys:
-            return F.col(c)
-        if c in stamp:
-            return F.when(hit if c in touch else new, now).otherwise(F.col(c))
-        theirs = F.col(f"_s_{c}") if c in rest else F.lit(None)
-        return F.when(hit if c in upd else new, theirs).otherwise(F.col(c))
-
-    return j.select(*[value(c).cast(tschema[c]).alias(c) for c in target.columns])
+        if c == key:
+            return k
+        old = row.updated(c, hit, F.col(f"_t.{c}"), lambda x: k if x == key else F.col(f"_after.{x}"))
+        return F.when(F.col("_new"), row.inserted(c, lambda x: F.col(f"_s.{x}"))).otherwise(old)
+
+    tagged = both.withColumn("_pos", pos).where(kept).select(*[value(c).alias(c) for c in tcols], "_bkt", "_new", "_pos")
+    if sk_col is None:
+        return tagged.select(*tcols)
+    stored = materialize(tagged, "upsert")
+    per_range = stored.groupBy("_bkt").agg(F.count_if("_new").alias("_n"), F.max(sk_col).alias("_m"))
+    # at most 65,536 ranges of 32-bit keys: a bounded window, and a proven bound for the broadcast
+    earlier = Window.orderBy(F.col("_bkt").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.max("_m").over(Window.partitionBy()), F.lit(0)) if start is None else F.lit(int(start))
+    offsets = per_range.select(F.col("_bkt").alias("_of"), (
+        base + F.coalesce(F.sum("_n").over(earlier), F.lit(0))).alias("_off"))
+    keyed = stored.join(F.broadcast(offsets), stored["_bkt"].eqNullSafe(offsets["_of"]))
+    sk = F.when(F.col("_new"), F.col("_off") + F.col("_pos")).otherwise(F.col(sk_col)).cast(row.schema[sk_col])
+    return keyed.select(*[sk.alias(c) if c == sk_col else F.col(c) for c in tcols])
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], **kw) -> DataFrame:

@@ -71,9 +71,9 @@ DOC_TYPED = """
     'run_idp' AS via_airflow_run_id"""
 
 
-def silver_ctes(prefix: str, base_where: str = "", with_docs: bool = True) -> str:
+def silver_ctes(prefix: str, base_where: str = "", with_docs: bool = True, doc_where: str = "") -> str:
     """CTEs ``{prefix}_silver`` with the 20 silver columns."""
-    doc_cte = (f"{prefix}_doc AS (SELECT {DOC_TYPED} FROM ({doc_rows_sql()}) {LATEST}),"
+    doc_cte = (f"{prefix}_doc AS (SELECT {DOC_TYPED} FROM ({doc_rows_sql()} {doc_where}) {LATEST}),"
                if with_docs else
                f"{prefix}_doc AS (SELECT CAST(NULL AS INTEGER) AS id_solicitud, CAST(NULL AS DECIMAL(12,2)) AS "
                f"amt_income_total_idp, CAST(NULL AS VARCHAR) AS tipo_documento, CAST(NULL AS DECIMAL(5,2)) AS "
@@ -432,6 +432,120 @@ def q_bronze_csv() -> str:
     FROM ({base_rows_sql()})"""
 
 
+def q_stream_counters() -> str:
+    rows = {"documentos": ("count(*)", "NULL"), "documentos_filas": ("count(*) FILTER (WHERE event_id % 10 <> 0)",) * 2,
+            "documentos_cuarentena": ("count(*) FILTER (WHERE event_id % 10 = 0)",) * 2}
+    return " UNION ALL ".join(f"SELECT '{name}' AS contador, CAST({a} AS BIGINT) AS observadas, CAST({b} AS BIGINT) AS guardadas FROM events"
+                              for name, (a, b) in rows.items())
+
+
+MEASURES_SQL = "amt_credit, amt_income_total, amt_annuity, days_employed, credit_to_income_ratio, annuity_income_ratio, target"
+
+
+def q_load_incremental() -> str:
+    late = f"o.o_orderdate >= TIMESTAMP '{UPSERT_SPLIT}'"
+    base, doc = f"o.o_custkey * {ID_STEP} // 65536 = 1", f"user_id * {20 * ID_STEP} // 65536 = 1"
+    cols = ", ".join(f"s.{c.strip()}" for c in MEASURES_SQL.split(","))
+    old = ", ".join(f"f.{c.strip()}" for c in MEASURES_SQL.split(","))
+    # the previous star, then updates of the applications with current records and inserts after its last keys
+    return f"""
+    WITH {silver_ctes('p', f'WHERE NOT ({late} AND {base})', doc_where=f'WHERE NOT ({doc})')}, {silver_ctes('s')},
+    changed AS (SELECT o_custkey * {ID_STEP} AS id FROM orders o WHERE {late} AND {base}
+                UNION SELECT user_id * {20 * ID_STEP} FROM events WHERE {doc}),
+    cur AS (SELECT * FROM s_silver WHERE bk_id_solicitud IN (SELECT id FROM changed)),
+    client_prev AS (SELECT row_number() OVER (ORDER BY bk_id_solicitud) AS sk, bk_id_solicitud AS id FROM p_silver),
+    client AS (SELECT * FROM client_prev UNION ALL
+               SELECT (SELECT max(sk) FROM client_prev) + row_number() OVER (ORDER BY bk_id_solicitud), bk_id_solicitud FROM cur
+               WHERE bk_id_solicitud NOT IN (SELECT id FROM client_prev)),
+    prod_prev AS (SELECT row_number() OVER (ORDER BY n) AS sk, n FROM (
+        SELECT DISTINCT name_contract_type AS n FROM p_silver WHERE name_contract_type IS NOT NULL)),
+    prod AS (SELECT * FROM prod_prev UNION ALL
+             SELECT (SELECT max(sk) FROM prod_prev) + row_number() OVER (ORDER BY n), n FROM (
+                 SELECT DISTINCT name_contract_type AS n FROM cur WHERE name_contract_type NOT IN (SELECT n FROM prod_prev))),
+    fact_prev AS (SELECT row_number() OVER (ORDER BY bk_id_solicitud) AS sk_fact, c.sk AS sk_cliente, p.sk AS sk_producto, s.*
+        FROM p_silver s JOIN client_prev c ON c.id = s.bk_id_solicitud JOIN prod_prev p ON p.n = s.name_contract_type),
+    src AS (SELECT c.sk AS sk_cliente, p.sk AS sk_producto, s.* FROM cur s
+        JOIN client c ON c.id = s.bk_id_solicitud JOIN prod p ON p.n = s.name_contract_type),
+    done AS (
+      SELECT coalesce(f.sk_fact, (SELECT max(sk_fact) FROM fact_prev) + row_number() OVER (
+                 PARTITION BY f.sk_fact IS NULL ORDER BY s.bk_id_solicitud)) AS sk_fact, s.bk_id_solicitud AS dd_id_solicitud,
+             coalesce(f.sk_cliente, s.sk_cliente) AS sk_cliente, coalesce(f.sk_producto, s.sk_producto) AS sk_producto,
+             {cols}, 'run_cur' AS via_airflow_run_id, DATE '{AS_OF_CURRENT.isoformat()}' AS fecha_evaluacion_datos
+      FROM src s LEFT JOIN fact_prev f ON f.bk_id_solicitud = s.bk_id_solicitud
+      UNION ALL
+      SELECT f.sk_fact, f.bk_id_solicitud, f.sk_cliente, f.sk_producto, {old}, 'run_prev', DATE '{AS_OF_PREVIOUS.isoformat()}'
+      FROM fact_prev f WHERE f.bk_id_solicitud NOT IN (SELECT bk_id_solicitud FROM src))
+    SELECT CAST(sk_fact AS INTEGER) AS sk_fact, dd_id_solicitud, CAST(sk_cliente AS INTEGER) AS sk_cliente,
+           CAST(sk_producto AS INTEGER) AS sk_producto, CAST(1 AS INTEGER) AS sk_proxy_documental, {MEASURES_SQL},
+           via_airflow_run_id, fecha_evaluacion_datos FROM done"""
+
+
+def q_audit_log() -> str:
+    counts = {1: ("p", "run_1"), 2: ("p", "run_1"), 3: ("s", "run_idp"), 4: ("s", "run_idp")}
+    return f"WITH {silver_ctes('p', PREV_WHERE, with_docs=False)}, {silver_ctes('s')} " + " UNION ALL ".join(f"""
+    SELECT CAST({i} AS INTEGER) AS log_id, '{run}' AS via_airflow_run_id, '{SILVER_TASK}' AS nombre_tarea, '{SILVER_TARGET}' AS capa_destino,
+           CAST((SELECT count(*) FROM {p}_silver WHERE via_airflow_run_id = '{run}') AS INTEGER) AS filas_procesadas,
+           '{STATUS_OK}' AS estado_ejecucion, '{SILVER_MESSAGE}' AS mensaje_detalle""" for i, (p, run) in counts.items())
+
+
+def q_warehouse_reset() -> str:
+    bronze = "(SELECT count(*) FROM orders) + (SELECT count(*) FROM events)"
+    silver = "(SELECT count(*) FROM s_silver)"
+    return f"WITH {silver_ctes('s')} " + " UNION ALL ".join(
+        f"SELECT '{m}' AS momento, '{t}' AS tabla, CAST({n} AS BIGINT) AS filas" for m, t, n in (
+            ("cargado", "bronze.raw_application", bronze), ("cargado", "silver.cleaned_application", silver),
+            ("reiniciado", "bronze.raw_application", bronze),
+            ("recargado", "bronze.raw_application", bronze), ("recargado", "silver.cleaned_application", silver)))
+
+
+def q_silver_documents() -> str:
+    return f"WITH {silver_ctes('s')} SELECT bk_id_solicitud, tipo_documento, confianza_ocr FROM s_silver"
+
+
+def q_vw_riesgo_hoy() -> str:
+    return f"""WITH {silver_ctes('s')} SELECT bk_id_solicitud AS id_solicitud, CAST(0 AS INTEGER) AS dias
+    FROM s_silver WHERE name_contract_type IS NOT NULL"""
+
+
+def q_bronze_csv_lines() -> str:
+    return f"""SELECT CAST(cust AS VARCHAR) AS bk_id_solicitud,
+           repeat(c_name, 4) || chr(10) || 'linea "dos", fin' || chr(10) || CAST(cust AS VARCHAR) AS organization_type,
+           CAST(o_totalprice AS DECIMAL(12,2)) AS amt_credit FROM ({base_rows_sql()})"""
+
+
+def q_document_files() -> str:
+    return """SELECT CAST(s_suppkey AS VARCHAR) AS bk_id_solicitud, s_suppkey || '_boleta.json' AS nombre, true AS id_numerico,
+           CAST(s_acctbal AS DECIMAL(12,2)) AS amt_income_total, true AS varias_lineas, true AS entero FROM supplier"""
+
+
+def q_receipt_states() -> str:
+    return f"""
+    WITH r AS (SELECT CASE WHEN s_suppkey % 17 = 0 THEN 'x' ELSE CAST(s_suppkey AS VARCHAR) END AS id,
+               CASE WHEN s_suppkey % 17 = 0 THEN 'ignorado' WHEN s_suppkey % 7 = 0 THEN 'fallido' ELSE 'procesado' END AS estado,
+               CASE WHEN s_suppkey % 7 <> 0 THEN 'NETO A PAGAR S/ ' || printf('%.2f', abs(s_acctbal)) END AS texto FROM supplier)
+    SELECT id || '_boleta.jpg' AS nombre_archivo, estado,
+           CASE WHEN estado = 'procesado' THEN coalesce(CAST(replace(NULLIF(regexp_extract(texto, '{AMOUNT_PATTERN.replace("'", "''")}', 1), ''), ',', '')
+               AS DOUBLE), 0.0) END AS amt_income_total,
+           CASE WHEN estado = 'procesado' THEN 'idp_boleta_{AS_OF_CURRENT.strftime("%Y%m%d")}_000000_' || id || '.json' END AS archivo FROM r"""
+
+
+def q_dq_gate_faults() -> str:
+    days, lost = "bk_id_solicitud % 7 = 0", "bk_id_solicitud % 11 = 0"
+    ratio = "bk_id_solicitud % 13 = 0"
+    return f"""
+    WITH {silver_ctes('s')}
+    SELECT count(*) FILTER (WHERE {days}) AS n_outliers_empleo, count(*) FILTER (WHERE {lost}) AS n_pk_nula,
+           count(*) FILTER (WHERE {ratio}) AS n_ratio_negativo, count(*) FILTER (WHERE {days}) = 0 AS check_outliers_empleo,
+           count(*) FILTER (WHERE {lost}) = 0 AS check_pk_nula, count(*) FILTER (WHERE {ratio}) = 0 AS check_ratio_valido
+    FROM s_silver"""
+
+
+def q_ingest_delivery() -> str:
+    good = "CAST(count(*) FILTER (WHERE event_id % 10 <> 0) AS BIGINT)"
+    return " UNION ALL ".join(f"""SELECT '{run}' AS via_airflow_run_id, {good} AS cargadas, {good} AS numeros,
+        count(*) AS archivadas, CAST(0 AS INTEGER) AS abiertas FROM events""" for run in ("run_1", "run_3"))
+
+
 def q_silver_window_plan() -> str:
     return q_silver_features()
 
@@ -445,6 +559,7 @@ ORACLES = {
     "document_typed": q_document_typed,
     "silver_features": q_silver_features,
     "silver_features_window": q_silver_window_plan,
+    "silver_features_narrow": q_silver_window_plan,
     "silver_upsert": q_silver_upsert,
     "dim_producto": q_dim_producto,
     "dim_cliente_scd1": q_dim_cliente_scd1,
@@ -465,6 +580,18 @@ ORACLES = {
     "ingest_batch": q_ingest_batch,
     "load_times": q_load_times,
     "dq_faults": q_dq_faults,
+    "dq_gate_faults": q_dq_gate_faults,
+    "stream_counters": q_stream_counters,
+    "ingest_delivery": q_ingest_delivery,
+    "load_incremental": q_load_incremental,
+    "vw_riesgo_buckets": q_vw_riesgo,
+    "audit_log": q_audit_log,
+    "warehouse_reset": q_warehouse_reset,
+    "silver_documents": q_silver_documents,
+    "vw_riesgo_hoy": q_vw_riesgo_hoy,
+    "bronze_csv_lines": q_bronze_csv_lines,
+    "document_files": q_document_files,
+    "receipt_states": q_receipt_states,
 }
 
 

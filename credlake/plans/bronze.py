@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.payload import field, is_document, is_valid_json_object
+from ..functions.payload import field, is_document, is_loadable, is_valid_json_object
 from ..operators.bronze import pack_bronze
 from ..schemas import BRONZE, BUSINESS_KEY_FIELD, CSV_FILE_NAME, DOC_METADATA_KEY
 
@@ -31,10 +31,11 @@ def documents_to_bronze(docs: DataFrame, run_id: str, seq_base: int = 0,
                         loaded_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(bronze rows, quarantined rows) from ``value`` + ``nombre_archivo``.
 
-    A document is loadable when it is a JSON object with a business key.
+    A document is loadable when it is a JSON object with a business key;
+    a column ``cargable`` says so where that has been found before.
     """
     key = field(F.col("value"), BUSINESS_KEY_FIELD)
-    ok = is_valid_json_object(F.col("value")) & key.isNotNull()
+    ok = F.col("cargable") if "cargable" in docs.columns else is_loadable(F.col("value"))
     good = docs.filter(ok).select(
         _sequence(seq_base).alias("id_secuencial"),
         key.alias("bk_id_solicitud"),

@@ -30,17 +30,15 @@ def build_dim_producto(silver: DataFrame, dim: DataFrame, run_id: str, now: Colu
 
 
 def build_dim_cliente(silver: DataFrame, dim: DataFrame, run_id: str, now: Column | None = None,
-                      silver_stored: bool = True) -> DataFrame:
+                      start: int | None = None) -> DataFrame:
     """G-02: SCD-1 on the application id; the surrogate key never changes.
 
     The original selects DISTINCT over these columns; silver's key is
     unique, so the rows are already distinct and no aggregation is planned.
-    The source is a projection of the stored silver table, a cheap
-    deterministic scan, so it is not staged again (``silver_stored``).
     """
     src = silver.select("bk_id_solicitud", *CLIENT_ATTRS).withColumn("via_airflow_run_id", F.lit(run_id))
     return upsert(dim, src, ["bk_id_solicitud"], update_cols=[*CLIENT_ATTRS, "via_airflow_run_id"],
-                  touch_cols=["fecha_carga"], sk_col="sk_cliente", now=now, stage_source=not silver_stored)
+                  touch_cols=["fecha_carga"], sk_col="sk_cliente", now=now, start=start)
 
 
 def build_dim_proxy(spark: SparkSession, dim: DataFrame, run_id: str, now: Column | None = None) -> DataFrame:
@@ -102,7 +100,7 @@ def fact_source(silver: DataFrame, dim_cliente: DataFrame, dim_producto: DataFra
 
 
 def build_fact(silver: DataFrame, dim_cliente: DataFrame, dim_producto: DataFrame, dim_tiempo: DataFrame,
-               fact: DataFrame, as_of, run_id: str, now: Column | None = None) -> DataFrame:
+               fact: DataFrame, as_of, run_id: str, now: Column | None = None, start: int | None = None) -> DataFrame:
     """G-05 + K-06: partial upsert on the degenerate id.
 
     An existing fact row gets the new time key, measures, ratios, target
@@ -111,7 +109,7 @@ def build_fact(silver: DataFrame, dim_cliente: DataFrame, dim_producto: DataFram
     src = fact_source(silver, dim_cliente, dim_producto, dim_tiempo, as_of, run_id)
     return upsert(fact, src, ["dd_id_solicitud"],
                   update_cols=["sk_tiempo", *FACT_MEASURES, "via_airflow_run_id"],
-                  touch_cols=["fecha_carga"], sk_col="sk_fact", now=now)
+                  touch_cols=["fecha_carga"], sk_col="sk_fact", now=now, start=start)
 
 
 GOLD_SCHEMAS = {

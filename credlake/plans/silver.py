@@ -5,12 +5,14 @@ extracted document.  They are merged with the document's income taking
 precedence, derived features are computed in exact decimals, and the two
 risk ratios are guarded against non-positive income.
 
-Two physical plans give the same rows:
-
-* ``fused`` (default): one ``groupBy`` on the integer application id picks
-  both branches' latest records with ``max_by`` in a single shuffle; partial
-  aggregation ships at most one record per key and branch from each map task
-  (skew-safe), and no join is needed.  Payloads are parsed only for winners.
+Three physical plans give the same rows:
+
+* ``fused``: one ``groupBy`` on the integer application id picks both branches'
+  latest records with ``max_by`` in a single shuffle; partial aggregation ships
+  at most one record per key and branch from each map task (skew-safe), and no
+  join is needed.  Payloads are parsed only for winners, and travel whole.
+* ``narrow``: the same, but every record is parsed where it lies and only the
+  20 fields that silver reads are sorted and shuffled.
 * ``window``: the SQL as written: a ``row_number`` window per branch
   (partitioned by the *text* key) and a left join on the integer id.
 
@@ -143,16 +145,19 @@ def _silver_window(bronze: DataFrame, keep_document_columns: bool, strict: bool)
     return merge_features(base, docs, keep_document_columns)
 
 
-def _silver_fused(bronze: DataFrame, keep_document_columns: bool, strict: bool) -> DataFrame:
+def _silver_fused(bronze: DataFrame, keep_document_columns: bool, strict: bool, narrow: bool) -> DataFrame:
     doc = F.col("es_documento")
     base = ~doc
     rec = recency_key("fecha_ingestion", "id_secuencial")
+    payload, run = F.col("datos_origen_raw"), F.col("via_airflow_run_id")
+    fields = F.struct(payload.alias("p"), run.alias("run"))
     rows = bronze.select(
-        N.to_int(F.col("bk_id_solicitud")).alias("_id"), "bk_id_solicitud", "es_documento",
-        rec.alias("_ord"), F.struct("datos_origen_raw", "via_airflow_run_id").alias("_rec"))
+        N.to_int(F.col("bk_id_solicitud")).alias("_id"), "bk_id_solicitud", "es_documento", rec.alias("_ord"),
+        F.when(base, F.struct(parse_base(payload).alias("p"), run.alias("run")) if narrow else fields).alias("_rb"),
+        F.when(doc, F.struct(parse_document(payload).alias("p"), run.alias("run")) if narrow else fields).alias("_rd"))
     per_id = rows.groupBy("_id").agg(
-        F.max_by(F.when(base, F.col("_rec")), F.when(base, F.col("_ord"))).alias("_b"),
-        F.max_by(F.when(doc, F.col("_rec")), F.when(doc, F.col("_ord"))).alias("_d"),
+        F.max_by("_rb", F.when(base, F.col("_ord"))).alias("_b"),
+        F.max_by("_rd", F.when(doc, F.col("_ord"))).alias("_d"),
         # two text spellings of one id in a branch = a double hit on one key
         (F.min(F.when(base, F.col("bk_id_solicitud"))) != F.max(F.when(base, F.col("bk_id_solicitud"))))
         .alias("_b_clash"),
@@ -167,10 +172,10 @@ def _silver_fused(bronze: DataFrame, keep_document_columns: bool, strict: bool)
                                                          "spellings: "), key.cast("string"))))
                .otherwise(key))
     # parse each winning payload once, in its own projection
-    parsed = per_id.select(key.alias("_key"), F.col("_b.via_airflow_run_id").alias("_b_run"),
-                           F.col("_d.via_airflow_run_id").alias("_d_run"), F.col("_d").isNotNull().alias("_has_d"),
-                           parse_base(F.col("_b.datos_origen_raw")).alias("_pb"),
-                           parse_document(F.col("_d.datos_origen_raw")).alias("_pd"))
+    parsed = per_id.select(key.alias("_key"), F.col("_b.run").alias("_b_run"),
+                           F.col("_d.run").alias("_d_run"), F.col("_d").isNotNull().alias("_has_d"),
+                           (F.col("_b.p") if narrow else parse_base(F.col("_b.p"))).alias("_pb"),
+                           (F.col("_d.p") if narrow else parse_document(F.col("_d.p"))).alias("_pd"))
     key = F.col("_key")
     pb, pd_ = F.col("_pb"), F.col("_pd")
     typed = parsed.select(
@@ -183,8 +188,8 @@ def _silver_fused(bronze: DataFrame, keep_document_columns: bool, strict: bool)
 def build_silver(bronze: DataFrame, method: str = "fused", keep_document_columns: bool = False,
                  strict: bool = True) -> DataFrame:
     """Silver feature rows (no load timestamp; the upsert stamps it)."""
-    if method == "fused":
-        return _silver_fused(bronze, keep_document_columns, strict)
+    if method in ("fused", "narrow"):
+        return _silver_fused(bronze, keep_document_columns, strict, method == "narrow")
     if method == "window":
         return _silver_window(bronze, keep_document_columns, strict)
     raise ValueError(f"unknown method {method!r}")

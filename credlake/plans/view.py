@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import VIEW_COLUMNS
+from ..sources.files import _hadoop_path
 
 VIEW_NAME = "vw_analisis_riesgo_crediticio"
 # which table each published column comes from (the rest: the client dimension)
@@ -41,14 +45,42 @@ def risk_view(fact: DataFrame, dim_cliente: DataFrame, dim_producto: DataFrame,
     return j.select(*[F.col(f"{_VIEW_SOURCE.get(src, 'c')}.{src}").alias(name) for src, name in VIEW_COLUMNS])
 
 
-def publish_view(spark: SparkSession, paths: dict[str, str], name: str = VIEW_NAME) -> None:
-    """K-13: a catalog view over the given version folders (keys as in
-    ``GOLD_VIEWS``), bound anew by every load.
+def publish_view(spark: SparkSession, tables: dict[str, str], name: str = VIEW_NAME) -> None:
+    """K-13: a catalog view over the given relations (keys as in
+    ``GOLD_VIEWS``), bound anew to the version folders by every load.
 
     Every session of the catalog sees it; with a metastore it outlives the
     application.
     """
-    spark.sql(view_sql(name, {k: f"parquet.`{p}`" for k, p in paths.items()}, kind="VIEW"))
+    spark.sql(view_sql(name, tables, kind="VIEW"))
+
+
+# published beside the gold tables, dealt by the key they are joined on
+BUCKETED = {"f": "sk_cliente", "c": "sk_cliente"}
+
+
+def publish_bucketed_view(spark: SparkSession, tables: dict[str, str], root: str, buckets: int, name: str = VIEW_NAME) -> None:
+    """J-05 for many reports over one load: fact and client dimension as catalog tables, bucketed and
+    sorted by the client key (one shuffle each, once), so that no report shuffles them to join them.
+
+    The tables are named after the view and the load; those of the load before
+    stay for its readers, older ones are dropped with their files.
+    """
+    made = sorted(t.name for t in spark.catalog.listTables() if re.fullmatch(rf"{re.escape(name.lower())}_[0-9]+_[fc]", t.name))
+    n = 1 + max((int(t.split("_")[-2]) for t in made), default=0)
+    relations = dict(tables)
+    for k, key in BUCKETED.items():
+        table, path = f"{name}_{n}_{k}".lower(), f"{root}/{name}/{uuid.uuid4().hex[:12]}/{k}"
+        (spark.sql(f"SELECT * FROM {tables[k]}").repartition(buckets, key).write.option("path", path)
+         .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+        relations[k] = table
+    spark.sql(view_sql(name, relations, kind="VIEW"))
+    for t in made:
+        if int(t.split("_")[-2]) < n - 1:
+            location = spark.sql(f"DESCRIBE FORMATTED {t}").where("col_name = 'Location'").first()["data_type"]
+            spark.sql(f"DROP TABLE {t}")
+            p, fs = _hadoop_path(spark, location)
+            fs.delete(p, True)
 
 
 def view_sql(name: str = VIEW_NAME, tables: dict[str, str] | None = None, kind: str = "TEMP VIEW") -> str:

@@ -19,7 +19,8 @@ from .plans import gold
 from .plans.silver import build_silver, latest_base, latest_documents, type_base, type_documents
 from .plans.view import VIEW_NAME, risk_view
 from .sources import fixtures as fx
-from .sources.files import read_application_csv
+from .functions.text import base_name, document_file_name, id_prefix, is_numeric_id, upload_name
+from .sources.files import open_deliveries, read_application_csv, read_documents, read_images
 from .sources.store import TableStore
 from .operators.audit import audit_entries
 from .operators.ledger import not_yet_ingested
@@ -27,9 +28,9 @@ from .operators.quality import silver_gate, star_integrity, varchar_violations,
 from .operators.receipts import extract_receipts
 from .operators.upsert import upsert
 from .plans.bronze import csv_to_bronze, receipts_to_bronze
-from .plans.run import ingest_batch, load_silver, run_load
+from .plans.run import ingest_batch, init_warehouse, load_silver, run_load
 from .session import materialize, scratch_dir
-from .streaming.file_ingest import start_bronze_stream
+from .streaming.file_ingest import run_bronze_stream, start_bronze_stream
 
 GOLD_RUN = "run_gold"
 
@@ -67,6 +68,10 @@ def q_silver_features_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir, "window")
 
 
+def q_silver_features_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silver(spark, sf_dir, "narrow")
+
+
 def _silver_two_loads(spark, sf_dir, store: bool = False) -> tuple[DataFrame, DataFrame]:
     """(silver after the previous load, silver after the current load).
 
@@ -332,6 +337,159 @@ def q_dq_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, df in (("silver.cleaned_application", silver), ("gold.fact_creditos", fact))])
 
 
+def _broken(docs: DataFrame, path: str) -> None:
+    """Documents as JSON lines; every tenth is cut short."""
+    text = F.to_json(F.struct(*[c for c in docs.columns if not c.startswith("_")]))
+    docs.select(F.when((F.col("_seq") - fx.DOC_SEQ_BASE) % 10 == 0, F.lit("{")).otherwise(text).alias("value")).write.text(path)
+
+
+def q_stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-06 of a stream: documents seen, loaded and quarantined, from the progress events, beside the rows stored."""
+    root = scratch_dir(spark, "stream")
+    _broken(fx.document_rows(spark, sf_dir), f"{root}/raw")
+    store = TableStore(spark, root=f"{root}/warehouse")
+    c = run_bronze_stream(spark, store, f"{root}/raw", f"{root}/_checkpoint", f"{root}/quarantine", "run_stream",
+                          pattern="*.txt", whole_file=False)
+    stored = store.read("bronze.raw_application").select(F.lit("documentos_filas").alias("contador")).unionByName(
+        spark.read.parquet(f"{root}/quarantine").select(F.lit("documentos_cuarentena").alias("contador")))
+    seen = spark.createDataFrame(sorted(c.items()), "contador string, observadas long")
+    return seen.join(stored.groupBy("contador").agg(F.count(F.lit(1)).alias("guardadas")), "contador", "left")
+
+
+def q_load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-03, K-05, K-06, S-05: a load that touches one key range of an existing star; the fact afterwards."""
+    store = TableStore(spark, root=scratch_dir(spark, "warehouse"))
+    for rows, run, day in zip(fx.bronze_one_range(spark, sf_dir), ("run_prev", "run_cur"), (fx.AS_OF_PREVIOUS, fx.AS_OF_CURRENT)):
+        run_load(spark, store, run, bronze_rows=rows, as_of=day, incremental=True, view_name="vw_riesgo_incremental")
+    fact = store.read("gold.fact_creditos").drop("fecha_carga", "sk_tiempo")
+    view = spark.table("vw_riesgo_incremental").select(F.col("id_solicitud").alias("dd_id_solicitud"), "fecha_evaluacion_datos")
+    return fact.join(view, "dd_id_solicitud")
+
+
+def q_vw_riesgo_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-05 over bucketed catalog tables: fact and client meet without a shuffle."""
+    store = TableStore(spark, root=scratch_dir(spark, "warehouse"))
+    run_load(spark, store, GOLD_RUN, bronze_rows=fx.bronze_all(spark, sf_dir), as_of=fx.AS_OF_CURRENT,
+             view_name="vw_riesgo_buckets", view_buckets=8)
+    return spark.table("vw_riesgo_buckets")
+
+
+def q_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-08, G-08: the audit table after two whole loads."""
+    store = TableStore(spark, root=scratch_dir(spark, "warehouse"))
+    for rows, run in zip(fx.bronze_split(spark, sf_dir), ("run_1", "run_idp")):
+        run_load(spark, store, run, bronze_rows=rows, as_of=fx.AS_OF_CURRENT, view_name="vw_riesgo_auditada")
+    return store.read("audit.etl_log").drop("fecha_ejecucion")
+
+
+def q_warehouse_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-11: rows per table after a load, after the reset, and after an incremental load rebuilds silver from bronze."""
+    store = TableStore(spark, root=scratch_dir(spark, "warehouse"))
+
+    def rows(moment: str) -> DataFrame:
+        parts = [store.read(t).select(F.lit(t).alias("tabla")) for t in ("bronze.raw_application", "silver.cleaned_application",
+                                                                         "gold.dim_cliente")]
+        counted = reduce(DataFrame.unionByName, parts).groupBy("tabla").agg(F.count(F.lit(1)).alias("filas"))
+        return materialize(counted.select(F.lit(moment).alias("momento"), "tabla", "filas"))
+
+    store.append_bronze(fx.bronze_all(spark, sf_dir))
+    load_silver(store, run_id="run_1")
+    seen = [rows("cargado")]
+    init_warehouse(store)
+    seen.append(rows("reiniciado"))
+    load_silver(store, incremental=True, run_id="run_2")
+    return reduce(DataFrame.unionByName, [*seen, rows("recargado")])
+
+
+def q_silver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X-14: document type and confidence kept through the merge."""
+    silver = build_silver(fx.bronze_all(spark, sf_dir), keep_document_columns=True)
+    return silver.select("bk_id_solicitud", "tipo_documento", "confianza_ocr")
+
+
+def q_vw_riesgo_hoy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X-17: a load without a given day is evaluated on the session's current date."""
+    store = TableStore(spark, root=scratch_dir(spark, "warehouse"))
+    run_load(spark, store, GOLD_RUN, bronze_rows=fx.bronze_all(spark, sf_dir), view_name="vw_riesgo_hoy")
+    return spark.table("vw_riesgo_hoy").select("id_solicitud", (F.datediff(F.current_date(), "fecha_evaluacion_datos")).alias("dias"))
+
+
+def q_bronze_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-01: quoted cells with line breaks, commas and quotes."""
+    path = scratch_dir(spark, "application-csv")
+    rows = fx.application_rows(spark, sf_dir)
+    cell = F.concat(F.col("ORGANIZATION_TYPE"), F.lit('\nlinea "dos", fin\n'), F.col("SK_ID_CURR"))
+    rows = rows.withColumn("ORGANIZATION_TYPE", cell).select(*[c for c in rows.columns if not c.startswith("_")])
+    rows.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    b = csv_to_bronze(read_application_csv(spark, path, multi_line=True), "run_csv")
+    p = F.col("datos_origen_raw")
+    return b.select("bk_id_solicitud", F.get_json_object(p, "$.ORGANIZATION_TYPE").alias("organization_type"),
+                    F.get_json_object(p, "$.AMT_CREDIT").cast("decimal(12,2)").alias("amt_credit"))
+
+
+def q_document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-02, S-03, S-04, X-22, X-23: one many-line JSON file per supplier, read whole, joined to the file manifest;
+    a folder that is absent adds nothing."""
+    root = scratch_dir(spark, "files")
+    s = fx.table(spark, sf_dir, "supplier")
+    doc = F.to_json(F.struct(F.col("s_suppkey").cast("string").alias(S.BUSINESS_KEY_FIELD), F.col("s_acctbal").alias("AMT_INCOME_TOTAL")),
+                    {"pretty": "true"})
+    s.select(upload_name(F.col("s_suppkey").cast("string"), F.lit("boleta.json")).alias("carpeta"), doc.alias("value")) \
+        .write.partitionBy("carpeta").text(f"{root}/raw")
+    docs = read_documents(spark, f"{root}/raw", pattern="*.txt").unionByName(read_documents(spark, f"{root}/absent"))
+    files = read_images(spark, f"{root}/raw", pattern="*.txt").unionByName(read_images(spark, f"{root}/absent"))
+    folder = base_name(F.regexp_replace("ruta", "/[^/]+$", ""))
+    files = files.select(F.regexp_replace(folder, "^carpeta=", "").alias("nombre"), "nombre_archivo", "tamano")
+    value = F.col("value")
+    docs = docs.select(F.get_json_object(value, f"$.{S.BUSINESS_KEY_FIELD}").alias("bk_id_solicitud"), "nombre_archivo",
+                       F.get_json_object(value, "$.AMT_INCOME_TOTAL").cast("decimal(12,2)").alias("amt_income_total"),
+                       F.octet_length("value").cast("long").alias("largo"), (F.size(F.split("value", "\n")) > 3).alias("varias_lineas"))
+    files = files.withColumn("id", id_prefix(F.col("nombre")))
+    joined = docs.join(files, (docs["bk_id_solicitud"] == files["id"]) & (docs["nombre_archivo"] == files["nombre_archivo"]))
+    return joined.select("bk_id_solicitud", "nombre", is_numeric_id(F.col("id")).alias("id_numerico"), "amt_income_total",
+                         "varias_lineas", (F.col("tamano") == F.col("largo")).alias("entero"))
+
+
+def q_receipt_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-10, X-29: the three ends of a receipt (unreadable ones have no text) and the names of the files written."""
+    k = F.col("s_suppkey")
+    name = F.concat(F.when(k % 17 == 0, F.lit("x")).otherwise(k.cast("string")), F.lit("_boleta.jpg"))
+    text = F.when(k % 7 != 0, F.concat(F.lit("NETO A PAGAR S/ "), F.format_string("%.2f", F.abs("s_acctbal"))))
+    images = fx.table(spark, sf_dir, "supplier").select(name.alias("nombre_archivo"), text.alias("texto"))
+    found = extract_receipts(images)
+    stamp = F.lit(fx.AS_OF_CURRENT).cast("timestamp")
+    return found.select("nombre_archivo", "estado", "amt_income_total", F.when(F.col("estado") == "procesado", document_file_name(
+        stamp, F.col("id_solicitud"))).alias("archivo"))
+
+
+def q_dq_gate_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-01..Q-04 over planted faults: sentinels, lost keys, negative ratios."""
+    bk = F.col("bk_id_solicitud")
+    return silver_gate(_silver(spark, sf_dir).withColumns({
+        "days_employed": F.when(bk % 7 == 0, F.lit(S.SENTINEL_DAYS_EMPLOYED)).otherwise(F.col("days_employed")),
+        "credit_to_income_ratio": F.when(bk % 13 == 0, F.lit("-0.0001").cast("decimal(10,4)")).otherwise(F.col("credit_to_income_ratio")),
+        "bk_id_solicitud": F.when(bk % 11 != 0, bk)}))
+
+
+def q_ingest_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-09 by delivery: a folder with broken documents, the empty folder, then the same documents anew."""
+    root = scratch_dir(spark, "deliveries")
+    store = TableStore(spark, root=f"{root}/warehouse")
+    docs = fx.document_rows(spark, sf_dir)
+    left = 0
+    for run, arrives in (("run_1", True), ("run_2", False), ("run_3", True)):
+        if arrives:
+            _broken(docs, f"{root}/raw/{run}")
+        ingest_batch(spark, store, run, docs_dir=f"{root}/raw/{run}", docs_pattern="*.txt", docs_whole_file=False,
+                     archive_dir=f"{root}/archive", archive_by="delivery")
+        left += len(open_deliveries(spark, f"{root}/archive", "documentos"))
+    archived = spark.read.text(f"{root}/archive/*", pathGlobFilter="*.txt").groupBy(F.regexp_extract(
+        F.col("_metadata.file_path"), "/documentos-(run_[0-9])/", 1).alias("via_airflow_run_id")).agg(F.count(F.lit(1)).alias("archivadas"))
+    loaded = store.read("bronze.raw_application").groupBy("via_airflow_run_id").agg(
+        F.count(F.lit(1)).alias("cargadas"), F.count_distinct("id_secuencial").alias("numeros"))
+    return loaded.join(archived, "via_airflow_run_id", "full_outer").withColumn("abiertas", F.lit(left))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_base": q_latest_base,
     "latest_document": q_latest_document,
@@ -339,6 +497,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "document_typed": q_document_typed,
     "silver_features": q_silver_features,
     "silver_features_window": q_silver_features_window,
+    "silver_features_narrow": q_silver_features_narrow,
     "silver_upsert": q_silver_upsert,
     "dim_producto": q_dim_producto,
     "dim_cliente_scd1": q_dim_cliente_scd1,
@@ -361,6 +520,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_batch": q_ingest_batch,
     "load_times": q_load_times,
     "dq_faults": q_dq_faults,
+    "dq_gate_faults": q_dq_gate_faults,
+    "stream_counters": q_stream_counters,
+    "ingest_delivery": q_ingest_delivery,
+    "load_incremental": q_load_incremental,
+    "vw_riesgo_buckets": q_vw_riesgo_buckets,
+    "audit_log": q_audit_log,
+    "warehouse_reset": q_warehouse_reset,
+    "silver_documents": q_silver_documents,
+    "vw_riesgo_hoy": q_vw_riesgo_hoy,
+    "bronze_csv_lines": q_bronze_csv_lines,
+    "document_files": q_document_files,
+    "receipt_states": q_receipt_states,
 }
 
 

@@ -250,7 +250,10 @@ SILVER_LEDGER = _s(
 
 # Source files already appended to bronze (ingest-once).  A file is known by
 # its path, modification time and length, so a new delivery under an old name
-# is a new file; a stream's batch markers carry a name alone.
+# is a new file; a stream's batch markers carry a name alone.  ``marca`` is the
+# largest bronze sequence number that a load may use: a row with it is written
+# before the load writes, so numbers are never used twice and bronze is not
+# read to find the next one.
 INGEST_LEDGER = _s(
     ("nombre_archivo", T.StringType(), False),
     ("ruta", T.StringType(), True),
@@ -258,6 +261,7 @@ INGEST_LEDGER = _s(
     ("tamano", T.LongType(), True),
     ("via_airflow_run_id", T.StringType(), True),
     ("fecha_carga", TS, True),
+    ("marca", T.LongType(), True),
 )
 
 TABLES = {

@@ -154,8 +154,8 @@ def to_local_path(path: str) -> str | None:
     return path if os.path.isabs(path) else None
 
 
-def materialize(df, name: str = "stage"):
-    """Store an intermediate layer and cut its lineage.
+def materialize(df, name: str = "stage", session: SparkSession | None = None):
+    """Store an intermediate layer and cut its lineage; it is read back in ``session`` (by default the frame's).
 
     Writes a Parquet table in a fresh folder under the shared root and reads
     it back: the layer is computed once (an eager ``checkpoint()`` computes
@@ -166,7 +166,7 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)  # known schema: no inference job
+    return (session or spark).read.schema(df.schema).parquet(path)  # known schema: no inference job
 
 
 def spread(df, min_partitions: int | None = None):

@@ -48,33 +48,45 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """Name, identity and readable path (``_leer``) of the files under ``path``; contents are not read."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], T.StructType([
             T.StructField("nombre_archivo", T.StringType()), *DOC_TEXT.fields[2:], T.StructField("_leer", T.StringType())]))
-    df = spark.read.format("binaryFile").load(path)
+    reader = spark.read.format("binaryFile")
+    df = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
     return df.select(F.col("_metadata.file_name").alias("nombre_archivo"), *file_identity(), F.col("path").alias("_leer"))
 
 
-def read_application_csv(spark: SparkSession, path: str | list[str], na_tokens: bool = True) -> DataFrame | None:
-    """S-01 + P-02.  Returns None when the file is absent (S-04: warn and skip)."""
+def read_application_csv(spark: SparkSession, path: str | list[str], na_tokens: bool = True,
+                         multi_line: bool = False) -> DataFrame | None:
+    """S-01 + P-02.  Returns None when the file is absent (S-04: warn and skip).
+
+    ``multi_line``: quoted cells may hold line breaks; a file is then one
+    split.  Without it each part is a line, which FAILFAST rejects where the
+    number of its cells is another."""
     if isinstance(path, str) and not path_exists(spark, path):
         return None
     df = (spark.read.option("header", True).option("mode", "FAILFAST").option("inferSchema", False)
-          .option("enforceSchema", False)
+          .option("enforceSchema", False).option("multiLine", multi_line)
           .option("escape", '"').csv(path))  # doubled quotes in a quoted cell; a backslash is text
     return na_to_null(df) if na_tokens else df
 
 
-def read_documents(spark: SparkSession, directory: str, pattern: str = DOC_FILE_GLOB,
+def read_documents(spark: SparkSession, directory: str | list[str], pattern: str = DOC_FILE_GLOB,
                    whole_file: bool = True) -> DataFrame:
     """S-02: JSON documents with lineage columns: one per file (the original
-    layout) or, with ``whole_file=False``, one per line (JSON-lines drops)."""
-    if not path_exists(spark, directory):
+    layout) or, with ``whole_file=False``, one per line (JSON-lines drops).
+    A list names the files to read."""
+    reader = spark.read
+    if isinstance(directory, str):
+        if not path_exists(spark, directory):
+            return spark.createDataFrame([], DOC_TEXT)
+        reader = reader.option("pathGlobFilter", pattern)
+    elif not directory:
         return spark.createDataFrame([], DOC_TEXT)
     # text()'s own wholetext argument overrides a reader option, so pass it here
-    df = spark.read.option("pathGlobFilter", pattern).text(directory, wholetext=whole_file)
+    df = reader.text(directory, wholetext=whole_file)
     return df.select("value", F.col("_metadata.file_name").alias("nombre_archivo"), *file_identity())
 
 
@@ -101,6 +113,46 @@ def archive_file(spark: SparkSession, path: str, directory: str) -> None:
         raise OSError(f"{path} could not be moved to {directory}")
 
 
+LOADED = "_CARGADO"  # marks a claimed delivery whose files are in bronze or quarantine
+
+
+def claim_delivery(spark: SparkSession, path: str, directory: str, name: str) -> None:
+    """K-09 by delivery: move what lies at ``path`` (a file, or a folder, which is made anew) to the
+    archive as ``<name>``, or with a number if that is taken, in one rename, however many files it holds.
+
+    What arrives afterwards belongs to the next delivery.  A delivery is open
+    until ``close_delivery`` marks it, so a load that fails finds it again."""
+    src, fs = _hadoop_path(spark, path)
+    if not fs.exists(src):
+        return
+    folder = fs.getFileStatus(src).isDirectory()
+    if folder and not len(fs.listStatus(src)):
+        return
+    n, to = 0, _hadoop_path(spark, f"{directory}/{name}")[0]
+    while fs.exists(to):
+        n += 1
+        to = _hadoop_path(spark, f"{directory}/{name}.{n}")[0]
+    fs.mkdirs(to.getParent() if folder else to)
+    if not fs.rename(src, to if folder else _hadoop_path(spark, f"{to.toString()}/{src.getName()}")[0]):
+        raise OSError(f"{path} could not be moved to {directory}")
+    if folder:
+        fs.mkdirs(src)
+
+
+def open_deliveries(spark: SparkSession, directory: str, kind: str) -> list[str]:
+    """Claimed deliveries of a kind (the prefix of their names) that are not marked as loaded."""
+    p, fs = _hadoop_path(spark, directory)
+    if not fs.exists(p):
+        return []
+    found = [st.getPath() for st in fs.listStatus(p) if st.isDirectory() and st.getPath().getName().startswith(f"{kind}-")]
+    return sorted(f.toString() for f in found if not fs.exists(_hadoop_path(spark, f"{f.toString()}/{LOADED}")[0]))
+
+
+def close_delivery(spark: SparkSession, folder: str) -> None:
+    p, fs = _hadoop_path(spark, f"{folder}/{LOADED}")
+    fs.create(p).close()
+
+
 def read_images(spark: SparkSession, directory: str, pattern: str = IMAGE_GLOB) -> DataFrame:
     """S-03: image manifest (the bytes column is pruned away)."""
     if not path_exists(spark, directory):

@@ -116,6 +116,15 @@ def bronze_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return prev, cur
 
 
+def bronze_one_range(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(previous load, current load): the current one holds the base records from UPSERT_SPLIT and the
+    documents of the applications in the second key range, the previous one the rest."""
+    b, d = bronze_base(spark, sf_dir), bronze_documents(spark, sf_dir)
+    mine = F.floor(F.col("bk_id_solicitud").cast("long") / 65536) == 1
+    late = F.col("fecha_ingestion") >= F.lit(UPSERT_SPLIT).cast("timestamp_ntz")
+    return b.filter(~(mine & late)).unionByName(d.filter(~mine)), b.filter(mine & late).unionByName(d.filter(mine))
+
+
 def receipt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Receipt images as (file name, OCR text), one per order.
 

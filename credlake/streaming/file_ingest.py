@@ -17,18 +17,58 @@ replays it once (at-least-once), which the silver latest-record rule absorbs.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..operators.keys import max_key
+from ..functions.payload import is_loadable
+from ..operators.ledger import ledger_entry, next_sequence, reservation
 from ..plans.bronze import documents_to_bronze
 from ..schemas import DOC_FILE_GLOB
-from ..sources.store import INGEST_LEDGER, TableStore
+from ..session import materialize
+from ..sources.store import BRONZE_TABLE, INGEST_LEDGER, TableStore
+
+
+METRICS = "ingesta"
+MAX_FILES = 100_000  # of one micro-batch
+
+
+class IngestCounters(StreamingQueryListener):
+    """A-06 for streams: the observed counters of every micro-batch, added up per run of a stream.
+
+    They are gathered while the batch is read, so counting costs no pass.  A
+    batch that the engine re-runs is counted again."""
+
+    def __init__(self):
+        self._of: dict[str, dict[str, int]] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(METRICS)
+        counts = self._of.setdefault(str(event.progress.runId), {})
+        for name, n in (row.asDict() if row is not None else {}).items():
+            counts[name] = counts.get(name, 0) + int(n or 0)
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def of(self, query: StreamingQuery, timeout: float = 60.0) -> dict[str, int]:
+        """Counters of a stream that has ended; its last events may still be on their way."""
+        run = str(query.runId)
+        self._ended.setdefault(run, threading.Event()).wait(timeout)
+        return dict(self._of.get(run, {}))
 
 
 def document_stream(spark: SparkSession, source_dir: str, pattern: str = DOC_FILE_GLOB,
-                    archive_dir: str | None = None, max_files_per_trigger: int | None = None,
+                    archive_dir: str | None = None, max_files_per_trigger: int | None = MAX_FILES,
                     whole_file: bool = True) -> DataFrame:
     """Streaming frame of (value, nombre_archivo): one row per file
     (``whole_file``) or per line for JSON-lines drops."""
@@ -50,29 +90,19 @@ def bronze_sink(spark: SparkSession, store: TableStore, quarantine_dir: str, run
     is re-running it after a failure) and is skipped; a crash between the
     bronze append and the marker still replays it once (at-least-once).
     """
-    # sequence base: bronze's maximum once at start (a one-column scan), then
-    # carried from batch to batch, so a micro-batch never rescans bronze
-    seq = {"next": max_key(store.read("bronze.raw_application"), "id_secuencial") + 1}
-
     def sink(batch: DataFrame, batch_id: int) -> None:
         marker = f"stream:{stream_id}:{batch_id}"
-        done = store.read(INGEST_LEDGER).filter(F.col("nombre_archivo") == marker)
-        if not done.isEmpty():
+        ledger = store.read(INGEST_LEDGER)
+        if not ledger.filter(F.col("nombre_archivo") == marker).isEmpty():
             return
-        batch = batch.persist()  # read twice: loadable rows and quarantine
-        try:
-            good, bad = documents_to_bronze(batch, run_id, seq_base=seq["next"])
-            good = good.persist()
-            store.append_bronze(good)
-            seq["next"] = max(seq["next"], max_key(good, "id_secuencial") + 1)
-            good.unpersist()
-            bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine_dir)
-            store.append(INGEST_LEDGER, spark.range(1).select(
-                F.lit(marker).alias("nombre_archivo"), F.lit(None).alias("ruta"), F.lit(None).alias("fecha_archivo"),
-                F.lit(None).alias("tamano"), F.lit(run_id).alias("via_airflow_run_id"),
-                F.current_timestamp().cast("timestamp_ntz").alias("fecha_carga")))
-        finally:
-            batch.unpersist()
+        # the rows are read twice (loadable ones and quarantine): stored once, in the shared folder
+        rows = materialize(batch, "batch", spark)
+        base = next_sequence(ledger, store.read(BRONZE_TABLE))
+        good, bad = documents_to_bronze(rows, run_id, seq_base=base)
+        store.append(INGEST_LEDGER, reservation(good, run_id, base))
+        store.append_bronze(good)
+        bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine_dir)
+        store.append(INGEST_LEDGER, ledger_entry(spark.range(1).select(F.lit(marker).alias("nombre_archivo")), run_id))
 
     return sink
 
@@ -80,9 +110,25 @@ def bronze_sink(spark: SparkSession, store: TableStore, quarantine_dir: str, run
 def start_bronze_stream(spark: SparkSession, store: TableStore, source_dir: str, checkpoint_dir: str,
                         quarantine_dir: str, run_id: str, pattern: str = DOC_FILE_GLOB,
                         archive_dir: str | None = None, whole_file: bool = True,
-                        available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        available_now: bool = True, max_files_per_trigger: int | None = MAX_FILES) -> StreamingQuery:
+    """The stream, started.  Its progress events carry the counters ``METRICS``."""
     stream = document_stream(spark, source_dir, pattern, archive_dir, max_files_per_trigger, whole_file)
+    stream = stream.withColumn("cargable", is_loadable(F.col("value"))).observe(
+        METRICS, F.count(F.lit(1)).alias("documentos"), F.count_if("cargable").alias("documentos_filas"),
+        F.count_if(~F.col("cargable")).alias("documentos_cuarentena"))
     sink = bronze_sink(spark, store, quarantine_dir, run_id, stream_id=checkpoint_dir.rstrip("/"))
     w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
+
+
+def run_bronze_stream(spark: SparkSession, *args, **kw) -> dict[str, int]:
+    """Process what is there (``AvailableNow``) and return the counters of the run."""
+    counters = IngestCounters()
+    spark.streams.addListener(counters)
+    try:
+        query = start_bronze_stream(spark, *args, **kw)
+        query.awaitTermination()
+        return counters.of(query)
+    finally:
+        spark.streams.removeListener(counters)
