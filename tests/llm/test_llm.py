@@ -225,6 +225,16 @@ def test_lm_scores(make_docs, odd_texts, order):
         assert (got[i].mean_log_score is None) == (n == 0)
 
 
+@pytest.mark.parametrize("order, group_bytes", [(3, 1 << 25), (3, 400), (4, 3000)])
+def test_lm_counts_all(make_docs, odd_texts, order, group_bytes):
+    """No count is cut, whatever the groups; null and repeated ids too."""
+    texts = odd_texts + ["a b c d", "a b c e", "b c d", "x a b c d"] * 3
+    ids = [None if i % 5 == 0 else i // 3 for i in range(len(texts))]
+    got = Counter((r.doc_id, r.n_words, round(r.log_score, 6)) for r in lm_score.lm_scores(
+        make_docs(texts, ids, extra=True), order=order, least=1, group_bytes=group_bytes).collect())
+    assert got == Counter((i, n, round(s, 6)) for i, (n, s) in zip(ids, brute_lm(texts, order, 1, 0.4)))
+
+
 def test_lm_empty(make_docs):
     assert lm_score.lm_scores(make_docs([])).count() == 0
 
