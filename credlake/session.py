@@ -33,7 +33,7 @@ BASE_CONF = {
 }
 
 
-# Settings for a large cluster (not applied by get_spark, which is local).
+# Settings for a large cluster: apply_conf(spark, CLUSTER_CONF) (get_spark is local and does not).
 # Scans: 256 MB splits.  Shuffles: start with many partitions and let AQE
 # coalesce them to ~256 MB each, so the same job fits 1 GB and 100 TB; skewed
 # join partitions above 5x the median and 512 MB are split.  Broadcasts stay
@@ -67,9 +67,9 @@ def get_spark(app: str = "credlake", cpus: str | int = "*", shuffle_partitions:
     return spark
 
 
-def apply_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable part of BASE_CONF to an existing session."""
-    for k, v in BASE_CONF.items():
+def apply_conf(spark: SparkSession, conf: dict | None = None) -> None:
+    """Apply the runtime-settable part of BASE_CONF (or CLUSTER_CONF) to an existing session."""
+    for k, v in (conf or BASE_CONF).items():
         if not k.startswith("spark.ui."):  # fixed when the context starts
             spark.conf.set(k, v)
 
