@@ -35,9 +35,6 @@ Plans.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,12 +61,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
     on a double hit; the check runs in the partitioning the upsert needs
     anyway.  NULL keys hit nothing.
     """
-    now = now if now is not None else _now()
     touch, stamp = list(touch_cols or []), [*(touch_cols or []), *(stamp_cols or [])]
     tcols = target.columns
     if update_cols is None:
         update_cols = [c for c in source.columns if c in tcols and c not in keys and c != sk_col and c not in stamp]
-    row = _Row(target, source, keys, set(update_cols), touch, stamp, now)
+    row = _Row(target, source, set(update_cols), touch, stamp, now if now is not None else _now())
     has_sk = sk_col is not None and sk_col not in source.columns
     if bucketable(target, keys):
         return _one_pass(target, source, keys[0], row, sk_col if has_sk else None, start)
@@ -81,102 +77,98 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *, update_cols
         kept, new = merged.where(~F.col("_new")).select(*tcols), merged.where("_new")
     else:
         kept = target
-        new = source.join(target.select(*keys), keys, "left_anti").select(
-            *[row.inserted(c, F.col).alias(c) for c in tcols])
+        new = source.join(target.select(*keys), keys, "left_anti").withColumn("_now", row.now).selectExpr(
+            *[f"{row.inserted(c, _name)} AS `{c}`" for c in tcols])
         new = materialize(new) if has_sk else new
     if has_sk:
-        new = assign_keys(new.drop(sk_col), sk_col, keys, start=max_key(target, sk_col) if start is None else start, key_type=row.type(sk_col))
+        new = assign_keys(new.drop(sk_col), sk_col, keys, start=max_key(target, sk_col) if start is None else start,
+                          key_type=row.schema[sk_col])
     return kept.unionByName(new.select(*tcols))
 
 
+def _name(c: str) -> str:
+    return f"`{c}`"
+
+
 class _Row:
-    """What each target column becomes; source values come through a function from name to column."""
+    """What each target column becomes, as SQL over rows that carry the load time as ``_now``; source values
+    come through a function from name to expression.  (Text, because a wide table would otherwise cost
+    hundreds of calls to build its plan.)"""
 
-    def __init__(self, target, source, keys, update, touch, stamp, now):
-        self.schema = {f.name: f.dataType for f in target.schema.fields}
+    def __init__(self, target: DataFrame, source: DataFrame, update: set, touch: list, stamp: list, now: Column):
+        self.schema = {f.name: f.dataType.simpleString() for f in target.schema.fields}
         self.given = set(source.columns) & set(self.schema)
-        self.keys, self.update, self.touch, self.stamp, self.now = keys, update, touch, stamp, now
-
-    def type(self, c: str) -> str:
-        return self.schema[c].simpleString()
+        self.update, self.touch, self.stamp, self.now = update, touch, stamp, now
 
-    def inserted(self, c: str, source) -> Column:
-        value = self.now if c in self.stamp else source(c) if c in self.given else F.lit(None)
-        return value.cast(self.schema[c])
+    def inserted(self, c: str, source) -> str:
+        value = "_now" if c in self.stamp else source(c) if c in self.given else "NULL"
+        return f"CAST({value} AS {self.schema[c]})"
 
-    def updated(self, c: str, hit: Column, old: Column, source) -> Column:
+    def updated(self, c: str, hit: str, old: str, source) -> str:
         """The value of a target row; ``hit``: the source holds its key."""
         if c in self.touch and self.update:
-            return F.when(hit, self.now).otherwise(old).cast(self.schema[c])
-        return F.when(hit, source(c)).otherwise(old).cast(self.schema[c]) if c in self.update else old
+            return f"CAST(CASE WHEN {hit} THEN _now ELSE {old} END AS {self.schema[c]})"
+        return f"CAST(CASE WHEN {hit} THEN {source(c)} ELSE {old} END AS {self.schema[c]})" if c in self.update else old
 
 
-def _twice(key: Column) -> Column:
-    return F.raise_error(F.concat(F.lit("upsert: the source holds a key twice: "), key)).cast("boolean")
+_TWICE = "CAST(raise_error(concat('upsert: the source holds a key twice: ', {key})) AS BOOLEAN)"
 
 
 def _unique(source: DataFrame, keys: list[str]) -> DataFrame:
     cols = source.columns
     hits = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    twice = (F.col("_hits") > 1) & reduce(and_, [F.col(c).isNotNull() for c in keys])
-    named = F.concat_ws(", ", *[F.col(c).cast("string") for c in keys])
-    return source.withColumn("_hits", hits).where(F.when(twice, _twice(named)).otherwise(F.lit(True))).select(*cols)
+    known = " AND ".join(f"`{c}` IS NOT NULL" for c in keys)
+    key = "concat_ws(', ', " + ", ".join(f"CAST(`{c}` AS STRING)" for c in keys) + ")"
+    return source.withColumn("_hits", hits).where(f"CASE WHEN _hits > 1 AND {known} THEN {_TWICE.format(key=key)} ELSE true END").select(*cols)
 
 
 def _one_join(target: DataFrame, source: DataFrame, keys: list[str], row: _Row) -> DataFrame:
     """One full outer join, each side shuffled once and the source read once; ``_new`` tags inserted rows."""
-    s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in source.columns if c not in keys], F.lit(True).alias("_s_hit"))
-    j = target.withColumn("_t_hit", F.lit(True)).join(s, keys, "full_outer")
-    hit, new = F.col("_s_hit").isNotNull(), F.col("_t_hit").isNull()
+    s = source.selectExpr(*map(_name, keys), *[f"`{c}` AS `_s_{c}`" for c in source.columns if c not in keys], "true AS _s_hit")
+    j = target.withColumn("_t_hit", F.lit(True)).join(s, keys, "full_outer").withColumn("_now", row.now)
 
-    def theirs(c: str) -> Column:
-        return F.col(c if c in keys else f"_s_{c}")
+    def theirs(c: str) -> str:
+        return _name(c if c in keys else f"_s_{c}")
 
-    return j.select(*[F.when(new, row.inserted(c, theirs)).otherwise(row.updated(c, hit, F.col(c), theirs)).alias(c)
-                      for c in target.columns], new.alias("_new"))
+    return j.selectExpr(*[f"CASE WHEN _t_hit IS NULL THEN {row.inserted(c, theirs)} ELSE {row.updated(c, '_s_hit IS NOT NULL', _name(c), theirs)} "
+                          f"END AS `{c}`" for c in target.columns], "_t_hit IS NULL AS _new")
 
 
 def _one_pass(target: DataFrame, source: DataFrame, key: str, row: _Row, sk_col: str | None, start: int | None) -> DataFrame:
     """Stack, partition by key range, pair and number in one window; the offsets come from the stored rows."""
     tcols, given = target.columns, [c for c in source.columns if c in row.given and c != key]
-    k = F.col("_k")
-    theirs = F.struct(F.lit(True).alias("_hit"), *[F.col(c).alias(c) for c in given])
-    mine = F.struct(*[F.col(c).alias(c) for c in tcols])
-    both = target.select(F.col(key).alias("_k"), mine.alias("_t")).unionByName(
-        source.select(F.col(key).cast(row.schema[key]).alias("_k"), theirs.alias("_s")), allowMissingColumns=True)
-    both = both.withColumn("_bkt", key_bucket(both, "_k")).withColumn("_src", F.col("_t").isNull())
-    w = Window.partitionBy("_bkt").orderBy("_k", "_src")
-    after, before = F.lead("_s").over(w), F.lag("_k").over(w)
-    both = both.withColumns({
-        "_after": F.when((F.lead("_k").over(w) == k) & ~F.col("_src"), after),
-        "_again": F.coalesce((before == k) & F.col("_src"), F.lit(False)),    # a row of this key came before
-        "_twice": F.coalesce((before == k) & F.col("_src") & F.lag("_src").over(w), F.lit(False))})
-    both = both.withColumn("_new", F.col("_src") & ~F.col("_again"))
-    pos = F.sum(F.col("_new").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    kept = ~F.col("_again")
-    if row.update:
-        kept = F.when(F.col("_twice"), _twice(k.cast("string"))).otherwise(kept)
-    hit = F.col("_after").isNotNull()
-
-    def value(c: str) -> Column:
+    mine = target.selectExpr(f"`{key}` AS _k", f"struct({', '.join(map(_name, tcols))}) AS _t")
+    theirs = source.selectExpr(f"CAST(`{key}` AS {row.schema[key]}) AS _k", f"struct({', '.join(['true AS _hit', *map(_name, given)])}) AS _s")
+    both = mine.unionByName(theirs, allowMissingColumns=True)
+    both = both.select("*", key_bucket(both, "_k").alias("_bkt"), F.col("_t").isNull().alias("_src"))
+    w = "OVER (PARTITION BY _bkt ORDER BY _k, _src)"
+    again = f"_src AND lag(_k) {w} = _k"  # a row of this key came before
+    both = both.selectExpr(
+        "*", f"CASE WHEN NOT _src AND lead(_k) {w} = _k THEN lead(_s) {w} END AS _after", f"coalesce({again}, false) AS _again",
+        f"coalesce({again} AND lag(_src) {w}, false) AS _twice")
+    both = both.selectExpr("*", "_src AND NOT _again AS _new", "sum(CAST(_src AND NOT _again AS INT)) OVER (PARTITION BY _bkt ORDER BY _k, _src "
+                           "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _pos")
+    twice = f"CASE WHEN _twice THEN {_TWICE.format(key='CAST(_k AS STRING)')} ELSE NOT _again END"
+
+    def value(c: str) -> str:
         if c == key:
-            return k
-        old = row.updated(c, hit, F.col(f"_t.{c}"), lambda x: k if x == key else F.col(f"_after.{x}"))
-        return F.when(F.col("_new"), row.inserted(c, lambda x: F.col(f"_s.{x}"))).otherwise(old)
+            return "_k"
+        old = row.updated(c, "_after._hit", f"_t.`{c}`", lambda x: "_k" if x == key else f"_after.`{x}`")
+        return f"CASE WHEN _new THEN {row.inserted(c, lambda x: f'_s.`{x}`')} ELSE {old} END"
 
-    tagged = both.withColumn("_pos", pos).where(kept).select(*[value(c).alias(c) for c in tcols], "_bkt", "_new", "_pos")
+    tagged = both.where(twice if row.update else "NOT _again").withColumn("_now", row.now).selectExpr(
+        *[f"{value(c)} AS `{c}`" for c in tcols], "_bkt", "_new", "_pos")
     if sk_col is None:
         return tagged.select(*tcols)
     stored = materialize(tagged, "upsert")
-    per_range = stored.groupBy("_bkt").agg(F.count_if("_new").alias("_n"), F.max(sk_col).alias("_m"))
+    base = "coalesce(max(_m) OVER (), 0)" if start is None else str(int(start))
     # at most 65,536 ranges of 32-bit keys: a bounded window, and a proven bound for the broadcast
-    earlier = Window.orderBy(F.col("_bkt").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    base = F.coalesce(F.max("_m").over(Window.partitionBy()), F.lit(0)) if start is None else F.lit(int(start))
-    offsets = per_range.select(F.col("_bkt").alias("_of"), (
-        base + F.coalesce(F.sum("_n").over(earlier), F.lit(0))).alias("_off"))
+    offsets = stored.groupBy(F.col("_bkt").alias("_of")).agg(F.count_if("_new").alias("_n"), F.max(sk_col).alias("_m")).selectExpr(
+        "_of", f"{base} + coalesce(sum(_n) OVER (ORDER BY _of NULLS FIRST "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _off")
     keyed = stored.join(F.broadcast(offsets), stored["_bkt"].eqNullSafe(offsets["_of"]))
-    sk = F.when(F.col("_new"), F.col("_off") + F.col("_pos")).otherwise(F.col(sk_col)).cast(row.schema[sk_col])
-    return keyed.select(*[sk.alias(c) if c == sk_col else F.col(c) for c in tcols])
+    sk = f"CAST(CASE WHEN _new THEN _off + _pos ELSE `{sk_col}` END AS {row.schema[sk_col]}) AS `{sk_col}`"
+    return keyed.selectExpr(*[sk if c == sk_col else _name(c) for c in tcols])
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], **kw) -> DataFrame:

@@ -154,7 +154,7 @@ class Changes:
         return df.join(self.ids, df[key].eqNullSafe(self.ids["_id"]), "left_semi")
 
 
-def load_silver(store: TableStore, method: str = "fused", incremental: bool = False,
+def load_silver(store: TableStore, method: str = "narrow", incremental: bool = False,
                 run_id: str | None = None) -> tuple[str | None, Changes | None]:
     """Stage 3: rebuild features from bronze and upsert them (K-03).
 
@@ -286,7 +286,7 @@ def current_view(store: TableStore) -> DataFrame:
 
 def run_load(spark: SparkSession, store: TableStore, run_id: str, *, bronze_rows: DataFrame | None = None,
              csv_path: str | None = None, docs_dir: str | None = None, quarantine_dir: str | None = None,
-             as_of=None, silver_method: str = "fused", incremental: bool = False,
+             as_of=None, silver_method: str = "narrow", incremental: bool = False,
              archive_dir: str | None = None, archive_by: str = "file", view_name: str = VIEW_NAME,
              view_buckets: int | None = None) -> RunReport:
     """Stages 2 to 6.  Scratch tables of the run are deleted when it ends, and

@@ -11,8 +11,8 @@ Three physical plans give the same rows:
   latest records with ``max_by`` in a single shuffle; partial aggregation ships
   at most one record per key and branch from each map task (skew-safe), and no
   join is needed.  Payloads are parsed only for winners, and travel whole.
-* ``narrow``: the same, but every record is parsed where it lies and only the
-  20 fields that silver reads are sorted and shuffled.
+* ``narrow`` (default): the same, but every record is parsed where it lies and
+  only the 20 fields that silver reads are sorted and shuffled.
 * ``window``: the SQL as written: a ``row_number`` window per branch
   (partitioned by the *text* key) and a left join on the integer id.
 
@@ -185,7 +185,7 @@ def _silver_fused(bronze: DataFrame, keep_document_columns: bool, strict: bool,
     return out if keep_document_columns else out.drop(*DOC_EXTRA_COLUMNS)
 
 
-def build_silver(bronze: DataFrame, method: str = "fused", keep_document_columns: bool = False,
+def build_silver(bronze: DataFrame, method: str = "narrow", keep_document_columns: bool = False,
                  strict: bool = True) -> DataFrame:
     """Silver feature rows (no load timestamp; the upsert stamps it)."""
     if method in ("fused", "narrow"):

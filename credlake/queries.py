@@ -35,7 +35,7 @@ from .streaming.file_ingest import run_bronze_stream, start_bronze_stream
 GOLD_RUN = "run_gold"
 
 
-def _silver(spark, sf_dir, method="fused") -> DataFrame:
+def _silver(spark, sf_dir, method="narrow") -> DataFrame:
     """The silver build over the driver tables."""
     return build_silver(fx.bronze_all(spark, sf_dir), method=method)
 

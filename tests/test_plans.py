@@ -28,7 +28,7 @@ def _rows(df, cols):
 def test_fused_and_window_plans_agree(spark):
     b = fx.bronze_all(spark, SF_SMALL)
     cols = S.SILVER_COLUMNS
-    assert _rows(build_silver(b, "fused"), cols) == _rows(build_silver(b, "window"), cols)
+    assert _rows(build_silver(b, "fused"), cols) == _rows(build_silver(b, "window"), cols) == _rows(build_silver(b, "narrow"), cols)
 
 
 def _bronze(spark, rows):
@@ -50,7 +50,7 @@ def test_document_income_wins_even_zero(spark):
         (3, "8", BASE, t, False),
         (4, "9", {"AMT_INCOME_TOTAL": 5.0, "IDP_METADATA": {"document_type": "d", "confidence_score": 85.5}}, t, True),
     ])
-    for method in ("fused", "window"):
+    for method in ("fused", "narrow", "window"):
         out = {r["bk_id_solicitud"]: r for r in build_silver(b, method, keep_document_columns=True).collect()}
         assert set(out) == {7, 8}                           # document without base is dropped
         assert out[7]["amt_income_total"] == 0 and out[7]["credit_to_income_ratio"] is None
@@ -59,7 +59,7 @@ def test_document_income_wins_even_zero(spark):
         assert out[8]["antiguedad_laboral_anios"] == 2 and out[8]["edad_anios"] == 27
 
 
-@pytest.mark.parametrize("method", ["fused", "window"])
+@pytest.mark.parametrize("method", ["fused", "narrow", "window"])
 def test_two_spellings_of_one_key_fail(spark, method):
     t = dt.datetime(2024, 1, 1)
     b = _bronze(spark, [(1, "7", BASE, t, False), (2, "007", BASE, t, False)])
