@@ -5,7 +5,8 @@
 Each query is built and fully executed with the ``noop`` sink (every row
 computed, nothing collected) and timed end to end, including the jobs that
 surrogate-key assignment and materialized layers run while the plan is
-built.  Each query runs ``BENCH_RUNS`` times (default 2); ``queries`` holds
+built.  Each query runs ``BENCH_RUNS`` times (default 2; once if
+the first took over 15 s); ``queries`` holds
 the best run, ``first_run`` the cold one (JIT warm-up is a large share of
 small-scale times).
 """
