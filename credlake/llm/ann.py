@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, stored, table
@@ -55,11 +55,20 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True)) if len(x) else x
 
 
+def in_reach(v: Column) -> Column:
+    """Vectors whose squares would leave the doubles, times a power of two that brings their largest component near 1
+    (in two steps, as the power itself may be out of reach); cosines stay as they are.  All others as they came."""
+    most = F.array_max(F.transform(v, lambda x: F.abs(x)))
+    step = F.pow(F.lit(2.0), F.floor(-F.log2(most) / 2))
+    return F.when((most < 1e-100) | (most > 1e100), F.transform(v, lambda x: x * step * step)).otherwise(v)
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, v): the vectors that take part, as doubles."""
     v = F.col("embedding").cast("array<double>")
     fine = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))) & ~F.isnan(x)) & F.exists(v, lambda x: x != 0)
-    rows = vectors.where(F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"), fine.alias("ok")).where("ok").drop("ok")
+    rows = vectors.where(F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"), fine.alias("ok")).where("ok")
+    rows = rows.select("vec_id", in_reach(F.col("v")).alias("v"))
     most = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     return rows.where(F.size("v") == (most["n"] if most else 0))
 
