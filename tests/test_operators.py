@@ -13,7 +13,7 @@ from credlake.operators.bronze import na_to_null, pack_bronze
 from credlake.operators.keys import assign_keys, max_key
 from credlake.operators.latest import latest_per_key
 from credlake.operators.ledger import not_yet_ingested
-from credlake.operators.quality import (QualityGateError, duplicate_keys, enforce, orphans, silver_gate,
+from credlake.operators.quality import (QualityGateError, duplicate_keys, enforce, key_violations, orphans, silver_gate, star_integrity,
                                         varchar_violations)
 from credlake.operators.receipts import extract_receipts
 from credlake.operators.upsert import insert_ignore, upsert
@@ -117,6 +117,43 @@ def test_integrity_planted_faults(spark):
     assert v[0] == 1
 
 
+def test_star_integrity_counts_planted_faults(spark):
+    """Every count against the separate row-level operators, with NULL, repeated and dangling keys."""
+    make = spark.createDataFrame
+    fact = make([(1, 1, 1, 1, 10), (2, 9, 1, 1, 10), (None, 1, 7, 1, 11), (2, 1, 1, None, None), (3, 1, 1, 8, None), (3, 1, 1, 1, 12)],
+                "sk_cliente int, sk_producto int, sk_tiempo int, sk_proxy_documental int, dd_id_solicitud int")
+    cliente = make([(1, 10), (2, 11), (2, 11), (4, None), (None, None), (None, 13)], "sk_cliente int, bk_id_solicitud int")
+    silver = make([(10,), (10,), (10,), (None,), (None,)], "bk_id_solicitud int")
+    producto, tiempo, proxy = make([(1,)], "sk_producto int"), make([(1,)], "sk_tiempo int"), make([(1,)], "sk_proxy_documental int")
+    got = star_integrity(silver, cliente, producto, proxy, tiempo, fact).first().asDict()
+    extra = lambda df, c: sum(r["extra"] for r in duplicate_keys(df, [c]).collect())
+    assert got == {
+        "huerfanos_cliente": orphans(fact, cliente, "sk_cliente").count(), "huerfanos_producto": orphans(fact, producto, "sk_producto").count(),
+        "huerfanos_tiempo": orphans(fact, tiempo, "sk_tiempo").count(), "huerfanos_proxy": orphans(fact, proxy, "sk_proxy_documental").count(),
+        "duplicados_silver": extra(silver, "bk_id_solicitud"), "duplicados_cliente": extra(cliente, "bk_id_solicitud"),
+        "duplicados_fact": extra(fact, "dd_id_solicitud"), "duplicados_sk_cliente": extra(cliente, "sk_cliente"), "nulos_pk": 2}
+    assert list(got.values()) == [2, 1, 1, 1, 3, 2, 2, 2, 2]
+
+
+def test_key_violations_of_any_type(spark):
+    """Dates and texts are keys like numbers; NULLs violate nothing; an empty table has no violations."""
+    rows = [(1, "2024-01-01"), (1, "2024-01-01"), (None, None), (None, None), (2, "2024-01-02")]
+    days = spark.createDataFrame(rows, "sk_tiempo int, fecha string").selectExpr("sk_tiempo", "cast(fecha as date) AS fecha")
+    found = key_violations(days, "gold.dim_tiempo", None)
+    assert {r["regla"]: r["filas"] for r in found.collect()} == {"duplicado_sk_tiempo": 1, "duplicado_fecha": 1}
+    assert {r["filas"] for r in key_violations(days.limit(0), "gold.dim_tiempo", None).collect()} == {0}
+    names = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, "1"), (5, "")], "sk_producto int, nombre_producto string")
+    assert {r["regla"]: r["filas"] for r in key_violations(names, "gold.dim_producto", None).collect()} == {
+        "duplicado_sk_producto": 0, "duplicado_nombre_producto": 1}
+    fact = spark.createDataFrame([(1, 10, 1, 1, 1, 1), (2, 11, 2, None, 1, 3), (2, 11, 2, 1, 1, 1)],
+                                 "sk_fact int, dd_id_solicitud int, sk_cliente int, sk_producto int, sk_tiempo int, sk_proxy_documental int")
+    keys = {t: spark.createDataFrame([(1,)], f"{S.PRIMARY_KEYS[t]} int") for t in S.FOREIGN_KEYS["gold.fact_creditos"].values()}
+    found = key_violations(fact, "gold.fact_creditos", keys.__getitem__)
+    assert {r["regla"]: r["filas"] for r in found.collect()} == {
+        "duplicado_sk_fact": 1, "duplicado_dd_id_solicitud": 1, "huerfano_sk_cliente": 2, "huerfano_sk_producto": 0,
+        "huerfano_sk_tiempo": 0, "huerfano_sk_proxy_documental": 1}
+
+
 def test_audit_counts_and_log_ids(spark):
     silver = spark.createDataFrame([("r1",), ("r1",), ("r2",)], "via_airflow_run_id string")
     e = audit_entries(silver, ["r1", "r3"])
