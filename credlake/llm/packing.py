@@ -8,9 +8,9 @@ lengths, held as bits of one integer, finds the sum closest to what is free,
 and backtracking gives the counts taken of each length.  A sequence whose
 length is a power of two needs no padding, so such sums count as filled.
 
-Groups are formed of last pieces, by hash of (doc_id, start), and have about
-``group`` of them each, as there is one a document; a group is packed in one
-task.  Whole windows get their ids in Spark and travel in blocks of at most
+Groups are formed of last pieces, by hash of the row's number, and have about
+``group`` of them each, as there is one a document, whether ids repeat or are
+null; a group is packed in one task.  Whole windows get their ids in Spark and travel in blocks of at most
 ``group``, however long a text is.  One pass over the
 texts makes rows of one piece each (its checksum included); only those rows
 are shuffled.
@@ -188,11 +188,11 @@ def grouped(docs: DataFrame, tokenizer: str, window: int = WINDOW, group: int =
     and a block below 0."""
     n = docs.count()  # from the files' row counts
     groups = max(1, -(-n // group))
-    row = F.monotonically_increasing_id()  # (doc_id, start) is not unique where rows repeat a doc_id
+    row = F.monotonically_increasing_id()  # (doc_id, start) is not unique where ids repeat or are null
     whole = F.col("length") == window
     return pieces(docs, tokenizer, window).withColumn("row", row).select(
         "*", F.when(whole, F.col("row").bitwiseOR(F.lit(1 << 62))).alias("own"),
-        F.when(whole, -1 - F.expr(f"row div {group}")).otherwise(F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups))).alias("grp")).drop("row")
+        F.when(whole, -1 - F.expr(f"row div {group}")).otherwise(F.pmod(F.xxhash64("row"), F.lit(groups))).alias("grp")).drop("row")
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, group: int = GROUP) -> DataFrame:
