@@ -21,6 +21,7 @@ are passed through untouched by ``drop_toxic`` and not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,8 @@ from .common import flat, held_out, id_text, slices, table
 
 BITS = 22
 SAMPLE = 12_000
+CHUNK = 1 << 19  # bytes of text whose features are made at once
+RUN = 1 << 16    # bytes of words that are hashed at once
 EMPTY = 0.1  # with nothing to learn from, a score this far below one half
 
 _WORD = np.zeros(256, bool)
@@ -55,6 +58,9 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
+_TABLES = [_powers(_INV, RUN), _powers(_MUL, RUN)]
+
+
 def word_hashes(buf: np.ndarray, offs: np.ndarray, in_word: np.ndarray = _WORD, fold: np.ndarray = _FOLD) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word of the texts end to end, and the text each belongs to.
     A word is a run of bytes that ``in_word`` marks, folded by ``fold``."""
@@ -66,10 +72,21 @@ def word_hashes(buf: np.ndarray, offs: np.ndarray, in_word: np.ndarray = _WORD,
     brk[offs] = True  # a word ends with its text
     start = np.flatnonzero(word & (brk[:n] | ~np.concatenate([[False], word[:-1]])))
     end = np.flatnonzero(word & (brk[1:] | ~np.concatenate([word[1:], [False]]))) + 1
-    # sum of byte * MUL**-i as prefix sums: a word's polynomial is a difference, brought to position 0
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((fold[buf].astype(np.uint64) + np.uint64(1)) * _powers(_INV, n), out=sums[1:])
-    h = _mix((sums[end] - sums[start]) * _powers(_MUL, n)[start] + (end - start).astype(np.uint64))
+    # sum of byte * MUL**-i as prefix sums: a word's polynomial is a difference, brought to position 0;
+    # by runs of words of RUN bytes, so that there is no 64-bit number of every byte, however long the texts are
+    h, i = np.empty(len(start), np.uint64), 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + RUN, "right")))
+        lo, hi = int(start[i]), int(end[j - 1])
+        value = fold[buf[lo:hi]].astype(np.uint64)
+        value += np.uint64(1)
+        down, up = _TABLES if hi - lo <= RUN else (_powers(_INV, hi - lo), _powers(_MUL, 1))  # one word beyond RUN begins at 0
+        value *= down[:hi - lo]
+        sums = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(value, out=sums[1:])
+        a, b = start[i:j] - lo, end[i:j] - lo
+        h[i:j] = _mix((sums[b] - sums[a]) * up[a] + (b - a).astype(np.uint64))
+        i = j
     return h, np.searchsorted(offs, start, "right") - 1
 
 
@@ -116,7 +133,7 @@ def ftrl(rows: list[np.ndarray], y: np.ndarray, bits: int = BITS, epochs: int =
             root = np.sqrt(n[i])
             n[i] += g * g
             z[i] += g - (np.sqrt(n[i]) - root) / alpha * w
-    out, on = np.zeros(1 << bits), np.flatnonzero(np.abs(z[:-1]) > l1)
+    out, on = np.zeros(1 << bits), np.flatnonzero((z[:-1] > l1) | (z[:-1] < -l1))
     out[on] = weights(on)
     return out, float(weights(bias)[0])
 
@@ -134,30 +151,37 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int)
     return id_text(docs).join(F.broadcast(ids), "doc_id")
 
 
+def learned(batches: Iterator[pa.RecordBatch], bits: int = BITS) -> Iterator[pa.RecordBatch]:
+    """(slot, w) of the non-zero weights, the bias at slot -1, from rows of doc_id, y and the bytes x of distinct slots."""
+    got = []
+    for b in batches:
+        x, offs = flat(b.column("x"))  # views: the features are not copied
+        got += [(i, y, x[lo:hi]) for i, y, lo, hi in zip(b.column("doc_id").to_pylist(), b.column("y").to_pylist(), offs[:-1].tolist(), offs[1:].tolist())]
+    if not got:
+        return
+    rows_of = Counter(i for i, _, _ in got)
+    # an order unlike that of the ids; rows that share one by their features
+    got.sort(key=lambda r: (hash((r[0], 11)), r[0], r[2].tobytes() if rows_of[r[0]] > 1 else b""))
+    y = np.array([float(y > 0) for _, y, _ in got])
+    w, bias = ftrl([x.view(np.int32) for _, _, x in got], y, bits)
+    slot = np.flatnonzero(w)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(slot, -1)), pa.array(np.append(w[slot], bias))], ["slot", "w"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, float]:
     """(slots, weights, bias): the non-zero part of the model."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, max_bytes=CHUNK):
                 slot, doc = distinct_features(*flat(batch.column("text")), bits=bits)
                 at = np.searchsorted(doc, np.arange(batch.num_rows + 1))
                 rows = [slot[a:b].astype(np.int32).tobytes() for a, b in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(rows, pa.binary())], ["doc_id", "y", "x"])
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [r for b in batches for r in zip(b.column("doc_id").to_pylist(), b.column("y").to_pylist(), b.column("x").to_pylist())]
-        if not got:
-            return
-        got.sort(key=lambda r: (hash((r[0], 11)), r[0], r[2]))  # an order unlike that of the ids
-        y = np.array([float(y > 0) for _, y, _ in got])
-        w, bias = ftrl([np.frombuffer(x, np.int32) for _, _, x in got], y, bits)
-        slot = np.flatnonzero(w)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(slot, -1)), pa.array(np.append(w[slot], bias))], ["slot", "w"])
-
     # at most ``sample`` rows meet in the one task that learns
     model = (
         labelled_sample(docs, labels, "toxic", sample).mapInArrow(read, "doc_id long, y int, x binary")
-        .repartition(1).mapInArrow(learn, "slot long, w double").toPandas()
+        .repartition(1).mapInArrow(lambda batches: learned(batches, bits), "slot long, w double").toPandas()
     )
     slot, w = model["slot"].to_numpy(np.int64), model["w"].to_numpy(np.float64)
     if not len(slot):
@@ -166,40 +190,38 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
     return slot[slot >= 0], w[slot >= 0], float(w[slot < 0][0])
 
 
-def _scorer(spark: SparkSession, model: tuple[np.ndarray, np.ndarray, float], bits: int):
-    sent = spark.sparkContext.broadcast(model)
-
-    def score(text: pa.Array) -> np.ndarray:
-        slots, w, bias = sent.value
-        dense = np.zeros(1 << bits)
-        dense[slots] = w
-        slot, doc = distinct_features(*flat(text), keep=dense != 0, bits=bits)
-        total = np.bincount(doc, dense[slot], len(text)) + bias
-        return 1.0 / (1.0 + np.exp(-np.clip(total, -35, 35)))
-
-    return score
+def scored(batches: Iterator[pa.RecordBatch], model: tuple[np.ndarray, np.ndarray, float], bits: int = BITS) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Runs of whole rows, about CHUNK bytes of text each, with their scores."""
+    slots, w, bias = model
+    by = np.argsort(slots)
+    slots, w = slots[by], w[by]
+    keep = np.zeros(1 << bits, bool)
+    keep[slots] = True
+    for whole in batches:
+        for batch in slices(whole, max_bytes=CHUNK):
+            slot, doc = distinct_features(*flat(batch.column("text")), keep=keep, bits=bits)
+            total = np.bincount(doc, w[np.searchsorted(slots, slot)], batch.num_rows) + bias
+            yield batch, 1.0 / (1.0 + np.exp(-np.clip(total, -35, 35)))
 
 
 def toxicity_scores(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: int = BITS) -> DataFrame:
     """(doc_id, score) of every whole text."""
-    score = _scorer(docs.sparkSession, model, bits)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole):
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score(batch.column("text")))], ["doc_id", "score"])
+        for batch, score in scored(batches, sent.value, bits):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
     return id_text(docs).mapInArrow(run, "doc_id long, score double")
 
 
 def drop_toxic(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], threshold: float = 0.5, bits: int = BITS) -> DataFrame:
     """The documents that score below the threshold, with their columns as they came."""
-    score = _scorer(docs.sparkSession, model, bits)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole):
-                yield batch.filter(pa.array(score(batch.column("text")) < threshold))
+        for batch, score in scored(batches, sent.value, bits):
+            yield batch.filter(pa.array(score < threshold))
 
     return docs.mapInArrow(run, docs.schema)
 
